@@ -141,3 +141,110 @@ SELECT * FROM (
 
 
 topk_cte("b_topk10", 10)
+
+# --- models -------------------------------------------------------------------------------
+
+cte("b_last_prior", ("b_prior_facts",), """
+SELECT f.user_id, f.order_id, f.product_id, f.order_number, f.add_to_cart_order
+FROM b_prior_facts f
+JOIN (SELECT user_id, max(order_number) AS mx FROM b_prior_facts GROUP BY user_id) m
+  ON f.user_id = m.user_id AND f.order_number = m.mx""")
+
+cte("b_input", ("b_last_prior", "b_last_facts"), """
+SELECT * FROM b_last_prior WHERE user_id IN (SELECT user_id FROM b_last_facts)""")
+
+cte("b_actual", ("b_last_facts", "b_input"), """
+SELECT user_id, product_id FROM b_last_facts WHERE user_id IN (SELECT user_id FROM b_input)""")
+
+cte("b_top100", ("b_last_prior",), """
+SELECT product_id, count(*) AS purchasecount FROM b_last_prior
+GROUP BY product_id ORDER BY purchasecount DESC, product_id LIMIT 100""")
+
+
+def md5_key(seed: int, *cols: str) -> str:
+    parts = ", ".join([f"'{seed}'"] + [f"CAST({c} AS VARCHAR)" for c in cols])
+    return f"md5(concat_ws('|', {parts}))"
+
+
+def u32(seed: int, *cols: str) -> str:
+    return f"CAST(('0x' || substr({md5_key(seed, *cols)}, 1, 8)) AS BIGINT)"
+
+
+cte("b_pred_cos", ("b_input", "b_topk10"), """
+SELECT i.user_id, i.product_id AS purchased_product, t.product_id_right AS predicted_product,
+       t.cosine_similarity AS cosine_sims, i.add_to_cart_order AS line, t.rank,
+       row_number() OVER (PARTITION BY i.user_id ORDER BY i.add_to_cart_order, t.rank, t.product_id_right) AS pos
+FROM b_input i JOIN b_topk10 t ON t.product_id_left = i.product_id""")
+
+cte("b_pidx", ("b_products",), """
+SELECT product_id, row_number() OVER (ORDER BY product_id) - 1 AS idx
+FROM (SELECT DISTINCT product_id FROM b_products WHERE product_id IS NOT NULL) t""")
+
+cte("b_np", ("b_pidx",), """
+SELECT n, list_filter(range(n, n + 5000),
+         lambda c: c >= 2 AND len(list_filter(range(2, CAST(floor(sqrt(c)) AS BIGINT) + 1), lambda d: c % d = 0)) = 0)[1] AS p
+FROM (SELECT count(*) AS n FROM b_pidx) t""")
+
+cte("b_pred_rand", ("b_input", "b_np", "b_pidx"), f"""
+SELECT d.user_id, d.purchased_product, d.line, d.rank, x.product_id AS predicted_product,
+       row_number() OVER (PARTITION BY d.user_id ORDER BY d.line, d.rank) AS pos
+FROM (
+  SELECT user_id, purchased_product, line, unnest(arr) AS idx, generate_subscripts(arr, 1) AS rank
+  FROM (
+    SELECT i.user_id, i.product_id AS purchased_product, i.add_to_cart_order AS line,
+           list_slice(list_filter(
+             list_transform(range(0, 10 + np.p - np.n),
+               lambda j: ((1 + {u32(1, 'i.user_id', 'i.product_id', 'i.add_to_cart_order', "'a'")} % greatest(np.p - 1, 1)) * j
+                     + {u32(1, 'i.user_id', 'i.product_id', 'i.add_to_cart_order', "'b'")} % np.p) % np.p),
+             lambda v: v < np.n), 1, 10) AS arr
+    FROM b_input i, b_np np
+  ) s
+) d JOIN b_pidx x ON x.idx = d.idx""")
+
+cte("b_picks", ("b_top100",), f"""
+SELECT product_id, purchasecount,
+       row_number() OVER (ORDER BY {md5_key(1, 'product_id')}, product_id) AS rank
+FROM (SELECT * FROM b_top100 ORDER BY {md5_key(1, 'product_id')}, product_id LIMIT 10) t""")
+
+cte("b_pred_base", ("b_input", "b_picks"), """
+SELECT i.user_id, i.product_id AS purchased_product, i.add_to_cart_order AS line, p.rank,
+       p.product_id AS predicted_product, p.purchasecount,
+       row_number() OVER (PARTITION BY i.user_id ORDER BY i.add_to_cart_order, p.rank) AS pos
+FROM b_input i CROSS JOIN b_picks p""")
+
+
+def named(pred: str, extra: str) -> str:
+    return f"""
+SELECT p.user_id, p.purchased_product, p.predicted_product, {extra}
+       a.product_name AS prior_product_name, b.product_name AS predicted_product_name,
+       p.line, p.rank, p.pos
+FROM {pred} p
+LEFT JOIN b_products a ON a.product_id = p.purchased_product
+LEFT JOIN b_products b ON b.product_id = p.predicted_product"""
+
+
+def ap_cte(name: str, pred: str, k: int = 10) -> None:
+    cte(name, (pred, "b_actual", "b_input"), f"""
+SELECT u.user_id AS userid, round(coalesce(s.s, 0.0) / least(na.na, {k}), 12) AS MAP
+FROM (SELECT DISTINCT user_id FROM b_input) u
+LEFT JOIN (
+  SELECT user_id, sum(hit * nh / pos) AS s FROM (
+    SELECT user_id, pos, hit,
+           sum(hit) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nh
+    FROM (
+      SELECT p.user_id, p.pos,
+             CASE WHEN p.is_first AND a.user_id IS NOT NULL THEN 1 ELSE 0 END AS hit
+      FROM (SELECT user_id, predicted_product, pos,
+                   row_number() OVER (PARTITION BY user_id, predicted_product ORDER BY pos) = 1 AS is_first
+            FROM {pred} WHERE pos <= {k}) p
+      LEFT JOIN (SELECT DISTINCT user_id, product_id FROM b_actual) a
+        ON a.user_id = p.user_id AND a.product_id = p.predicted_product
+    ) x
+  ) y GROUP BY user_id
+) s ON s.user_id = u.user_id
+LEFT JOIN (SELECT user_id, count(*) AS na FROM b_actual GROUP BY user_id) na ON na.user_id = u.user_id""")
+
+
+ap_cte("b_ap_cos", "b_pred_cos")
+ap_cte("b_ap_rand", "b_pred_rand")
+ap_cte("b_ap_base", "b_pred_base")

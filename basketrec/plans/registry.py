@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketrec.operators import etl, similarity as sim
-from basketrec.plans.oracle import with_ctes
+from basketrec.operators import etl, evaluate, models, similarity as sim
+from basketrec.plans.oracle import md5_key, named, with_ctes
+from basketrec.session import scratch_path
+from basketrec.sources import files
 from basketrec.sources.testdata import BasketTables, load_basket_tables
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +131,117 @@ def q_top_pairs(t, spark, sf_dir):
     return sim.top_pairs(sim.cooccurrence(prior_facts(t)), 10)
 
 
+
+# --- models and evaluation ------------------------------------------------------------
+
+def last_prior(t):
+    return models.last_prior_order(prior_facts(t))
+
+
+def baskets(t):
+    return models.input_baskets(last_prior(t), last_facts(t))
+
+
+def neighbours(t, k=10):
+    return sim.topk_neighbours(sim.cosine_similarity(prior_facts(t)), k=k)
+
+
+def pred_cosine(t):
+    return models.predict_cosine(baskets(t), neighbours(t), t.products)
+
+
+def pred_random(t):
+    return models.predict_random(baskets(t), t.products, k=10, seed=1)
+
+
+def pred_baseline(t):
+    return models.predict_baseline(baskets(t), last_prior(t), t.products, k=10, seed=1)
+
+
+def ap(t, pred):
+    b = baskets(t)
+    return evaluate.average_precision(pred, models.actual_baskets(last_facts(t), b), b, k=10)
+
+
+@register("last_prior_order", with_ctes(["b_last_prior"], "SELECT * FROM b_last_prior"))
+def q_last_prior_order(t, spark, sf_dir):
+    return last_prior(t)
+
+
+@register("input_baskets", with_ctes(["b_last_prior", "b_last_facts"], f"""
+SELECT * FROM b_last_prior WHERE user_id IN (
+  SELECT DISTINCT user_id FROM (
+    SELECT user_id FROM b_last_prior WHERE user_id IN (SELECT user_id FROM b_last_facts)
+    ORDER BY {md5_key(1, 'user_id', 'product_id', 'add_to_cart_order')}, user_id LIMIT 100) s)"""))
+def q_input_baskets(t, spark, sf_dir):
+    """Seeded sample: the users of 100 hash-drawn eligible lines (a sampling operator)."""
+    return models.input_baskets(last_prior(t), last_facts(t), n_users=100, seed=1, by="row")
+
+
+@register("actual_baskets", with_ctes(["b_actual"], "SELECT * FROM b_actual"))
+def q_actual_baskets(t, spark, sf_dir):
+    return models.actual_baskets(last_facts(t), baskets(t))
+
+
+@register("top_products", with_ctes(["b_top100"], "SELECT * FROM b_top100"))
+def q_top_products(t, spark, sf_dir):
+    return models.top_products(last_prior(t), 100)
+
+
+@register("predict_cosine", with_ctes(["b_pred_cos", "b_products"],
+                                      named("b_pred_cos", "p.cosine_sims,")))
+def q_predict_cosine(t, spark, sf_dir):
+    return pred_cosine(t)
+
+
+@register("predict_random", with_ctes(["b_pred_rand", "b_products"], named("b_pred_rand", "")))
+def q_predict_random(t, spark, sf_dir):
+    return pred_random(t)
+
+
+@register("predict_baseline", with_ctes(["b_pred_base", "b_products"],
+                                        named("b_pred_base", "p.purchasecount,")))
+def q_predict_baseline(t, spark, sf_dir):
+    return pred_baseline(t)
+
+
+@register("average_precision", with_ctes(["b_ap_cos"], "SELECT * FROM b_ap_cos"))
+def q_average_precision(t, spark, sf_dir):
+    """Per-user AP@10 of the cosine model over every scored user."""
+    return ap(t, pred_cosine(t))
+
+
+@register("map_score", with_ctes(["b_ap_cos", "b_ap_rand", "b_ap_base"], """
+SELECT 'cosine' AS modelname, count(*) AS users, round(avg(MAP), 12) AS meanMAP FROM b_ap_cos
+UNION ALL
+SELECT 'random' AS modelname, count(*) AS users, round(avg(MAP), 12) AS meanMAP FROM b_ap_rand
+UNION ALL
+SELECT 'baseline' AS modelname, count(*) AS users, round(avg(MAP), 12) AS meanMAP FROM b_ap_base"""))
+def q_map_score(t, spark, sf_dir):
+    """MAP@10 of the three models side by side."""
+    return evaluate.compare_models({
+        "cosine": ap(t, pred_cosine(t)),
+        "random": ap(t, pred_random(t)),
+        "baseline": ap(t, pred_baseline(t)),
+    })
+
+
+@register("global_map", with_ctes(["b_ap_cos", "b_ap_rand", "b_ap_base"], """
+SELECT 'map-cosine' AS modelname, round(avg(MAP), 12) AS meanMAP FROM b_ap_cos
+UNION ALL
+SELECT 'map-random' AS modelname, round(avg(MAP), 12) AS meanMAP FROM b_ap_rand
+UNION ALL
+SELECT 'map-baseline' AS modelname, round(avg(MAP), 12) AS meanMAP FROM b_ap_base"""))
+def q_global_map(t, spark, sf_dir):
+    """Per-user scores written as map-<model>.csv, read back by file glob,
+    averaged per model."""
+    folder = scratch_path(spark, "map")
+    for name, pred in (("cosine", pred_cosine(t)), ("random", pred_random(t)),
+                       ("baseline", pred_baseline(t))):
+        files.write_csv(ap(t, pred), f"{folder}/map-{name}.csv")
+    return evaluate.global_map(files.read_score_files(spark, folder))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
