@@ -248,3 +248,28 @@ LEFT JOIN (SELECT user_id, count(*) AS na FROM b_actual GROUP BY user_id) na ON
 ap_cte("b_ap_cos", "b_pred_cos")
 ap_cte("b_ap_rand", "b_pred_rand")
 ap_cte("b_ap_base", "b_pred_base")
+
+# --- matrices and ratings -------------------------------------------------------------------
+
+cte("b_user_item", ("b_prior_facts",), """
+SELECT user_id, product_id, count(*) AS purchases FROM b_prior_facts GROUP BY user_id, product_id""")
+
+cte("b_ratings", ("b_prior_facts",), """
+SELECT a.user_id, a.product_id, count(*) AS purchases
+FROM b_prior_facts a JOIN b_prior_facts b ON a.user_id = b.user_id AND a.order_id = b.order_id
+GROUP BY a.user_id, a.product_id""")
+
+
+def similar_sql(score: str, source: str, n: int = 30) -> str:
+    return f"""
+SELECT s.product_id_left, s.product_id_right, l.product_name AS product_name_left,
+       r.product_name AS product_name_right, s.{score}, s.rank
+FROM (
+  SELECT product_id_left, product_id_right, {score},
+         row_number() OVER (PARTITION BY product_id_right ORDER BY {score} DESC, product_id_left) AS rank
+  FROM {source}
+  WHERE product_id_right IN (SELECT product_id FROM b_catalog)
+) s
+LEFT JOIN b_catalog l ON l.product_id = s.product_id_left
+LEFT JOIN b_catalog r ON r.product_id = s.product_id_right
+WHERE s.rank <= {n}"""

@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketrec.operators import etl, evaluate, models, similarity as sim
-from basketrec.plans.oracle import md5_key, named, with_ctes
+from basketrec.operators import etl, evaluate, factor, matrix, models, similarity as sim
+from basketrec.plans.oracle import md5_key, named, similar_sql, with_ctes
 from basketrec.session import scratch_path
 from basketrec.sources import files
 from basketrec.sources.testdata import BasketTables, load_basket_tables
@@ -242,6 +242,142 @@ def q_global_map(t, spark, sf_dir):
     return evaluate.global_map(files.read_score_files(spark, folder))
 
 
+
+# --- matrices, ratings, ALS -----------------------------------------------------------------
+
+@register("user_item_matrix", with_ctes(["b_user_item"], "SELECT * FROM b_user_item"))
+def q_user_item_matrix(t, spark, sf_dir):
+    return matrix.user_item_matrix(prior_facts(t))
+
+
+@register("matrix_l1", with_ctes(["b_user_item"], """
+SELECT u.user_id, u.product_id, u.purchases,
+       CAST(u.purchases AS DOUBLE) / CAST(s.l1 AS DOUBLE) AS l1_value
+FROM b_user_item u JOIN (SELECT user_id, sum(abs(purchases)) AS l1 FROM b_user_item GROUP BY user_id) s
+  ON u.user_id = s.user_id"""))
+def q_matrix_l1(t, spark, sf_dir):
+    """Rows of the user-item matrix scaled to unit L1 norm."""
+    return matrix.l1_normalize(matrix.user_item_matrix(prior_facts(t)), "user_id", "purchases")
+
+
+@register("item_matrix_wide", with_ctes(["b_cooc"], """
+SELECT product_id_left, CAST(coalesce(COLUMNS(* EXCLUDE (product_id_left)), 0) AS BIGINT)
+FROM (PIVOT b_cooc ON product_id_right USING sum(cooccurances) GROUP BY product_id_left)"""))
+def q_item_matrix_wide(t, spark, sf_dir):
+    return matrix.item_matrix_wide(prior_facts(t))
+
+
+@register("user_matrix_wide", with_ctes(["b_user_item"], """
+SELECT user_id, CAST(coalesce(COLUMNS(* EXCLUDE (user_id)), 0) AS BIGINT)
+FROM (PIVOT b_user_item ON product_id USING sum(purchases) GROUP BY user_id)"""))
+def q_user_matrix_wide(t, spark, sf_dir):
+    return matrix.user_matrix_wide(prior_facts(t))
+
+
+@register("cooc_dimensions", with_ctes(["b_cooc"], """
+SELECT max(product_id_left) + 1 AS num_rows, max(product_id_right) + 1 AS num_cols, count(*) AS entries
+FROM b_cooc"""))
+def q_cooc_dimensions(t, spark, sf_dir):
+    return matrix.dimensions(sim.cooccurrence(prior_facts(t)))
+
+
+@register("ratings", with_ctes(["b_ratings"], "SELECT * FROM b_ratings"))
+def q_ratings(t, spark, sf_dir):
+    return factor.ratings(prior_facts(t))
+
+
+def als_recs(t):
+    return factor.als_recommendations(factor.ratings(prior_facts(t)), baskets(t), k=10)
+
+
+@register("als_recommendations", None)
+def q_als_recommendations(t, spark, sf_dir):
+    """Implicit ALS (rank 50) top-10 unbought products for every scored user."""
+    return als_recs(t)
+
+
+@register("als_map_score", None)
+def q_als_map_score(t, spark, sf_dir):
+    """MAP@10 of the ALS model on the same held-out baskets."""
+    recs = als_recs(t).select(F.col("userid").alias("user_id"),
+                              F.col("productid").alias("predicted_product"), "pos")
+    return evaluate.compare_models({"als": ap(t, recs)})
+
+
+# --- similar items ------------------------------------------------------------------------
+
+@register("similar_items_cosine", with_ctes(["b_cosine", "b_catalog"], similar_sql("cosine_similarity", "b_cosine")))
+def q_similar_items_cosine(t, spark, sf_dir):
+    """Top-30 products by cosine for every catalogue product as probe."""
+    c = catalog(t)
+    return sim.similar_items(sim.cosine_similarity(prior_facts(t)), c, c.select("product_id"),
+                             method="cosine", n=30)
+
+
+@register("similar_items_cooccurrence", with_ctes(["b_cooc", "b_catalog"], similar_sql("cooccurances", "b_cooc")))
+def q_similar_items_cooccurrence(t, spark, sf_dir):
+    c = catalog(t)
+    return sim.similar_items(sim.cooccurrence(prior_facts(t)), c, c.select("product_id"),
+                             method="cooccurrence", n=30)
+
+
+# --- sources and sinks ----------------------------------------------------------------------
+
+@register("csv_roundtrip", with_ctes(["b_catalog"], "SELECT * FROM b_catalog"))
+def q_csv_roundtrip(t, spark, sf_dir):
+    """Catalogue written as CSV with header and read back with its schema."""
+    path = scratch_path(spark, "csv")
+    c = catalog(t)
+    files.write_csv(c, path)
+    return files.read_csv(spark, path, c.schema)
+
+
+@register("parquet_roundtrip", with_ctes(["b_orders"], "SELECT * FROM b_orders WHERE eval_set = 'prior'"))
+def q_parquet_roundtrip(t, spark, sf_dir):
+    """Orders written once, partitioned by eval_set; the prior split is read
+    back by partition pruning."""
+    path = scratch_path(spark, "orders")
+    etl.write_eval_split(t.orders, path)
+    return files.read_parquet(spark, path).where(F.col("eval_set") == "prior")
+
+
+@register("sim_text_roundtrip", with_ctes(["b_topk10"], """
+SELECT product_id_left, product_id_right, cosine_similarity FROM b_topk10"""))
+def q_sim_text_roundtrip(t, spark, sf_dir):
+    """Top-10 neighbours as 'left|right|value' text, parsed back."""
+    path = scratch_path(spark, "sims")
+    files.write_pipe_text(neighbours(t), path)
+    return files.read_pipe_text(spark, path)
+
+
+@register("header_cleanup", with_ctes(["b_last_prior"], "SELECT user_id, product_id FROM b_last_prior"))
+def q_header_cleanup(t, spark, sf_dir):
+    """Last prior orders written as several CSV part files, each with its
+    header, read as one concatenated text table; header rows dropped."""
+    path = scratch_path(spark, "concat")
+    files.write_csv(last_prior(t).select("user_id", "product_id", "order_id").repartition(4), path)
+    return files.read_concat_csv(spark, path, columns=("user_id", "product_id", "order_id")) \
+        .select("user_id", "product_id")
+
+
+@register("map_text_parse", with_ctes(["b_ap_cos"], "SELECT * FROM b_ap_cos"))
+def q_map_text_parse(t, spark, sf_dir):
+    """Per-user scores as "{'user': score, ...}" text, parsed back."""
+    path = scratch_path(spark, "maptext")
+    scores = ap(t, pred_cosine(t))
+    text = scores.select(F.concat(F.lit("'"), F.col("userid").cast("string"), F.lit("': "),
+                                  F.col("MAP").cast("string")).alias("value"))
+    text.write.option("lineSep", ",").text(path)
+    parsed = files.parse_dict_text(spark, path, trim=True)
+    return parsed.select(F.col("userid").cast("long").alias("userid"), F.col("MAP").cast("double").alias("MAP"))
+
+
+@register("row_sample", None)
+def q_row_sample(t, spark, sf_dir):
+    """10 % sample with replacement of the prior facts, seeded."""
+    return etl.row_sample(prior_facts(t), 0.10, seed=42, with_replacement=True)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
