@@ -52,15 +52,22 @@ def product_catalog(products: DataFrame, aisles: DataFrame, departments: DataFra
             .select("product_id", "product_name", "aisle_id", "department_id", "aisle", "department"))
 
 
-def order_facts(order_products: DataFrame, orders: DataFrame, catalog: DataFrame,
-                eval_set: str | None = None) -> DataFrame:
-    """order lines ⋈ orders (inner) ⟕ catalogue.  Lines of unknown products
-    keep NULL names.  The catalogue join is left to Spark/AQE: the catalogue
-    is a dimension table and AQE broadcasts it when its measured size is
-    under the broadcast threshold, else sort-merge joins it."""
+def order_lines(order_products: DataFrame, orders: DataFrame, eval_set: str | None = None) -> DataFrame:
+    """order lines ⋈ orders (inner): the fact table without catalogue
+    attributes.  The catalogue is keyed by product_id, so its left join never
+    adds or drops a line; operators that need no names start here."""
     if eval_set is not None:
         orders = eval_split(orders, eval_set)
-    facts = order_products.join(orders, "order_id").join(catalog, "product_id", "left")
+    return order_products.join(orders, "order_id")
+
+
+def order_facts(order_products: DataFrame, orders: DataFrame, catalog: DataFrame,
+                eval_set: str | None = None, catalog_max_rows: int = 2_000_000) -> DataFrame:
+    """order lines ⋈ orders (inner) ⟕ catalogue.  Lines of unknown products
+    keep NULL names.  The catalogue is broadcast after a row-count check (so
+    the lines are not shuffled for it), else sort-merge joined."""
+    cat = broadcast_if_small(catalog, catalog_max_rows)
+    facts = order_lines(order_products, orders, eval_set).join(cat, "product_id", "left")
     return facts.select(*FACT_COLUMNS)
 
 

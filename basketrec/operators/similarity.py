@@ -5,9 +5,9 @@ Plan (one shuffle of pair-sized data):
 1. order lines are hash-partitioned by order and collapsed to
    (order, product, m) where m is the multiplicity of the product in the
    basket (``basket='multiset'``, the reference's counting) or 1 (``'set'``);
-2. per product n = Σ m (line count; the squared norm) and Σ m² (the self
-   dot product) in one aggregation — a product table, broadcast behind a
-   row-count check, so the lines keep their order partitioning;
+2. per product n = Σ m (line count; the squared norm), aggregated map-side
+   from the facts — a product table, broadcast behind a row-count check, so
+   the lines keep their order partitioning;
 3. the basket self-join runs on order_id inside those partitions (no new
    shuffle) and emits only product_id_left < product_id_right; baskets with
    more than ``hot_basket`` distinct products are salted over
@@ -15,8 +15,8 @@ Plan (one shuffle of pair-sized data):
 4. Σ m_l·m_r per pair is aggregated map-side first, then shuffled once;
    n_l and n_r ride along as group keys, so no join on the pair table is
    needed for the norms;
-5. the upper triangle is mirrored with one ``explode`` and the diagonal
-   comes from step 2.
+5. the upper triangle is mirrored with one ``explode``; the diagonal is
+   Σ m² per product, aggregated map-side from the lines.
 
 Cosine is ``dot / (sqrt(n_l) * sqrt(n_r))`` — the Ochiai coefficient on 0/1
 baskets; in multiset mode a repeated product makes the self pair exceed 1,
@@ -45,17 +45,22 @@ def basket_lines(facts: DataFrame, basket: str = "multiset", basket_key: str = "
     return agg.agg(F.lit(1).cast("long").alias("m"))
 
 
-def product_counts(lines: DataFrame) -> DataFrame:
-    """Per product: n = Σ m (line count), self_dot = Σ m²."""
-    return lines.groupBy("product_id").agg(
-        F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("self_dot"))
+def product_counts(facts: DataFrame, basket: str = "multiset", basket_key: str = "order_id") -> DataFrame:
+    """Per product n = squared norm: its line count (multiset) or the number
+    of baskets holding it (set).  Computed straight from the facts with a
+    map-side partial aggregation, so sizing it costs a scan, not a
+    line-sized shuffle."""
+    f = facts.select(F.col(basket_key).alias("order_id"), "product_id").where(
+        F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
+    if basket == "multiset":
+        return f.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+    return f.groupBy("product_id").agg(F.count_distinct("order_id").alias("n"))
 
 
 def _upper_pairs(lines: DataFrame, counts: DataFrame, hot_basket: int, hot_salts: int,
                  broadcast_max_rows: int) -> DataFrame:
-    """(l, r, n_l, n_r, dot) for l < r."""
-    c = broadcast_if_small(counts.select("product_id", "n"), broadcast_max_rows)
-    w = lines.join(c, "product_id")
+    """(l, r, n_l, n_r, dot) for l < r; ``counts`` is already size-checked."""
+    w = lines.join(counts, "product_id")
     w = w.withColumn("_bn", F.count(F.lit(1)).over(Window.partitionBy("order_id")))
 
     def side(df, p, m, n):
@@ -83,7 +88,7 @@ def pair_dots(facts: DataFrame, basket: str = "multiset", hot_basket: int = 20_0
     """All ordered pairs (self pairs included) of products bought in the
     same basket: (product_id_left, product_id_right, dot, n_l, n_r)."""
     lines = basket_lines(facts, basket)
-    counts = product_counts(lines)
+    counts = broadcast_if_small(product_counts(facts, basket), broadcast_max_rows)
     up = _upper_pairs(lines, counts, hot_basket, hot_salts, broadcast_max_rows)
     mirrored = up.select(
         F.explode(F.array(
@@ -92,8 +97,11 @@ def pair_dots(facts: DataFrame, basket: str = "multiset", hot_basket: int = 20_0
         )).alias("p"), "dot",
     ).select(F.col("p.l").alias(L), F.col("p.r").alias(R), "dot",
              F.col("p.nl").alias("n_l"), F.col("p.nr").alias("n_r"))
-    diag = counts.select(F.col("product_id").alias(L), F.col("product_id").alias(R),
-                         F.col("self_dot").alias("dot"), F.col("n").alias("n_l"), F.col("n").alias("n_r"))
+    # Diagonal: Σ m² per product, aggregated map-side from the order-partitioned lines.
+    self_dot = lines.groupBy("product_id").agg(F.sum(F.col("m") * F.col("m")).alias("dot"))
+    diag = self_dot.join(counts, "product_id").select(
+        F.col("product_id").alias(L), F.col("product_id").alias(R), "dot",
+        F.col("n").alias("n_l"), F.col("n").alias("n_r"))
     return mirrored.unionByName(diag)
 
 
@@ -110,8 +118,7 @@ def cosine_similarity(facts: DataFrame, basket: str = "multiset", **kw) -> DataF
 
 def item_norms(facts: DataFrame, basket: str = "multiset") -> DataFrame:
     """(product_id, norm) with norm = sqrt(line count)."""
-    counts = product_counts(basket_lines(facts, basket))
-    return counts.select("product_id", F.sqrt("n").alias("norm"))
+    return product_counts(facts, basket).select("product_id", F.sqrt("n").alias("norm"))
 
 
 def attach_names(pairs: DataFrame, catalog: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:

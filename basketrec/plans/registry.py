@@ -40,6 +40,11 @@ def prior_facts(t: BasketTables) -> DataFrame:
     return etl.order_facts(t.order_products_prior, t.orders, catalog(t), "prior")
 
 
+def prior_lines(t: BasketTables) -> DataFrame:
+    """Prior fact rows without catalogue columns (same rows as prior_facts)."""
+    return etl.order_lines(t.order_products_prior, t.orders, "prior")
+
+
 def last_facts(t: BasketTables) -> DataFrame:
     return etl.order_facts(t.order_products_train, t.orders, catalog(t), "train")
 
@@ -105,22 +110,22 @@ FROM b_cooc c
 LEFT JOIN b_catalog l ON l.product_id = c.product_id_left
 LEFT JOIN b_catalog r ON r.product_id = c.product_id_right"""))
 def q_cooccurrence(t, spark, sf_dir):
-    return sim.cooccurrence(prior_facts(t), catalog(t))
+    return sim.cooccurrence(prior_lines(t), catalog(t))
 
 
 @register("item_norms", with_ctes(["b_norms"], "SELECT * FROM b_norms"))
 def q_item_norms(t, spark, sf_dir):
-    return sim.item_norms(prior_facts(t))
+    return sim.item_norms(prior_lines(t))
 
 
 @register("cosine_similarity", with_ctes(["b_cosine"], "SELECT * FROM b_cosine"))
 def q_cosine_similarity(t, spark, sf_dir):
-    return sim.cosine_similarity(prior_facts(t))
+    return sim.cosine_similarity(prior_lines(t))
 
 
 @register("topk_neighbours", with_ctes(["b_topk10"], "SELECT * FROM b_topk10"))
 def q_topk_neighbours(t, spark, sf_dir):
-    return sim.topk_neighbours(sim.cosine_similarity(prior_facts(t)), k=10)
+    return sim.topk_neighbours(sim.cosine_similarity(prior_lines(t)), k=10)
 
 
 @register("top_pairs", with_ctes(["b_cooc"], """
@@ -128,14 +133,14 @@ SELECT product_id_left, product_id_right, cooccurances FROM b_cooc
 WHERE product_id_left <> product_id_right
 ORDER BY cooccurances DESC, product_id_left, product_id_right LIMIT 10"""))
 def q_top_pairs(t, spark, sf_dir):
-    return sim.top_pairs(sim.cooccurrence(prior_facts(t)), 10)
+    return sim.top_pairs(sim.cooccurrence(prior_lines(t)), 10)
 
 
 
 # --- models and evaluation ------------------------------------------------------------
 
 def last_prior(t):
-    return models.last_prior_order(prior_facts(t))
+    return models.last_prior_order(prior_lines(t))
 
 
 def baskets(t):
@@ -143,7 +148,7 @@ def baskets(t):
 
 
 def neighbours(t, k=10):
-    return sim.topk_neighbours(sim.cosine_similarity(prior_facts(t)), k=k)
+    return sim.topk_neighbours(sim.cosine_similarity(prior_lines(t)), k=k)
 
 
 def pred_cosine(t):
@@ -247,7 +252,7 @@ def q_global_map(t, spark, sf_dir):
 
 @register("user_item_matrix", with_ctes(["b_user_item"], "SELECT * FROM b_user_item"))
 def q_user_item_matrix(t, spark, sf_dir):
-    return matrix.user_item_matrix(prior_facts(t))
+    return matrix.user_item_matrix(prior_lines(t))
 
 
 @register("matrix_l1", with_ctes(["b_user_item"], """
@@ -257,37 +262,37 @@ FROM b_user_item u JOIN (SELECT user_id, sum(abs(purchases)) AS l1 FROM b_user_i
   ON u.user_id = s.user_id"""))
 def q_matrix_l1(t, spark, sf_dir):
     """Rows of the user-item matrix scaled to unit L1 norm."""
-    return matrix.l1_normalize(matrix.user_item_matrix(prior_facts(t)), "user_id", "purchases")
+    return matrix.l1_normalize(matrix.user_item_matrix(prior_lines(t)), "user_id", "purchases")
 
 
 @register("item_matrix_wide", with_ctes(["b_cooc"], """
 SELECT product_id_left, CAST(coalesce(COLUMNS(* EXCLUDE (product_id_left)), 0) AS BIGINT)
 FROM (PIVOT b_cooc ON product_id_right USING sum(cooccurances) GROUP BY product_id_left)"""))
 def q_item_matrix_wide(t, spark, sf_dir):
-    return matrix.item_matrix_wide(prior_facts(t))
+    return matrix.item_matrix_wide(prior_lines(t))
 
 
 @register("user_matrix_wide", with_ctes(["b_user_item"], """
 SELECT user_id, CAST(coalesce(COLUMNS(* EXCLUDE (user_id)), 0) AS BIGINT)
 FROM (PIVOT b_user_item ON product_id USING sum(purchases) GROUP BY user_id)"""))
 def q_user_matrix_wide(t, spark, sf_dir):
-    return matrix.user_matrix_wide(prior_facts(t))
+    return matrix.user_matrix_wide(prior_lines(t))
 
 
 @register("cooc_dimensions", with_ctes(["b_cooc"], """
 SELECT max(product_id_left) + 1 AS num_rows, max(product_id_right) + 1 AS num_cols, count(*) AS entries
 FROM b_cooc"""))
 def q_cooc_dimensions(t, spark, sf_dir):
-    return matrix.dimensions(sim.cooccurrence(prior_facts(t)))
+    return matrix.dimensions(sim.cooccurrence(prior_lines(t)))
 
 
 @register("ratings", with_ctes(["b_ratings"], "SELECT * FROM b_ratings"))
 def q_ratings(t, spark, sf_dir):
-    return factor.ratings(prior_facts(t))
+    return factor.ratings(prior_lines(t))
 
 
 def als_recs(t):
-    return factor.als_recommendations(factor.ratings(prior_facts(t)), baskets(t), k=10)
+    return factor.als_recommendations(factor.ratings(prior_lines(t)), baskets(t), k=10)
 
 
 @register("als_recommendations", None)
@@ -310,14 +315,14 @@ def q_als_map_score(t, spark, sf_dir):
 def q_similar_items_cosine(t, spark, sf_dir):
     """Top-30 products by cosine for every catalogue product as probe."""
     c = catalog(t)
-    return sim.similar_items(sim.cosine_similarity(prior_facts(t)), c, c.select("product_id"),
+    return sim.similar_items(sim.cosine_similarity(prior_lines(t)), c, c.select("product_id"),
                              method="cosine", n=30)
 
 
 @register("similar_items_cooccurrence", with_ctes(["b_cooc", "b_catalog"], similar_sql("cooccurances", "b_cooc")))
 def q_similar_items_cooccurrence(t, spark, sf_dir):
     c = catalog(t)
-    return sim.similar_items(sim.cooccurrence(prior_facts(t)), c, c.select("product_id"),
+    return sim.similar_items(sim.cooccurrence(prior_lines(t)), c, c.select("product_id"),
                              method="cooccurrence", n=30)
 
 
@@ -389,6 +394,6 @@ def oracle_sql() -> dict[str, str]:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-10 neighbours per product by cosine, with both product names."""
     t = load_basket_tables(spark, sf_dir)
-    top = sim.topk_neighbours(sim.cosine_similarity(prior_facts(t)), k=10)
+    top = sim.topk_neighbours(sim.cosine_similarity(prior_lines(t)), k=10)
     return sim.attach_names(top, catalog(t)).select(
         sim.L, sim.R, "product_name_left", "product_name_right", "cosine_similarity", "rank")
