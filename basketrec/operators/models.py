@@ -147,7 +147,8 @@ def predict_random(baskets: DataFrame, products: DataFrame, k: int = 10, seed: i
     idx = dense_index(products, "product_id", "idx")
     n = idx.count()
     p = next_prime(n)
-    draws = k + (p - n)
+    # positions past P would repeat values: the permutation has period P
+    draws = min(k + (p - n), p)
     line = ["user_id", "product_id", "add_to_cart_order"]
     a = F.lit(1) + F.pmod(hash_u32(seed, *line, F.lit("a")), F.lit(max(p - 1, 1)))
     b = F.pmod(hash_u32(seed, *line, F.lit("b")), F.lit(p))

@@ -193,7 +193,7 @@ FROM (
   FROM (
     SELECT i.user_id, i.product_id AS purchased_product, i.add_to_cart_order AS line,
            list_slice(list_filter(
-             list_transform(range(0, 10 + np.p - np.n),
+             list_transform(range(0, least(10 + np.p - np.n, np.p)),
                lambda j: ((1 + {u32(1, 'i.user_id', 'i.product_id', 'i.add_to_cart_order', "'a'")} % greatest(np.p - 1, 1)) * j
                      + {u32(1, 'i.user_id', 'i.product_id', 'i.add_to_cart_order', "'b'")} % np.p) % np.p),
              lambda v: v < np.n), 1, 10) AS arr
