@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketrec.functions.vectors import centroid_cosine
 from basketrec.operators import etl, evaluate, factor, matrix, models, similarity as sim
 from basketrec.plans.oracle import md5_key, named, similar_sql, with_ctes
 from basketrec.session import scratch_path
@@ -383,6 +384,29 @@ def q_row_sample(t, spark, sf_dir):
     return etl.row_sample(prior_facts(t), 0.10, seed=42, with_replacement=True)
 
 
+
+# --- array cosine -----------------------------------------------------------------------------
+
+@register("embedding_centroid_cosine", """
+WITH e AS (SELECT vec_id, label, embedding FROM embeddings),
+p AS (SELECT label, pos, avg(CAST(v AS DOUBLE)) AS m
+      FROM (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS pos FROM e) t
+      GROUP BY label, pos),
+c AS (SELECT label, list(m ORDER BY pos) AS centroid FROM p GROUP BY label),
+d AS (SELECT e.vec_id, e.label,
+             list_sum(list_transform(list_zip(e.embedding, c.centroid), lambda z: CAST(z[1] AS DOUBLE) * z[2])) AS dot,
+             sqrt(list_sum(list_transform(e.embedding, lambda a: CAST(a AS DOUBLE) * CAST(a AS DOUBLE)))) AS nx,
+             sqrt(list_sum(list_transform(c.centroid, lambda a: a * a))) AS ny
+      FROM e JOIN c ON e.label = c.label)
+SELECT vec_id, label, round(CASE WHEN nx * ny = 0 THEN NULL ELSE dot / (nx * ny) END, 9) AS cosine_to_centroid FROM d""")
+def q_embedding_centroid_cosine(t, spark, sf_dir):
+    """Array cosine (equal-length arrays) of every embedding to its label's
+    mean vector, rounded to 9 digits (float sums differ in order)."""
+    emb = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+    out = centroid_cosine(emb, "label", "embedding", "vec_id")
+    return out.select("vec_id", "label", F.round("cosine_to_centroid", 9).alias("cosine_to_centroid"))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -1,0 +1,11 @@
+"""Structured Streaming: incremental ingest of order lines.
+
+The reference is batch only; its ETL (order lines ⋈ orders ⟕ catalogue,
+written once as the fact table) is the one step whose input grows by
+appending files.  ``ingest_order_facts`` runs that same join over a file
+stream so new order-line files are appended to the fact table exactly once
+(file source + checkpoint + file sink).  Everything downstream reads the
+fact table as a batch table.
+"""
+
+from basketrec.streaming.ingest import ingest_order_facts  # noqa: F401
