@@ -115,7 +115,13 @@ def _positions(pred: DataFrame, score: str, rank_mode: str) -> DataFrame:
 def predict_cosine(baskets: DataFrame, neighbours: DataFrame, products: DataFrame,
                    rank_mode: str = "line") -> DataFrame:
     """Every basket line joined to its product's top-k neighbours (one
-    equi-join on product id; ``neighbours`` from ``similarity.topk_neighbours``)."""
+    equi-join on product id; ``neighbours`` from ``similarity.topk_neighbours``).
+
+    The join is left to adaptive execution: both inputs are shuffle stages,
+    so AQE broadcasts the neighbour table (products × k rows) when its
+    measured size is under the broadcast threshold, and splits a product
+    found in a huge share of baskets with its skew-join handling otherwise —
+    without computing the neighbours twice for an up-front size check."""
     nb = neighbours.select(
         F.col(sim.L).alias("purchased_product"), F.col(sim.R).alias("predicted_product"),
         F.col("cosine_similarity").alias("cosine_sims"), "rank")

@@ -1,10 +1,11 @@
 """Item-item co-occurrence and cosine similarity over baskets.
 
-Plan (one shuffle of pair-sized data):
+Plan (one shuffle of pair-sized data, two of pre-aggregated lines):
 
-1. order lines are hash-partitioned by order and collapsed to
-   (order, product, m) where m is the multiplicity of the product in the
-   basket (``basket='multiset'``, the reference's counting) or 1 (``'set'``);
+1. order lines are collapsed to (order, product, m) — m is the
+   multiplicity of the product in the basket (``basket='multiset'``, the
+   reference's counting) or 1 (``'set'``) — with a map-side partial
+   aggregation, then hash-partitioned by order;
 2. per product n = Σ m (line count; the squared norm), aggregated map-side
    from the facts — a product table, broadcast behind a row-count check, so
    the lines keep their order partitioning;
@@ -34,15 +35,21 @@ L, R = "product_id_left", "product_id_right"
 
 
 def basket_lines(facts: DataFrame, basket: str = "multiset", basket_key: str = "order_id") -> DataFrame:
-    """(order_id, product_id, m), hash-partitioned by the basket key."""
+    """(order_id, product_id, m), hash-partitioned by the basket key.
+
+    Lines are first aggregated per (order, product) with a map-side partial
+    aggregation, then partitioned by order: an order holding a huge share
+    of all lines reaches its partition as at most one row per distinct
+    product, never as its raw lines."""
     if basket not in ("multiset", "set"):
         raise ValueError(f"basket must be 'multiset' or 'set', not {basket!r}")
     lines = (facts.select(F.col(basket_key).alias("order_id"), "product_id")
              .where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull()))
-    agg = lines.repartition("order_id").groupBy("order_id", "product_id")
     if basket == "multiset":
-        return agg.agg(F.count(F.lit(1)).alias("m"))
-    return agg.agg(F.lit(1).cast("long").alias("m"))
+        agg = lines.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("m"))
+    else:
+        agg = lines.distinct().withColumn("m", F.lit(1).cast("long"))
+    return agg.repartition("order_id")
 
 
 def product_counts(facts: DataFrame, basket: str = "multiset", basket_key: str = "order_id") -> DataFrame:

@@ -225,11 +225,10 @@ UNION ALL
 SELECT 'baseline' AS modelname, count(*) AS users, round(avg(MAP), 12) AS meanMAP FROM b_ap_base"""))
 def q_map_score(t, spark, sf_dir):
     """MAP@10 of the three models side by side."""
-    return evaluate.compare_models({
-        "cosine": ap(t, pred_cosine(t)),
-        "random": ap(t, pred_random(t)),
-        "baseline": ap(t, pred_baseline(t)),
-    })
+    b = baskets(t)
+    return evaluate.score_models(
+        {"cosine": pred_cosine(t), "random": pred_random(t), "baseline": pred_baseline(t)},
+        models.actual_baskets(last_facts(t), b), b, k=10)
 
 
 @register("global_map", with_ctes(["b_ap_cos", "b_ap_rand", "b_ap_base"], """
