@@ -21,7 +21,8 @@ columns, so the windows below belong to this adapter, not to the library's
 hot path.
 
 ``load_basket_tables`` derives the six basket-model tables once per input
-(keyed by the paths, sizes and modification times of the source files) and
+(keyed by the paths, sizes and modification times of the source files and by
+this module's code) and
 writes them as Parquet below the shared checkpoint folder — the processed
 input files of the reference's ETL.  Queries read those tables, so their
 plans start at a scan, and the derivation is not re-run in every branch of
@@ -151,8 +152,11 @@ def _hadoop_fs(spark: SparkSession, path: str):
 
 
 def source_fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Hash of path, length and modification time of every source file."""
+    """Hash of this module's code and of path, length and modification time
+    of every source file: new data or a changed derivation gets new tables."""
     h = hashlib.sha1()
+    with open(__file__, "rb") as fh:
+        h.update(fh.read())
     for name in SOURCE_TABLES:
         path = f"{sf_dir.rstrip('/')}/{name}.parquet"
         fs, p = _hadoop_fs(spark, path)
