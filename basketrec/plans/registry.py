@@ -409,19 +409,19 @@ def q_embedding_centroid_cosine(t, spark, sf_dir):
 
 # --- end-to-end -----------------------------------------------------------------------------
 
-@register("pipeline_global_map", with_ctes(["b_ap_cos", "b_ap_rand", "b_ap_base"], """
+@register("end_to_end_global_map", with_ctes(["b_ap_cos", "b_ap_rand", "b_ap_base"], """
 SELECT 'map-cosine' AS modelname, round(avg(MAP), 12) AS meanMAP FROM b_ap_cos
 UNION ALL
 SELECT 'map-random' AS modelname, round(avg(MAP), 12) AS meanMAP FROM b_ap_rand
 UNION ALL
 SELECT 'map-baseline' AS modelname, round(avg(MAP), 12) AS meanMAP FROM b_ap_base"""))
-def q_pipeline_global_map(t, spark, sf_dir):
+def q_end_to_end_global_map(t, spark, sf_dir):
     """The whole job — facts, similarities, neighbours, baskets, three
     models, per-user scores, score files — with every reused table written
     once to the shared folder; returns the global MAP per model."""
-    from basketrec.plans.pipeline import Pipeline
+    from basketrec.plans.job import BasketJob
 
-    return Pipeline(spark, t).run()
+    return BasketJob(spark, t).run()
 
 
 def queries() -> dict[str, Builder]:

@@ -24,7 +24,7 @@ from basketrec.sources import files  # noqa: E402
 HEADLINE = [
     "cooccurrence", "cosine_similarity", "topk_neighbours", "last_prior_order",
     "predict_cosine", "predict_random", "predict_baseline", "average_precision",
-    "map_score", "ratings", "matrix_l1", "similar_items_cosine", "pipeline_global_map",
+    "map_score", "ratings", "matrix_l1", "similar_items_cosine", "end_to_end_global_map",
 ]
 
 
