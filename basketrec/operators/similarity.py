@@ -10,9 +10,9 @@ Plan (one shuffle of pair-sized data, two of pre-aggregated lines):
    from the facts — a product table, broadcast behind a row-count check, so
    the lines keep their order partitioning;
 3. the basket self-join runs on order_id inside those partitions (no new
-   shuffle) and emits only product_id_left < product_id_right; baskets with
-   more than ``hot_basket`` distinct products are salted over
-   ``hot_salts`` tasks instead of landing on one;
+   shuffle) and emits only product_id_left < product_id_right; a basket
+   with more than ``pairs_per_task`` pairs is salted over as many tasks as
+   its pair count needs instead of landing on one;
 4. Σ m_l·m_r per pair is aggregated map-side first, then shuffled once;
    n_l and n_r ride along as group keys, so no join on the pair table is
    needed for the norms;
@@ -64,39 +64,43 @@ def product_counts(facts: DataFrame, basket: str = "multiset", basket_key: str =
     return f.groupBy("product_id").agg(F.count_distinct("order_id").alias("n"))
 
 
-def _upper_pairs(lines: DataFrame, counts: DataFrame, hot_basket: int, hot_salts: int,
-                 broadcast_max_rows: int) -> DataFrame:
-    """(l, r, n_l, n_r, dot) for l < r; ``counts`` is already size-checked."""
+def _upper_pairs(lines: DataFrame, counts: DataFrame, pairs_per_task: int, max_salts: int) -> DataFrame:
+    """(l, r, n_l, n_r, dot) for l < r; ``counts`` is already size-checked.
+
+    A basket with b distinct products yields b(b-1)/2 pairs.  Baskets with
+    more than ``pairs_per_task`` pairs are hot: their left rows are split by
+    a product hash into s = ceil(pairs / pairs_per_task) salts (at most
+    ``max_salts``) and their right rows are replicated s times, so each task
+    forms about ``pairs_per_task`` of the basket's pairs."""
     w = lines.join(counts, "product_id")
     w = w.withColumn("_bn", F.count(F.lit(1)).over(Window.partitionBy("order_id")))
+    n_pairs = F.col("_bn") * (F.col("_bn") - 1) / 2
 
-    def side(df, p, m, n):
+    def side(df, p, m, n, extra=()):
         return df.select("order_id", F.col("product_id").alias(p), F.col("m").alias(m),
-                         F.col("n").alias(n), *[x for x in df.columns if x == "_salt"])
-
-    normal = w.where(F.col("_bn") <= hot_basket)
-    a = side(normal, L, "m_l", "n_l")
-    b = side(normal, R, "m_r", "n_r")
-    pairs = a.join(b, "order_id").where(F.col(L) < F.col(R))
-
-    hot = w.where(F.col("_bn") > hot_basket)
-    ha = side(hot.withColumn("_salt", F.pmod(F.xxhash64("product_id"), F.lit(hot_salts))),
-              L, "m_l", "n_l")
-    hb = side(hot.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(hot_salts - 1)).cast("array<long>"))),
-              R, "m_r", "n_r")
+                         F.col("n").alias(n), *extra)
+
+    normal = w.where(n_pairs <= pairs_per_task)
+    pairs = side(normal, L, "m_l", "n_l").join(side(normal, R, "m_r", "n_r"), "order_id") \
+        .where(F.col(L) < F.col(R))
+
+    hot = w.where(n_pairs > pairs_per_task).withColumn(
+        "_s", F.least(F.ceil(n_pairs / F.lit(max(pairs_per_task, 1))), F.lit(max_salts)).cast("long"))
+    ha = side(hot, L, "m_l", "n_l", [F.pmod(F.xxhash64("product_id"), F.col("_s")).alias("_salt")])
+    hb = side(hot, R, "m_r", "n_r", [F.explode(F.sequence(F.lit(0).cast("long"), F.col("_s") - 1)).alias("_salt")])
     hot_pairs = ha.join(hb, ["order_id", "_salt"]).where(F.col(L) < F.col(R)).drop("_salt")
 
     both = pairs.unionByName(hot_pairs)
     return both.groupBy(L, R, "n_l", "n_r").agg(F.sum(F.col("m_l") * F.col("m_r")).alias("dot"))
 
 
-def pair_dots(facts: DataFrame, basket: str = "multiset", hot_basket: int = 20_000,
-              hot_salts: int = 64, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+def pair_dots(facts: DataFrame, basket: str = "multiset", pairs_per_task: int = 50_000_000,
+              max_salts: int = 4096, broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """All ordered pairs (self pairs included) of products bought in the
     same basket: (product_id_left, product_id_right, dot, n_l, n_r)."""
     lines = basket_lines(facts, basket)
     counts = broadcast_if_small(product_counts(facts, basket), broadcast_max_rows)
-    up = _upper_pairs(lines, counts, hot_basket, hot_salts, broadcast_max_rows)
+    up = _upper_pairs(lines, counts, pairs_per_task, max_salts)
     mirrored = up.select(
         F.explode(F.array(
             F.struct(F.col(L).alias("l"), F.col(R).alias("r"), F.col("n_l").alias("nl"), F.col("n_r").alias("nr")),

@@ -2,7 +2,9 @@
 
 ``broadcast_if_small`` persists the (small, derived) side, counts it, and
 adds the broadcast hint only when the row count is within ``max_rows``;
-otherwise the frame is returned unhinted and Spark plans a shuffle join.
+otherwise the frame is released and returned unhinted, and Spark plans a
+shuffle join (AQE may still broadcast it if its measured size turns out
+under the broadcast threshold).
 The count is one pass over a frame that the join needs anyway, and the
 persisted blocks make the join reuse it.
 """
@@ -19,4 +21,7 @@ DEFAULT_MAX_ROWS = 2_000_000
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = cached.limit(max_rows + 1).count()
-    return F.broadcast(cached) if n <= max_rows else cached
+    if n <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()  # too big to broadcast, and too big to keep cached for one join
+    return df

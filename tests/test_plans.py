@@ -53,3 +53,15 @@ def test_no_cross_join_or_python_udf(spark, key):
         assert bad not in p, f"{key}: {bad}"
     if key not in ALS_KEYS:
         assert "CartesianProduct" not in p, key
+
+
+def test_broadcast_only_under_bound(spark):
+    from basketrec.plans.broadcast import broadcast_if_small
+
+    small = broadcast_if_small(spark.range(10), max_rows=10)
+    big = broadcast_if_small(spark.range(11), max_rows=10)
+    j_small = spark.range(100).join(small, "id")
+    j_big = spark.range(100).join(big, "id")
+    assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in j_big._jdf.queryExecution().analyzed().toString().lower()
+    assert not big.is_cached

@@ -51,10 +51,11 @@ def test_hot_basket_salting_equals_plain_path(spark):
     rows = [(1, 1, p) for p in range(1, 40)] + [(2, 2, p) for p in (1, 2, 3)] + [(1, 3, 5), (1, 3, 5), (1, 3, 6)]
     facts = lines_df(spark, rows)
     plain = as_dict(sim.pair_dots(facts), "dot")
-    salted = as_dict(sim.pair_dots(facts, hot_basket=2, hot_salts=7), "dot")
-    all_hot = as_dict(sim.pair_dots(facts, hot_basket=0, hot_salts=3), "dot")
+    salted = as_dict(sim.pair_dots(facts, pairs_per_task=5), "dot")       # 39-product order: 148 salts
+    capped = as_dict(sim.pair_dots(facts, pairs_per_task=5, max_salts=7), "dot")
+    all_hot = as_dict(sim.pair_dots(facts, pairs_per_task=0), "dot")        # every basket salted
     _, exp = brute_cosine(rows)
-    assert plain == exp and salted == exp and all_hot == exp
+    assert plain == exp and salted == exp and capped == exp and all_hot == exp
 
 
 def test_top_pairs_excludes_self_and_breaks_ties(spark):
