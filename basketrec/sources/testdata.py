@@ -172,21 +172,28 @@ def _complete(spark: SparkSession, path: str) -> bool:
 
 def load_basket_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> BasketTables:
     """The basket model for ``sf_dir``; with ``materialize`` (default) read
-    from Parquet written once below the shared checkpoint folder."""
+    from Parquet written once below the shared checkpoint folder.  If that
+    folder cannot be written, the lazy derivation is returned instead."""
     if not materialize:
         return derive_basket_tables(spark, sf_dir)
-    key = (checkpoint_dir(spark), sf_dir)
+    key = (id(spark), spark.sparkContext.applicationId, checkpoint_dir(spark), sf_dir)
     if key in _LOADED:
         return _LOADED[key]
-    base = f"{checkpoint_dir(spark).rstrip('/')}/basketrec-basket-model/{source_fingerprint(spark, sf_dir)}"
-    derived = None
-    out = {}
-    for f in fields(BasketTables):
-        path = f"{base}/{f.name}"
-        if not _complete(spark, path):
-            derived = derived or derive_basket_tables(spark, sf_dir)
-            getattr(derived, f.name).write.mode("overwrite").parquet(path)
-        out[f.name] = spark.read.parquet(path)
-    tables = BasketTables(**out)
+    try:
+        base = f"{checkpoint_dir(spark).rstrip('/')}/basketrec-basket-model/{source_fingerprint(spark, sf_dir)}"
+        derived = None
+        out = {}
+        for f in fields(BasketTables):
+            path = f"{base}/{f.name}"
+            if not _complete(spark, path):
+                derived = derived or derive_basket_tables(spark, sf_dir)
+                getattr(derived, f.name).write.mode("overwrite").parquet(path)
+            out[f.name] = spark.read.parquet(path)
+        tables = BasketTables(**out)
+    except Exception as exc:  # noqa: BLE001 - unwritable folder: stay correct, just slower
+        import warnings
+
+        warnings.warn(f"basket model not materialised ({type(exc).__name__}: {exc}); deriving lazily")
+        return derive_basket_tables(spark, sf_dir)
     _LOADED[key] = tables
     return tables
