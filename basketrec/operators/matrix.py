@@ -65,12 +65,16 @@ def user_matrix_wide(facts: DataFrame, max_columns: int = 5000) -> DataFrame:
     return pivot_wide(user_item_matrix(facts), "user_id", "product_id", "purchases", max_columns)
 
 
-def l1_normalize_wide(wide: DataFrame, id_col: str | None = None) -> DataFrame:
-    """ML-vector form for a wide matrix: all columns but ``id_col`` assembled
-    into ``features`` and L1-normalised into ``normFeatures``."""
+def l1_normalize_wide(wide: DataFrame, id_col: str | None = "", include_id: bool = False) -> DataFrame:
+    """ML-vector form for a wide matrix: every column but the row id
+    (``id_col``; by default the first column, the pivot's row key) assembled
+    into ``features`` and L1-normalised into ``normFeatures``.
+    ``include_id=True`` assembles every column, id included."""
     from pyspark.ml.feature import Normalizer, VectorAssembler
 
-    cols = [c for c in wide.columns if c != id_col]
+    if id_col == "":
+        id_col = wide.columns[0]
+    cols = [c for c in wide.columns if include_id or c != id_col]
     assembled = VectorAssembler(inputCols=cols, outputCol="features").transform(wide)
     return Normalizer(inputCol="features", outputCol="normFeatures", p=1.0).transform(assembled)
 

@@ -141,6 +141,22 @@ def next_prime(n: int) -> int:
         c += 1
 
 
+def affine_draws(seed: int, line_cols: list, k: int, n: int):
+    """Array column of min(k, n) distinct indices in [0, n) for each row.
+
+    a ∈ [1, P−1] and b ∈ [0, P−1] come from the row's hash (P = smallest
+    prime ≥ n); positions j = 0, 1, ... map to (a·j + b) mod P — a
+    permutation of 0..P−1 — and values ≥ n are skipped.  The first
+    min(k + P − n, P) positions hold at least min(k, n) valid values."""
+    p = next_prime(n)
+    draws = min(k + (p - n), p)  # positions past P would repeat values: the permutation has period P
+    a = F.lit(1) + F.pmod(hash_u32(seed, *line_cols, F.lit("a")), F.lit(max(p - 1, 1)))
+    b = F.pmod(hash_u32(seed, *line_cols, F.lit("b")), F.lit(p))
+    seq = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(draws - 1).cast("long")),
+                      lambda j: F.pmod(a * j + b, F.lit(p)))
+    return F.slice(F.filter(seq, lambda v: v < F.lit(n)), 1, k)
+
+
 def predict_random(baskets: DataFrame, products: DataFrame, k: int = 10, seed: int = 1) -> DataFrame:
     """k distinct catalogue products per basket line, without replacement.
 
@@ -152,15 +168,7 @@ def predict_random(baskets: DataFrame, products: DataFrame, k: int = 10, seed: i
     per-line scan of the catalogue and no cross join."""
     idx = dense_index(products, "product_id", "idx")
     n = idx.count()
-    p = next_prime(n)
-    # positions past P would repeat values: the permutation has period P
-    draws = min(k + (p - n), p)
-    line = ["user_id", "product_id", "add_to_cart_order"]
-    a = F.lit(1) + F.pmod(hash_u32(seed, *line, F.lit("a")), F.lit(max(p - 1, 1)))
-    b = F.pmod(hash_u32(seed, *line, F.lit("b")), F.lit(p))
-    seq = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(draws - 1).cast("long")),
-                      lambda j: F.pmod(a * j + b, F.lit(p)))
-    picked = F.slice(F.filter(seq, lambda v: v < F.lit(n)), 1, k)
+    picked = affine_draws(seed, ["user_id", "product_id", "add_to_cart_order"], k, n)
     exploded = baskets.select(
         "user_id", F.col("product_id").alias("purchased_product"),
         F.col("add_to_cart_order").alias("line"),
@@ -175,25 +183,42 @@ def predict_random(baskets: DataFrame, products: DataFrame, k: int = 10, seed: i
 
 
 def predict_baseline(baskets: DataFrame, last_prior: DataFrame, products: DataFrame, k: int = 10,
-                     seed: int = 1, pool: int = 100, rank_mode: str = "line") -> DataFrame:
-    """k products drawn (seeded) from the ``pool`` most popular ones; with a
-    fixed seed every basket line gets the same k items, as in the reference.
-
-    The k picks (a bounded array of k structs) are a scalar subquery, so
-    each line is expanded by ``posexplode`` — no join, no cross product."""
+                     seed: int = 1, pool: int = 100, rank_mode: str = "line",
+                     per_line_seed: bool = False) -> DataFrame:
+    """k products drawn (seeded) from the ``pool`` most popular ones.
+
+    Default: one draw for all — with a fixed seed every basket line gets the
+    same k items, as in the reference.  The k picks (a bounded array of k
+    structs) are a scalar subquery, so each line is expanded by
+    ``posexplode`` — no join, no cross product.
+
+    ``per_line_seed=True``: every line draws its own k of the pool with the
+    same exact permutation draw as ``predict_random`` (O(k) per line); the
+    pool (``pool`` rows) is broadcast."""
     top = top_products(last_prior, pool)
-    picks = top.select("product_id", "purchasecount",
-                       hash_order_key(seed, "product_id").alias("_h")) \
-        .orderBy("_h", "product_id").limit(k)
-    arr = picks.agg(F.array_sort(F.collect_list(
-        F.struct(F.col("_h"), F.col("product_id"), F.col("purchasecount"))))).scalar()
-    pred = baskets.select(
-        "user_id", F.col("product_id").alias("purchased_product"),
-        F.col("add_to_cart_order").alias("line"),
-        F.posexplode(arr).alias("rank", "s"),
-    ).select("user_id", "purchased_product", "line", (F.col("rank") + 1).alias("rank"),
-             F.col("s.product_id").alias("predicted_product"),
-             F.col("s.purchasecount").alias("purchasecount"))
+    line = F.col("add_to_cart_order").alias("line")
+    if per_line_seed:
+        ranked = top.withColumn("_idx", F.row_number().over(
+            Window.orderBy(F.desc("purchasecount"), F.asc("product_id"))) - 1)  # ≤ pool rows
+        n = ranked.count()
+        picked = affine_draws(seed, ["user_id", "product_id", "add_to_cart_order"], k, n)
+        drawn = baskets.select("user_id", F.col("product_id").alias("purchased_product"), line,
+                               F.posexplode(picked).alias("rank", "_idx"))
+        pred = drawn.join(F.broadcast(ranked), "_idx").select(
+            "user_id", "purchased_product", "line", (F.col("rank") + 1).alias("rank"),
+            F.col("product_id").alias("predicted_product"), "purchasecount")
+    else:
+        picks = top.select("product_id", "purchasecount",
+                           hash_order_key(seed, "product_id").alias("_h")) \
+            .orderBy("_h", "product_id").limit(k)
+        arr = picks.agg(F.array_sort(F.collect_list(
+            F.struct(F.col("_h"), F.col("product_id"), F.col("purchasecount"))))).scalar()
+        pred = baskets.select(
+            "user_id", F.col("product_id").alias("purchased_product"), line,
+            F.posexplode(arr).alias("rank", "s"),
+        ).select("user_id", "purchased_product", "line", (F.col("rank") + 1).alias("rank"),
+                 F.col("s.product_id").alias("predicted_product"),
+                 F.col("s.purchasecount").alias("purchasecount"))
     pred = _positions(pred, "purchasecount", rank_mode)
     return _names(pred, products).select(
         *PRED_COLS, "purchasecount", "prior_product_name", "predicted_product_name", "line", "rank", "pos")

@@ -32,7 +32,7 @@ def test_long_and_wide_agree(spark):
 
 def test_l1_vector_form_excludes_id(spark):
     f = lines_df(spark, BASKETS_SMALL)
-    out = matrix.l1_normalize_wide(matrix.user_matrix_wide(f), id_col="user_id").collect()
+    out = matrix.l1_normalize_wide(matrix.user_matrix_wide(f)).collect()
     for r in out:
         assert sum(abs(x) for x in r.normFeatures.toArray()) == pytest.approx(1.0)
         assert len(r.features) == 5

@@ -95,3 +95,17 @@ def test_predict_cosine_line_and_score_modes(spark):
     prods = [r.predicted_product for r in score]
     assert len(prods) == len(set(prods))
     assert [r.cosine_sims for r in score] == sorted((r.cosine_sims for r in score), reverse=True)
+
+
+def test_baseline_per_line_seed(spark):
+    last = spark.createDataFrame([(u, p) for u in range(5) for p in range(u, 30)], "user_id long, product_id long")
+    pred = models.predict_baseline(baskets(spark), last, products(spark, 5), k=4, seed=1, pool=10,
+                                   per_line_seed=True).collect()
+    per_line = defaultdict(list)
+    for r in pred:
+        per_line[(r.user_id, r.line)].append(r.predicted_product)
+    top10 = {r.product_id for r in models.top_products(last, 10).collect()}
+    assert len(per_line) == 3
+    for items in per_line.values():
+        assert len(items) == 4 and len(set(items)) == 4 and set(items) <= top10
+    assert len({tuple(sorted(v)) for v in per_line.values()}) > 1  # lines draw independently
