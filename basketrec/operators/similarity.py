@@ -12,7 +12,9 @@ Plan (one shuffle of pair-sized data, two of pre-aggregated lines):
 3. the basket self-join runs on order_id inside those partitions (no new
    shuffle) and emits only product_id_left < product_id_right; a basket
    with more than ``pairs_per_task`` pairs is salted over as many tasks as
-   its pair count needs instead of landing on one;
+   its pair count needs instead of landing on one (the salted branch is
+   planned only when the largest basket — one cheap aggregation — can
+   exceed the budget);
 4. Σ m_l·m_r per pair is aggregated map-side first, then shuffled once;
    n_l and n_r ride along as group keys, so no join on the pair table is
    needed for the norms;
@@ -64,7 +66,16 @@ def product_counts(facts: DataFrame, basket: str = "multiset", basket_key: str =
     return f.groupBy("product_id").agg(F.count_distinct("order_id").alias("n"))
 
 
-def _upper_pairs(lines: DataFrame, counts: DataFrame, pairs_per_task: int, max_salts: int) -> DataFrame:
+def max_basket_lines(facts: DataFrame, basket_key: str = "order_id") -> int:
+    """Largest number of lines in one basket (an upper bound on its distinct
+    products): one aggregation, combined map-side, reduced to one number."""
+    r = (facts.where(F.col(basket_key).isNotNull() & F.col("product_id").isNotNull())
+         .groupBy(basket_key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first())
+    return int(r[0] or 0)
+
+
+def _upper_pairs(lines: DataFrame, counts: DataFrame, pairs_per_task: int, max_salts: int,
+                 any_hot: bool = True) -> DataFrame:
     """(l, r, n_l, n_r, dot) for l < r; ``counts`` is already size-checked.
 
     A basket with b distinct products yields b(b-1)/2 pairs.  Baskets with
@@ -73,13 +84,17 @@ def _upper_pairs(lines: DataFrame, counts: DataFrame, pairs_per_task: int, max_s
     ``max_salts``) and their right rows are replicated s times, so each task
     forms about ``pairs_per_task`` of the basket's pairs."""
     w = lines.join(counts, "product_id")
-    w = w.withColumn("_bn", F.count(F.lit(1)).over(Window.partitionBy("order_id")))
-    n_pairs = F.col("_bn") * (F.col("_bn") - 1) / 2
 
     def side(df, p, m, n, extra=()):
         return df.select("order_id", F.col("product_id").alias(p), F.col("m").alias(m),
                          F.col("n").alias(n), *extra)
 
+    if not any_hot:  # no basket can exceed the budget: plain self-join, no size window
+        pairs = side(w, L, "m_l", "n_l").join(side(w, R, "m_r", "n_r"), "order_id").where(F.col(L) < F.col(R))
+        return pairs.groupBy(L, R, "n_l", "n_r").agg(F.sum(F.col("m_l") * F.col("m_r")).alias("dot"))
+
+    w = w.withColumn("_bn", F.count(F.lit(1)).over(Window.partitionBy("order_id")))
+    n_pairs = F.col("_bn") * (F.col("_bn") - 1) / 2
     normal = w.where(n_pairs <= pairs_per_task)
     pairs = side(normal, L, "m_l", "n_l").join(side(normal, R, "m_r", "n_r"), "order_id") \
         .where(F.col(L) < F.col(R))
@@ -100,7 +115,9 @@ def pair_dots(facts: DataFrame, basket: str = "multiset", pairs_per_task: int =
     same basket: (product_id_left, product_id_right, dot, n_l, n_r)."""
     lines = basket_lines(facts, basket)
     counts = broadcast_if_small(product_counts(facts, basket), broadcast_max_rows)
-    up = _upper_pairs(lines, counts, pairs_per_task, max_salts)
+    mx = max_basket_lines(facts)
+    up = _upper_pairs(lines, counts, pairs_per_task, max_salts,
+                      any_hot=mx * (mx - 1) / 2 > pairs_per_task)
     mirrored = up.select(
         F.explode(F.array(
             F.struct(F.col(L).alias("l"), F.col(R).alias("r"), F.col("n_l").alias("nl"), F.col("n_r").alias("nr")),

@@ -46,6 +46,11 @@ def prior_lines(t: BasketTables) -> DataFrame:
     return etl.order_lines(t.order_products_prior, t.orders, "prior")
 
 
+def last_lines(t: BasketTables) -> DataFrame:
+    """Train fact rows without catalogue columns (same rows as last_facts)."""
+    return etl.order_lines(t.order_products_train, t.orders, "train")
+
+
 def last_facts(t: BasketTables) -> DataFrame:
     return etl.order_facts(t.order_products_train, t.orders, catalog(t), "train")
 
@@ -145,7 +150,7 @@ def last_prior(t):
 
 
 def baskets(t):
-    return models.input_baskets(last_prior(t), last_facts(t))
+    return models.input_baskets(last_prior(t), last_lines(t))
 
 
 def neighbours(t, k=10):
@@ -166,7 +171,7 @@ def pred_baseline(t):
 
 def ap(t, pred):
     b = baskets(t)
-    return evaluate.average_precision(pred, models.actual_baskets(last_facts(t), b), b, k=10)
+    return evaluate.average_precision(pred, models.actual_baskets(last_lines(t), b), b, k=10)
 
 
 @register("last_prior_order", with_ctes(["b_last_prior"], "SELECT * FROM b_last_prior"))
@@ -181,12 +186,12 @@ SELECT * FROM b_last_prior WHERE user_id IN (
     ORDER BY {md5_key(1, 'user_id', 'product_id', 'add_to_cart_order')}, user_id LIMIT 100) s)"""))
 def q_input_baskets(t, spark, sf_dir):
     """Seeded sample: the users of 100 hash-drawn eligible lines (a sampling operator)."""
-    return models.input_baskets(last_prior(t), last_facts(t), n_users=100, seed=1, by="row")
+    return models.input_baskets(last_prior(t), last_lines(t), n_users=100, seed=1, by="row")
 
 
 @register("actual_baskets", with_ctes(["b_actual"], "SELECT * FROM b_actual"))
 def q_actual_baskets(t, spark, sf_dir):
-    return models.actual_baskets(last_facts(t), baskets(t))
+    return models.actual_baskets(last_lines(t), baskets(t))
 
 
 @register("top_products", with_ctes(["b_top100"], "SELECT * FROM b_top100"))
@@ -228,7 +233,7 @@ def q_map_score(t, spark, sf_dir):
     b = baskets(t)
     return evaluate.score_models(
         {"cosine": pred_cosine(t), "random": pred_random(t), "baseline": pred_baseline(t)},
-        models.actual_baskets(last_facts(t), b), b, k=10)
+        models.actual_baskets(last_lines(t), b), b, k=10)
 
 
 @register("global_map", with_ctes(["b_ap_cos", "b_ap_rand", "b_ap_base"], """

@@ -187,7 +187,10 @@ def load_basket_tables(spark: SparkSession, sf_dir: str, materialize: bool = Tru
             path = f"{base}/{f.name}"
             if not _complete(spark, path):
                 derived = derived or derive_basket_tables(spark, sf_dir)
-                getattr(derived, f.name).write.mode("overwrite").parquet(path)
+                df = getattr(derived, f.name)
+                # one file per core at least, split by the table's key, so scans are parallel
+                df.repartition(max(spark.sparkContext.defaultParallelism, 1), df.columns[0]) \
+                    .write.mode("overwrite").parquet(path)
             out[f.name] = spark.read.parquet(path)
         tables = BasketTables(**out)
     except Exception as exc:  # noqa: BLE001 - unwritable folder: stay correct, just slower

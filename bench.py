@@ -1,9 +1,10 @@
 """Benchmark: headline queries on $BENCH_SF_DIR (default /root/testdata/sf0.1)
 with local[$BENCH_CPUS]; prints one JSON line.
 
-Each query is fully executed once to warm the JVM, then timed on a second
-run; results are consumed by the ``noop`` sink (the whole plan runs, nothing
-is collected).  ``cosine_save`` mirrors the reference's one published number
+Each query is fully executed once to warm the JVM, then timed twice (the
+minimum is reported; the cache is cleared before every run, so nothing a
+previous run persisted serves the next); results are consumed by the
+``noop`` sink (the whole plan runs, nothing is collected).  ``cosine_save`` mirrors the reference's one published number
 (cosine similarities over all prior orders, computed and saved).
 """
 
@@ -38,28 +39,32 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
     qs = registry.queries()
     times: dict[str, float] = {}
-    for name in HEADLINE:
-        run_noop(qs[name](spark, sf_dir))  # warm-up
-        spark.catalog.clearCache()  # nothing persisted by the warm-up may serve the timed run
-        t0 = time.perf_counter()
-        run_noop(qs[name](spark, sf_dir))
-        times[name] = round(time.perf_counter() - t0, 3)
+    def timed(fn) -> float:
+        fn()  # warm-up
+        best = float("inf")
+        for _ in range(2):
+            spark.catalog.clearCache()
+            t0 = time.perf_counter()
+            fn()
+            best = min(best, time.perf_counter() - t0)
         spark.catalog.clearCache()
+        return round(best, 3)
+
+    for name in HEADLINE:
+        times[name] = timed(lambda: run_noop(qs[name](spark, sf_dir)))
 
     def cosine_save() -> None:
         t = registry.load_basket_tables(spark, sf_dir)
         files.write_pipe_text(sim.cosine_similarity(registry.prior_facts(t)),
                               scratch_path(spark, "bench-sims"))
 
-    cosine_save()
-    spark.catalog.clearCache()
-    t0 = time.perf_counter()
-    cosine_save()
-    times["cosine_save"] = round(time.perf_counter() - t0, 3)
+    times["cosine_save"] = timed(cosine_save)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus}))
+                      "queries": times, "sf": sf, "cpus": cpus,
+                      # the reference's one published number: cosine over all prior orders, computed + saved
+                      "baseline_comparable": {"cosine_save": times["cosine_save"]}}))
     spark.stop()
 
 
