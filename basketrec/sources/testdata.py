@@ -17,8 +17,10 @@ Mapping (deterministic, mirrored by the DuckDB oracle SQL):
   departments the distinct p_brand values, each numbered by name from 1.
 
 Real basket data carries order_number, eval_set and add_to_cart_order as
-columns, so the windows below belong to this adapter, not to the library's
-hot path.
+columns; here they are derived with ``group_row_number`` (a distributed row
+number, no window partition per customer or per order) and composite-key
+joins, so a customer or an order holding a third of all rows does not end
+up in one task.
 
 ``load_basket_tables`` derives the six basket-model tables once per input
 (keyed by the paths, sizes and modification times of the source files and by
@@ -37,6 +39,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from basketrec.functions.indexing import group_row_number
 from basketrec.session import checkpoint_dir
 
 SOURCE_TABLES = ("orders", "lineitem", "part")
@@ -63,16 +66,14 @@ def adapt_orders(orders_raw: DataFrame) -> DataFrame:
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").alias("ts"),
     )
-    # One window spec (one shuffle by user, one sort) yields number, previous
-    # date and the "is last" flag together.
-    w = Window.partitionBy("user_id").orderBy("ts", "order_id")
-    o = (
-        o.withColumn("order_number", F.row_number().over(w).cast("int"))
-        .withColumn("prev_ts", F.lag("ts").over(w))
-        .withColumn("is_last", F.lead(F.lit(1)).over(w).isNull())
-    )
+    # Position in the customer's history without a window per customer: a
+    # customer with a third of all orders is still numbered in parallel.
+    o = group_row_number(o, ["user_id"], ["ts", "order_id"], "order_number", group_size="n_orders")
+    prev = o.select("user_id", (F.col("order_number") + 1).alias("order_number"), F.col("ts").alias("prev_ts"))
+    o = o.join(prev, ["user_id", "order_number"], "left")
+    is_last = F.col("order_number") == F.col("n_orders")
     eval_set = (
-        F.when(F.col("is_last") & (F.col("order_number") >= 2),
+        F.when(is_last & (F.col("order_number") >= 2),
                F.when(F.pmod(F.col("user_id"), F.lit(3)) == 0, F.lit("test"))
                .otherwise(F.lit("train")))
         .otherwise(F.lit("prior"))
@@ -91,15 +92,14 @@ def adapt_orders(orders_raw: DataFrame) -> DataFrame:
 
 def adapt_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """All order lines with add_to_cart_order and reordered (all eval sets)."""
-    w = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    lines = lineitem.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.row_number().over(w).cast("int").alias("add_to_cart_order"),
-    )
-    lo = lines.join(orders.select("order_id", "user_id", "order_number", "eval_set"),
-                    "order_id")
+    lines = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                            "l_extendedprice")
+    lines = group_row_number(
+        lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"],
+        "add_to_cart_order",
+    ).select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+             "add_to_cart_order")
+    lo = lines.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
     first = lo.groupBy("user_id", "product_id").agg(
         F.min("order_number").alias("first_number"))
     return (
