@@ -273,3 +273,42 @@ FROM (
 LEFT JOIN b_catalog l ON l.product_id = s.product_id_left
 LEFT JOIN b_catalog r ON r.product_id = s.product_id_right
 WHERE s.rank <= {n}"""
+
+
+# --- model variants -------------------------------------------------------------------------
+
+cte("b_pred_cos_score", ("b_pred_cos",), """
+SELECT user_id, purchased_product, predicted_product, cosine_sims, line, rank,
+       row_number() OVER (PARTITION BY user_id ORDER BY best DESC, predicted_product) AS pos
+FROM (
+  SELECT user_id, purchased_product, predicted_product, cosine_sims, line, rank,
+         max(cosine_sims) OVER (PARTITION BY user_id, predicted_product) AS best,
+         row_number() OVER (PARTITION BY user_id, predicted_product ORDER BY cosine_sims DESC, line) AS r1
+  FROM b_pred_cos
+) t WHERE r1 = 1""")
+
+cte("b_pool", ("b_top100",), """
+SELECT product_id, purchasecount,
+       row_number() OVER (ORDER BY purchasecount DESC, product_id) - 1 AS idx
+FROM b_top100""")
+
+cte("b_pool_np", ("b_pool",), """
+SELECT n, list_filter(range(n, n + 5000),
+         lambda c: c >= 2 AND len(list_filter(range(2, CAST(floor(sqrt(c)) AS BIGINT) + 1), lambda d: c % d = 0)) = 0)[1] AS p
+FROM (SELECT count(*) AS n FROM b_pool) t""")
+
+cte("b_pred_base_line", ("b_input", "b_pool_np", "b_pool"), f"""
+SELECT d.user_id, d.purchased_product, d.line, d.rank, x.product_id AS predicted_product, x.purchasecount,
+       row_number() OVER (PARTITION BY d.user_id ORDER BY d.line, d.rank) AS pos
+FROM (
+  SELECT user_id, purchased_product, line, unnest(arr) AS idx, generate_subscripts(arr, 1) AS rank
+  FROM (
+    SELECT i.user_id, i.product_id AS purchased_product, i.add_to_cart_order AS line,
+           list_slice(list_filter(
+             list_transform(range(0, least(10 + np.p - np.n, np.p)),
+               lambda j: ((1 + {u32(1, 'i.user_id', 'i.product_id', 'i.add_to_cart_order', "'a'")} % greatest(np.p - 1, 1)) * j
+                     + {u32(1, 'i.user_id', 'i.product_id', 'i.add_to_cart_order', "'b'")} % np.p) % np.p),
+             lambda v: v < np.n), 1, 10) AS arr
+    FROM b_input i, b_pool_np np
+  ) s
+) d JOIN b_pool x ON x.idx = d.idx""")

@@ -253,6 +253,23 @@ def q_global_map(t, spark, sf_dir):
 
 
 
+
+@register("predict_cosine_by_score", with_ctes(["b_pred_cos_score", "b_products"],
+                                               named("b_pred_cos_score", "p.cosine_sims,")))
+def q_predict_cosine_by_score(t, spark, sf_dir):
+    """Cosine model, each user's distinct predicted products ranked by their
+    best similarity over the basket lines (rank_mode='score')."""
+    return models.predict_cosine(baskets(t), neighbours(t), t.products, rank_mode="score")
+
+
+@register("predict_baseline_per_line", with_ctes(["b_pred_base_line", "b_products"],
+                                                 named("b_pred_base_line", "p.purchasecount,")))
+def q_predict_baseline_per_line(t, spark, sf_dir):
+    """Baseline model with an independent draw of 10 of the top-100 per line."""
+    return models.predict_baseline(baskets(t), last_prior(t), t.products, k=10, seed=1,
+                                   per_line_seed=True)
+
+
 # --- matrices, ratings, ALS -----------------------------------------------------------------
 
 @register("user_item_matrix", with_ctes(["b_user_item"], "SELECT * FROM b_user_item"))

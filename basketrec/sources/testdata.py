@@ -39,7 +39,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketrec.functions.indexing import group_row_number
+from basketrec.functions.indexing import dense_index, group_row_number
 from basketrec.session import checkpoint_dir
 
 SOURCE_TABLES = ("orders", "lineitem", "part")
@@ -113,11 +113,11 @@ def adapt_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def adapt_dimension(part: DataFrame, src: str, id_col: str, name_col: str) -> DataFrame:
-    """Distinct attribute values numbered by name from 1 (a dimension table;
-    its size is bounded by the attribute's domain, not by the data)."""
-    vals = part.select(F.col(src).alias(name_col)).where(F.col(name_col).isNotNull()).distinct()
-    return vals.select(
-        F.dense_rank().over(Window.orderBy(name_col)).cast("long").alias(id_col), name_col)
+    """Distinct attribute values numbered by name from 1 (distributed dense
+    index, no single-partition window)."""
+    vals = part.select(F.col(src).alias(name_col)).where(F.col(name_col).isNotNull())
+    return dense_index(vals, name_col, "_i").select(
+        (F.col("_i") + 1).cast("long").alias(id_col), name_col)
 
 
 def derive_basket_tables(spark: SparkSession, sf_dir: str) -> BasketTables:
