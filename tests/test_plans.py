@@ -22,7 +22,8 @@ def tables(spark):
 
 def test_topk_is_a_group_limit(spark, tables):
     p = plan(sim.topk_neighbours(sim.cosine_similarity(R.prior_lines(tables)), k=10))
-    assert "WindowGroupLimit" in p
+    # a partial limit before the shuffle by product and a final one after it
+    assert "WindowGroupLimit [product_id_left" in p and ", Partial" in p and ", Final" in p
 
 
 def test_self_join_reuses_order_partitioning(spark, tables):

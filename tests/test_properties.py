@@ -53,3 +53,23 @@ def test_average_precision_matches_definition(spark, cases, k):
     got = {r.userid: r.MAP for r in evaluate.average_precision(pdf, adf, udf, k=k).collect()}
     for u, (acts, ps) in cases.items():
         assert got[u] == pytest.approx(ap_at_k(acts, ps, k), abs=1e-12)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 20), st.integers(0, 1000)),
+                     min_size=1, max_size=60, unique_by=lambda r: (r[0], r[1], r[2])),
+       parts=st.integers(1, 7))
+def test_group_row_number_equals_window(spark, rows, parts):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from basketrec.functions.indexing import global_index, group_row_number
+
+    df = spark.createDataFrame(rows, "g long, t long, i long").repartition(parts)
+    got = sorted((r.g, r.t, r.i, r.rn, r.n) for r in group_row_number(df, ["g"], ["t", "i"], "rn", "n").collect())
+    w = Window.partitionBy("g").orderBy("t", "i")
+    exp = sorted((r.g, r.t, r.i, r.rn, r.n) for r in df.select(
+        "*", F.row_number().over(w).alias("rn"), F.count(F.lit(1)).over(Window.partitionBy("g")).alias("n")).collect())
+    assert got == exp
+    idx = [r.idx for r in global_index(df, ["g", "t", "i"], num_partitions=parts).collect()]
+    assert sorted(idx) == list(range(len(rows)))
