@@ -56,3 +56,15 @@ def test_ratings_basket_weight_equals_self_join(spark):
     assert r.exceptAll(ref).count() == 0 and ref.exceptAll(r).count() == 0
     cnt = {(x.user_id, x.product_id): x.purchases for x in factor.ratings(f, weight="count").collect()}
     assert cnt[(1, 1)] == 3
+
+
+def test_save_sim_matrix_from_coordinate_matrix(spark, scratch):
+    from basketrec.sources import files
+
+    f = lines_df(spark, BASKETS_SMALL)
+    cooc = sim.cooccurrence(f)
+    path = scratch("mat")
+    files.save_sim_matrix(matrix.to_coordinate_matrix(cooc), path)
+    got = sorted(r.value for r in spark.read.text(path).collect())
+    exp = sorted(f"{r[sim.L]}|{r[sim.R]}|{float(r.cooccurances)}" for r in cooc.collect())
+    assert got == exp
