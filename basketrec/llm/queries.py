@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketrec.llm import mixing, sentencepiece_codec
+from basketrec.llm import mixing, sentencepiece_codec, toxicity
 from basketrec.llm.common import importable, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -23,12 +23,16 @@ def op5_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.op5_query(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op6_toxicity(spark, sf_dir):
+    return toxicity.op6_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_mix_sources(spark, sf_dir):
     return mixing.op8_query(table(spark, sf_dir, "documents"))
 
 
 OPERATORS = (
-    op5_sentencepiece, op8_mix_sources,
+    op5_sentencepiece, op6_toxicity, op8_mix_sources,
 )
 
 
