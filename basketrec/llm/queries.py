@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketrec.llm import mixing, sentencepiece_codec, toxicity
+from basketrec.llm import jaccard_join, mixing, sentencepiece_codec, toxicity
 from basketrec.llm.common import importable, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op3_ngram_join(spark, sf_dir):
+    return jaccard_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op5_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.op5_query(table(spark, sf_dir, "documents"), piece_model())
 
@@ -32,7 +36,7 @@ def op8_mix_sources(spark, sf_dir):
 
 
 OPERATORS = (
-    op5_sentencepiece, op6_toxicity, op8_mix_sources,
+    op3_ngram_join, op5_sentencepiece, op6_toxicity, op8_mix_sources,
 )
 
 
