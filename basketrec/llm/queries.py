@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketrec.llm import jaccard_join, mixing, sentencepiece_codec, toxicity
+from basketrec.llm import jaccard_join, mixing, pii, sentencepiece_codec, toxicity
 from basketrec.llm.common import importable, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -35,8 +35,13 @@ def op8_mix_sources(spark, sf_dir):
     return mixing.op8_query(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark, sf_dir):
+    return pii.op10_query(table(spark, sf_dir, "documents"))
+
+
 OPERATORS = (
     op3_ngram_join, op5_sentencepiece, op6_toxicity, op8_mix_sources,
+    op10_pii,
 )
 
 
