@@ -24,13 +24,15 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketrec.llm.common import materialise
+from basketrec.session import scratch_path
 
 MARK = "▁"
 BLOCK_CHARS = 24_000_000
+FREQUENT = 16384
 _CHUNK = re.compile(" +[^ ]*")
 _PROCESSORS: dict = {}
 
@@ -59,76 +61,92 @@ def segment(sp, words: list[str]) -> list[list[int]]:
     return [lone if w == " " else ids for w, ids in zip(words, found)]
 
 
-def pack(words: list[str]) -> tuple[bytes, bytes]:
-    raw = [w.encode("utf-8") for w in words]
-    return np.fromiter(map(len, raw), "<u4", len(raw)).tobytes(), b"".join(raw)
+def squeeze(x: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers by byte planes, compressed."""
+    return zstandard.compress(np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
 
+def stretch(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
-def unpack(lens: bytes, blob: bytes) -> list[str]:
-    out, at = [], 0
-    for n in np.frombuffer(lens, "<u4").tolist():
-        out.append(blob[at:at + n].decode("utf-8"))
+
+def unpack(lens: np.ndarray, blob: bytes) -> list[str]:
+    out, at, raw = [], 0, zstandard.decompress(blob)
+    for n in lens.tolist():
+        out.append(raw[at:at + n].decode("utf-8"))
         at += n
     return out
 
 
-CUT_SCHEMA = "block string, part int, doc_id long, a binary, b binary"
+CUT_SCHEMA = "block string, part int, doc_id long, a binary, b binary, c binary"
+
+
+def _deal_out(block: str, docs: list, words: dict[str, int], deal: int):
+    """Rows of a block.  part -1: a document with its chunk indices (a); otherwise the
+    indices (a, as differences), byte lengths (b) and bytes (c) of dictionary chunks.
+    Frequent chunks have the smallest indices, the others follow by part, so that
+    both kinds of rows compress well."""
+    raw = [w.encode("utf-8") for w in words]
+    part = np.fromiter((zlib.crc32(w) % deal for w in raw), np.int64, len(raw))
+    count = np.bincount(np.concatenate([ix for _, ix in docs]), minlength=len(raw))
+    order = np.argsort(-count, kind="stable")
+    rare = sorted(order[FREQUENT:].tolist(), key=lambda i: (part[i], raw[i]))
+    order = np.concatenate([order[:FREQUENT], np.array(rare, np.int64)])
+    index = np.empty(len(raw), np.int64)
+    index[order] = np.arange(len(raw))
+    for d, ix in docs:
+        yield block, -1, d, squeeze(index[ix]), None, None
+    by_part = order[np.argsort(part[order], kind="stable")]
+    for ix in np.split(by_part, np.flatnonzero(np.diff(part[by_part])) + 1) if len(raw) else ():
+        own = [raw[i] for i in ix.tolist()]
+        yield (block, int(part[ix[0]]), None, squeeze(np.diff(index[ix], prepend=0)),
+               squeeze(np.fromiter(map(len, own), np.int64, len(own))), zstandard.compress(b"".join(own)))
 
 
 def _cut(deal: int, block_chars: int):
-    def rows(block, docs, words):
-        """part -1: a document with its chunk indices; otherwise chunks of the dictionary."""
-        parts: dict[int, list[int]] = {}
-        for w, i in words.items():
-            parts.setdefault(zlib.crc32(w.encode("utf-8")) % deal, []).append(i)
-        names = list(words)
-        dealt = [(p, np.array(ix, "<u4").tobytes(), *pack([names[i] for i in ix])) for p, ix in parts.items()]
-        yield [(block, -1, d, zlib.compress(ix, 1), None) for d, ix in docs]
-        for p, ix, lens, blob in dealt:
-            yield [(block, p, None, ix + lens, blob)]
-
-    def batch(found):
-        cols = list(zip(*found))
-        kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-        names = ("block", "part", "doc_id", "a", "b")
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+    kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+
+    def batches_of(docs, words):
+        rows = list(_deal_out(uuid.uuid4().hex, docs, words, deal))
+        for at in range(0, len(rows), 2000):
+            cols = zip(*rows[at:at + 2000])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                             names=["block", "part", "doc_id", "a", "b", "c"])
 
     def run(batches):
         docs, words, held = [], {}, 0
         for rb in batches:
             for d, text in zip(rb.column(0).to_pylist(), rb.column(1)):
                 text = text.as_py() or ""
-                ix = np.fromiter((words.setdefault(w, len(words)) for w in chunks(text)), "<u4")
-                docs.append((d, ix.tobytes()))
-                held += len(text)
+                docs.append((d, np.fromiter((words.setdefault(w, len(words)) for w in chunks(text)), np.int64)))
+                held += len(text) + 1
                 if held >= block_chars:
-                    yield from map(batch, rows(uuid.uuid4().hex, docs, words))
+                    yield from batches_of(docs, words)
                     docs, words, held = [], {}, 0
         if docs:
-            yield from map(batch, rows(uuid.uuid4().hex, docs, words))
+            yield from batches_of(docs, words)
 
     return run
 
 
-SEGMENT_SCHEMA = "block string, n int, ids binary"
+SEGMENT_SCHEMA = "block string, a binary, b binary, ids binary"
 
 
 def _segment(model: str):
     def run(batches):
         sp, known = processor(model), {}
         for rb in batches:
-            blocks, out = rb.column(0).to_pylist(), []
-            for both, blob in zip(rb.column(1).to_pylist(), rb.column(2).to_pylist()):
-                half = len(both) // 2
-                words = unpack(both[half:], blob)
+            out = []
+            for lens, blob in zip(rb.column(2).to_pylist(), rb.column(3).to_pylist()):
+                words = unpack(stretch(lens), blob)
                 new = [w for w in words if w not in known]
-                known.update((w, np.array(ids, "<u4").tobytes()) for w, ids in zip(new, segment(sp, new)))
+                known.update((w, np.array(ids, "<u4")) for w, ids in zip(new, segment(sp, new)))
                 ids = [known[w] for w in words]
-                lens = np.fromiter(map(len, ids), "<u4", len(ids)) // 4
-                out.append((len(words), zlib.compress(both[:half] + lens.astype("<u4").tobytes() + b"".join(ids), 1)))
+                out.append((squeeze(np.fromiter(map(len, ids), np.int64, len(ids))), squeeze(np.concatenate(ids))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.string()), pa.array([n for n, _ in out], pa.int32()),
-                 pa.array([x for _, x in out], pa.binary())], names=["block", "n", "ids"])
+                [rb.column(0), rb.column(1), pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())],
+                names=["block", "a", "b", "ids"])
 
     return run
 
@@ -138,17 +156,14 @@ CODEC_SCHEMA = "doc_id long, n_tokens long, ids binary, decoded string"
 
 def _assemble(model: str):
     def table_of(pieces: pa.Table):
-        parts = []
-        for n, blob in zip(pieces["n"].to_pylist(), pieces["ids"].to_pylist()):
-            raw = np.frombuffer(zlib.decompress(blob), "<u4")
-            parts.append((raw[:n], raw[n:2 * n], raw[2 * n:]))
+        """Start and number of ids of every index, and the ids."""
+        parts = [(np.cumsum(stretch(a).view(np.int32)), stretch(b), stretch(ids)) for a, b, ids in
+                 zip(*(pieces[c].to_pylist() for c in ("a", "b", "ids")))]
         if not parts:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
         at, lens, ids = (np.concatenate(x) for x in zip(*parts))
-        starts = np.zeros(len(at), np.int64)
-        starts[at] = np.cumsum(lens, dtype=np.int64) - lens
-        size = np.zeros(len(at), np.int64)
-        size[at] = lens
+        starts, size = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        starts[at], size[at] = np.cumsum(lens, dtype=np.int64) - lens, lens
         return starts, size, ids
 
     def run(docs: pa.Table, pieces: pa.Table) -> pa.Table:
@@ -157,7 +172,7 @@ def _assemble(model: str):
         begin, end = np.array([sp.bos_id()], "<u4"), np.array([sp.eos_id()], "<u4")
         out = []
         for d, blob in zip(docs["doc_id"].to_pylist(), docs["a"].to_pylist()):
-            ix = np.frombuffer(zlib.decompress(blob), "<u4")
+            ix = stretch(blob)
             n = size[ix]
             shift = np.repeat(starts[ix] - (np.cumsum(n) - n), n)
             own = np.concatenate([begin, ids[shift + np.arange(len(shift))], end])
@@ -174,10 +189,13 @@ def encode_decode(docs: DataFrame, model: str, block_chars: int = BLOCK_CHARS) -
     little-endian unsigned 32-bit integers, their number, and the decoded text."""
     spark = docs.sparkSession
     deal = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = materialise(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        .mapInArrow(_cut(deal, block_chars), CUT_SCHEMA), "pieces-cut")
-    words = cut.filter("part >= 0").repartition(deal, "part").select("block", "a", "b")
+    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    cut = cut.mapInArrow(_cut(deal, block_chars), CUT_SCHEMA)
+    # bucketed by block, so that the documents' side of the join below is not shuffled
+    name, path = f"pieces_{uuid.uuid4().hex}", scratch_path(spark, "pieces-cut")
+    cut.write.bucketBy(deal, "block").option("path", path).option("compression", "uncompressed").saveAsTable(name)
+    cut = spark.table(name)
+    words = cut.filter("part >= 0").repartition(deal, "part").select("block", "a", "b", "c")
     ids = words.mapInArrow(_segment(model), SEGMENT_SCHEMA)
     indexed = cut.filter("part < 0").select("block", "doc_id", "a")
     return indexed.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(_assemble(model), CODEC_SCHEMA)
