@@ -11,10 +11,12 @@ texts rarely opens a tile.
 2. Every node is compared with one hub, the smallest node of its tiles.  This
    settles groups of near copies in as many comparisons as they have nodes.
 3. Nodes of different components that share a tile (shingle and size band) are
-   compared: the xor of the parity bitmaps has at most as many bits as the
-   symmetric difference has shingles, which bounds the overlap from above; pairs
-   that could still reach the threshold get the exact intersection of the
-   sorted arrays.
+   compared.
+
+A comparison starts with the parity bitmaps: their xor has at most as many bits as
+the symmetric difference has shingles, which bounds the overlap from above.  Pairs
+that could still reach the threshold get the exact intersection of the sorted
+arrays, made from the texts of their nodes only.
 
 Links inside a component found in step 2 are not enumerated: components are the
 result, and every pair of different components that could link is compared.
@@ -160,12 +162,17 @@ def _sketch(width, num, den, frequent):
     def run(batches):
         late_ones = np.sort(np.array(frequent.value, np.int64).view(np.uint64))
         for rb in batches:
-            rows = []
+            rows, seen = [], set()
             for s in shingle_sets(rb.column(1).to_pylist(), width):
+                sid = set_id(s) if len(s) else None
+                if sid in seen:  # a copy: its first shingles are there already
+                    rows.append((sid, len(s), [], bitmap(s)))
+                    continue
+                seen.add(sid)
                 late = late_ones[np.minimum(np.searchsorted(late_ones, s), len(late_ones) - 1)] == s if len(late_ones) else np.zeros(len(s), bool)
                 take = len(s) - -(-num * len(s) // den) + 1 if len(s) else 0
                 prefix = np.concatenate([s[~late], s[late]])[:take]
-                rows.append((set_id(s) if len(s) else None, len(s), prefix.view(np.int64), bitmap(s)))
+                rows.append((sid, len(s), prefix.view(np.int64), bitmap(s)))
             sid, n, prefix, bits = zip(*rows) if rows else ((), (), (), ())
             bits = np.array(bits, np.int64).reshape(-1, LONGS)
             cols = [rb.column(0), pa.array(sid, pa.int64()), pa.array(n, pa.int32()), pa.array(prefix, pa.list_(pa.int64()))]
@@ -212,13 +219,30 @@ def _reachable(num, den) -> Column:
     return den * most >= num * (total - most)
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, num, den, name: str) -> DataFrame:
-    """Pairs (a, b) of nodes that link, bitmaps first, then exact intersections."""
+def _open(pairs: DataFrame, nodes: DataFrame, num, den, name: str) -> DataFrame:
+    """Pairs (a, b) of nodes whose bitmaps leave a link possible."""
     x, y = nodes.alias("x"), nodes.alias("y")
-    left = (pairs.join(x, F.col("a") == F.col("x.sid")).join(y, F.col("b") == F.col("y.sid"))
-            .filter(_reachable(num, den)).select("a", "b"))
-    both = left.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
-    return materialise(both.mapInArrow(_exact(num, den), "a long, b long"), f"{name}-links")
+    left = pairs.join(x, F.col("a") == F.col("x.sid")).join(y, F.col("b") == F.col("y.sid"))
+    return materialise(left.filter(_reachable(num, den)).select("a", "b"), name)
+
+
+def _links(pairs: DataFrame, sets: DataFrame, num, den, name: str) -> DataFrame:
+    """Pairs that link, by the exact intersection of their sets."""
+    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
+    return materialise(both.mapInArrow(_exact(num, den), "a long, b long"), name)
+
+
+def _across(tiles: DataFrame, comp: DataFrame, num, den) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that share a tile: a first shingle
+    and a size band, or two bands next to each other."""
+    own = tiles.join(comp, tiles.sid == comp.node, "left").withColumn("c", F.coalesce("root", "sid")).select("h", "sid", "n", "c")
+    mixed = own.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("h")
+    left = materialise(own.join(mixed, "h").withColumn("band", band(F.col("n"))), "ngram-open")
+    x = left.select("h", F.explode(F.array("band", F.col("band") - 1)).alias("tile"), F.col("sid").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"))
+    y = left.select("h", F.col("band").alias("tile"), F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"))
+    # a is the larger set (ties by id): of the same band, or of the band above
+    return (x.join(y, ["h", "tile"]).filter(f"ac <> bc and {den} * bn >= {num} * an and (an > bn or (an = bn and a > b))")
+            .groupBy("a", "b").agg(F.count("*").alias("k")).select("a", "b"))
 
 
 def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -236,32 +260,33 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = D
     filled = sketch.filter("sid is not null")
     nodes = materialise(filled.groupBy("sid").agg(F.max("n").alias("n"), *[F.max(m).alias(m) for m in BIT]), "ngram-nodes")
 
-    postings = filled.select("sid", "n", "prefix").dropDuplicates(["sid"]).select(F.explode("prefix").alias("h"), "sid", "n")
+    postings = filled.select(F.explode("prefix").alias("h"), "sid", "n")
     in_tile = Window.partitionBy("h")
-    tiles = postings.withColumn("hub", F.min(F.struct("n", "sid")).over(in_tile)).withColumn("many", F.count("*").over(in_tile) > 1)
-    tiles = tiles.filter("many").select("h", "sid", "n", F.col("hub.sid").alias("hub"), F.col("hub.n").alias("hub_n"))
+    tiles = postings.withColumn("hub", F.min(F.struct("n", "sid")).over(in_tile))
+    tiles = tiles.withColumn("lo", F.min("sid").over(in_tile)).withColumn("hi", F.max("sid").over(in_tile)).filter("lo <> hi")
+    tiles = tiles.select("h", "sid", "n", F.col("hub.sid").alias("hub"), F.col("hub.n").alias("hub_n")).dropDuplicates(["h", "sid"])
     tiles = materialise(tiles, "ngram-tiles")
 
-    # sets of the nodes that share a tile, from the text of one document each
-    shared = tiles.select("sid").distinct()
-    source = filled.join(shared, "sid", "left_semi").groupBy("sid").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("key")).select("key").distinct()
-    texts = base.withColumn("key", F.coalesce("doc_id", F.lit(NO_ID))).join(source, "key", "left_semi").select("raw")
-    sets = materialise(texts.mapInArrow(_sets(width), "sid long, s binary").dropDuplicates(["sid"]), "ngram-sets")
-
     stars = (tiles.filter(f"sid <> hub and {den} * hub_n >= {num} * n").groupBy("sid")
              .agg(F.min(F.struct("hub_n", "hub")).alias("h")).select(F.col("h.hub").alias("a"), F.col("sid").alias("b")))
-    links = _links(stars, nodes, sets, num, den, "ngram-star")
-    comp = materialise(connected_components(links), "ngram-comp")
+    stars = _open(stars, nodes, num, den, "ngram-stars")
+    # sets are needed of the nodes of these pairs, and of those across the components that
+    # they would make; should some pairs not link, the pairs to add are among the same nodes
+    comp = materialise(connected_components(stars), "ngram-comp")
+    rest = _open(_across(tiles, comp, num, den), nodes, num, den, "ngram-rest")
+    ends = [x.select(F.col(c).alias("sid")) for x in (stars, rest) for c in ("a", "b")]
+    needed = ends[0].union(ends[1]).union(ends[2]).union(ends[3]).distinct()
+    source = (filled.select("sid", F.coalesce("doc_id", F.lit(NO_ID)).alias("key")).join(needed, "sid", "left_semi")
+              .groupBy("sid").agg(F.min("key").alias("key")))
+    source = materialise(source.select("key").distinct(), "ngram-source")
+    texts = base.withColumn("key", F.coalesce("doc_id", F.lit(NO_ID))).join(source, "key", "left_semi").select("raw")
+    sets = materialise(texts.mapInArrow(_sets(width), "sid long, s binary").dropDuplicates(["sid"]), "ngram-sets")
 
-    open_tiles = tiles.join(comp, tiles.sid == comp.node, "left").withColumn("c", F.coalesce("root", "sid")).select("h", "sid", "n", "c")
-    mixed = open_tiles.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("h")
-    left = materialise(open_tiles.join(mixed, "h").withColumn("band", band(F.col("n"))), "ngram-open")
-    x = left.select("h", F.explode(F.array("band", F.col("band") - 1)).alias("tile"), "band", F.col("sid").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"))
-    y = left.select("h", F.col("band").alias("tile"), F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"))
-    # a is the larger set: of the same band (ties by id), or of the band above
-    pairs = (x.join(y, ["h", "tile"]).filter(f"ac <> bc and {den} * bn >= {num} * an and (an > bn or (an = bn and a > b))")
-             .groupBy("a", "b").agg(F.count("*").alias("k")).select("a", "b"))
-    more = _links(pairs, nodes, sets, num, den, "ngram-rest")
+    links = _links(stars, sets, num, den, "ngram-star-links")
+    if links.count() < stars.count():
+        comp = materialise(connected_components(links), "ngram-comp")
+        rest = _open(_across(tiles, comp, num, den), nodes, num, den, "ngram-rest")
+    more = _links(rest, sets, num, den, "ngram-rest-links")
     comp = materialise(connected_components(links.union(more)), "ngram-all")
 
     own = (sketch.select("doc_id", "n", "sid").join(comp, sketch.sid == comp.node, "left")
