@@ -8,7 +8,8 @@ shingles that are frequent somewhere last, so that boilerplate shared by many
 texts rarely opens a tile.
 
 1. Postings of those first shingles; shingles of one node only are dropped.
-2. Every node is compared with one hub, the smallest node of its tiles.  This
+2. Every node is compared with one hub: of the smallest nodes of its tiles, the one
+   it meets most often.  This
    settles groups of near copies in as many comparisons as they have nodes.
 3. Nodes of different components that share a tile (shingle and size band) are
    compared.
@@ -134,6 +135,22 @@ def bitmap(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(">u8").astype(np.uint64).view(np.int64)
 
 
+def signature(s: np.ndarray) -> bytes:
+    """Parity bitmap of at least twice as many bits as shingles, a power of two."""
+    bits = 64 * LONGS
+    while bits < 2 * len(s):
+        bits *= 2
+    odd = np.bincount(((s >> np.uint64(3)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _fold(x: np.ndarray, size: int) -> np.ndarray:
+    """A bitmap brought to fewer bits: halves on each other, parities stay right."""
+    while len(x) > size:
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return x
+
+
 def set_id(s: np.ndarray) -> int:
     """Equal sets have equal ids; a sum of scrambled shingles, scrambled with their number."""
     total = np.add.reduce(_mix(s ^ np.uint64(0x5851F42D4C957F2D)), keepdims=True)
@@ -141,7 +158,7 @@ def set_id(s: np.ndarray) -> int:
 
 
 BIT = [f"m{i}" for i in range(LONGS)]
-SKETCH_SCHEMA = "doc_id long, sid long, n int, prefix array<long>, " + ", ".join(f"{m} long" for m in BIT)
+SKETCH_SCHEMA = "doc_id long, sid long, n int, prefix array<long>, " + ", ".join(f"{m} long" for m in BIT) + ", sig binary"
 
 
 def _hot(width):
@@ -166,18 +183,18 @@ def _sketch(width, num, den, frequent):
             for s in shingle_sets(rb.column(1).to_pylist(), width):
                 sid = set_id(s) if len(s) else None
                 if sid in seen:  # a copy: its first shingles are there already
-                    rows.append((sid, len(s), [], bitmap(s)))
+                    rows.append((sid, len(s), [], bitmap(s), None))
                     continue
                 seen.add(sid)
                 late = late_ones[np.minimum(np.searchsorted(late_ones, s), len(late_ones) - 1)] == s if len(late_ones) else np.zeros(len(s), bool)
                 take = len(s) - -(-num * len(s) // den) + 1 if len(s) else 0
                 prefix = np.concatenate([s[~late], s[late]])[:take]
-                rows.append((sid, len(s), prefix.view(np.int64), bitmap(s)))
-            sid, n, prefix, bits = zip(*rows) if rows else ((), (), (), ())
+                rows.append((sid, len(s), prefix.view(np.int64), bitmap(s), signature(s)))
+            sid, n, prefix, bits, sig = zip(*rows) if rows else ((),) * 5
             bits = np.array(bits, np.int64).reshape(-1, LONGS)
             cols = [rb.column(0), pa.array(sid, pa.int64()), pa.array(n, pa.int32()), pa.array(prefix, pa.list_(pa.int64()))]
-            cols += [pa.array(bits[:, k]) for k in range(LONGS)]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "sid", "n", "prefix", *BIT])
+            cols += [pa.array(bits[:, k]) for k in range(LONGS)] + [pa.array(sig, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "sid", "n", "prefix", *BIT, "sig"])
 
     return run
 
@@ -197,6 +214,22 @@ def _sets(width):
     return run
 
 
+def _close(num, den):
+    """Pairs (a, b) that the long bitmaps leave possible."""
+    def run(batches):
+        for rb in batches:
+            keep = []
+            for n, x, y in zip((rb.column(2).to_numpy() + rb.column(3).to_numpy()).tolist(), rb.column(4), rb.column(5)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y))
+                size = min(len(x), len(y))
+                differ = int(np.bitwise_count(_fold(x, size) ^ _fold(y, size)).sum())
+                keep.append(den * (n - differ) >= num * (n + differ))  # of twice the overlap and the union
+            rb = rb.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1)], names=["a", "b"])
+
+    return run
+
+
 def _exact(num, den):
     def run(batches):
         for rb in batches:
@@ -220,10 +253,15 @@ def _reachable(num, den) -> Column:
 
 
 def _open(pairs: DataFrame, nodes: DataFrame, num, den, name: str) -> DataFrame:
-    """Pairs (a, b) of nodes whose bitmaps leave a link possible."""
-    x, y = nodes.alias("x"), nodes.alias("y")
-    left = pairs.join(x, F.col("a") == F.col("x.sid")).join(y, F.col("b") == F.col("y.sid"))
-    return materialise(left.filter(_reachable(num, den)).select("a", "b"), name)
+    """Pairs (a, b) of nodes whose bitmaps leave a link possible: short ones in the plan,
+    then ones as long as the sets."""
+    short = nodes.drop("sig")
+    x, y = short.alias("x"), short.alias("y")
+    left = pairs.join(x, F.col("a") == F.col("x.sid")).join(y, F.col("b") == F.col("y.sid")).filter(_reachable(num, den))
+    left = left.select("a", "b", F.col("x.n").alias("an"), F.col("y.n").alias("bn"))
+    sig = nodes.select("sid", "sig")
+    left = left.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b").select("a", "b", "an", "bn", "sa", "sb")
+    return materialise(left.mapInArrow(_close(num, den), "a long, b long"), name)
 
 
 def _links(pairs: DataFrame, sets: DataFrame, num, den, name: str) -> DataFrame:
@@ -258,7 +296,8 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = D
         [r["h"] for r in hot.groupBy("h").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= often).select("h").collect()])
     sketch = materialise(base.mapInArrow(_sketch(width, num, den, frequent), SKETCH_SCHEMA), "ngram-sketch")
     filled = sketch.filter("sid is not null")
-    nodes = materialise(filled.groupBy("sid").agg(F.max("n").alias("n"), *[F.max(m).alias(m) for m in BIT]), "ngram-nodes")
+    nodes = materialise(filled.groupBy("sid").agg(F.max("n").alias("n"), *[F.max(m).alias(m) for m in BIT],
+                                                F.max("sig").alias("sig")), "ngram-nodes")
 
     postings = filled.select(F.explode("prefix").alias("h"), "sid", "n")
     in_tile = Window.partitionBy("h")
@@ -267,8 +306,8 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = D
     tiles = tiles.select("h", "sid", "n", F.col("hub.sid").alias("hub"), F.col("hub.n").alias("hub_n")).dropDuplicates(["h", "sid"])
     tiles = materialise(tiles, "ngram-tiles")
 
-    stars = (tiles.filter(f"sid <> hub and {den} * hub_n >= {num} * n").groupBy("sid")
-             .agg(F.min(F.struct("hub_n", "hub")).alias("h")).select(F.col("h.hub").alias("a"), F.col("sid").alias("b")))
+    stars = (tiles.filter(f"sid <> hub and {den} * hub_n >= {num} * n").groupBy("sid", "hub").agg(F.count("*").alias("k"))
+             .groupBy("sid").agg(F.max_by("hub", F.struct("k", "hub")).alias("a")).select("a", F.col("sid").alias("b")))
     stars = _open(stars, nodes, num, den, "ngram-stars")
     # sets are needed of the nodes of these pairs, and of those across the components that
     # they would make; should some pairs not link, the pairs to add are among the same nodes
@@ -286,8 +325,15 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = D
     if links.count() < stars.count():
         comp = materialise(connected_components(links), "ngram-comp")
         rest = _open(_across(tiles, comp, num, den), nodes, num, den, "ngram-rest")
-    more = _links(rest, sets, num, den, "ngram-rest-links")
-    comp = materialise(connected_components(links.union(more)), "ngram-all")
+    # one pair of each node first; of the others only those still across components
+    one = materialise(rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "ngram-one")
+    links = links.union(_links(one, sets, num, den, "ngram-one-links"))
+    comp = materialise(connected_components(links), "ngram-comp")
+    at = lambda c: comp.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    rest = rest.join(one, ["a", "b"], "left_anti").join(at("a"), "a", "left").join(at("b"), "b", "left")
+    rest = rest.filter("coalesce(a_root, a) <> coalesce(b_root, b)").select("a", "b")
+    links = links.union(_links(rest, sets, num, den, "ngram-rest-links"))
+    comp = materialise(connected_components(links), "ngram-all")
 
     own = (sketch.select("doc_id", "n", "sid").join(comp, sketch.sid == comp.node, "left")
            .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("root", "sid").alias("group")))
