@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketrec.llm import jaccard_join, mixing, pii, sentencepiece_codec, toxicity
+from basketrec.llm import ann, embed_dedup, jaccard_join, langid, mixing, pii, sentencepiece_codec, toxicity, url_filter
 from basketrec.llm.common import importable, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -19,10 +19,18 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_embedding_dedup(spark, sf_dir):
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_ngram_join(spark, sf_dir):
     return jaccard_join.ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op4_url_filter(spark, sf_dir):
+    return url_filter.op4_query(table(spark, sf_dir, "pages"))
+
+
 def op5_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.op5_query(table(spark, sf_dir, "documents"), piece_model())
 
@@ -31,17 +39,25 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.op6_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_language(spark, sf_dir):
+    return langid.op7_query(table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark, sf_dir):
     return mixing.op8_query(table(spark, sf_dir, "documents"))
 
 
+def op9_ann(spark, sf_dir):
+    return ann.op9_query(table(spark, sf_dir, "embeddings"))
+
+
 def op10_pii(spark, sf_dir):
     return pii.op10_query(table(spark, sf_dir, "documents"))
 
 
 OPERATORS = (
-    op3_ngram_join, op5_sentencepiece, op6_toxicity, op8_mix_sources,
-    op10_pii,
+    op1_embedding_dedup, op3_ngram_join, op4_url_filter, op5_sentencepiece, op6_toxicity, op7_language, op8_mix_sources,
+    op9_ann, op10_pii,
 )
 
 
@@ -59,4 +75,4 @@ def queries() -> dict[str, Builder]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mix_sources": mixing.OP8_SQL}
+    return {"op4_url_filter": url_filter.OP4_SQL, "op8_mix_sources": mixing.OP8_SQL}
