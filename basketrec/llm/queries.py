@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketrec.llm import ann, embed_dedup, jaccard_join, langid, mixing, pii, sentencepiece_codec, toxicity, url_filter
+from basketrec.llm import ann, embed_dedup, jaccard_join, langid, mixing, pii, sentencepiece_codec, suffix_dedup, toxicity, url_filter
 from basketrec.llm.common import importable, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op1_embedding_dedup(spark, sf_dir):
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.op2_query(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_join(spark, sf_dir):
     return jaccard_join.ngram_join(table(spark, sf_dir, "documents"))
 
@@ -56,7 +60,7 @@ def op10_pii(spark, sf_dir):
 
 
 OPERATORS = (
-    op1_embedding_dedup, op3_ngram_join, op4_url_filter, op5_sentencepiece, op6_toxicity, op7_language, op8_mix_sources,
+    op1_embedding_dedup, op2_suffix_dedup, op3_ngram_join, op4_url_filter, op5_sentencepiece, op6_toxicity, op7_language, op8_mix_sources,
     op9_ann, op10_pii,
 )
 
