@@ -2,14 +2,14 @@
 
 A text is the set of its distinct word shingles (64-bit hashes).  Equal sets are
 one node, so copies are never compared.  Two sets of sizes a <= b with Jaccard
-similarity of at least t have a >= t * b and share a shingle among the first
-``size - ceil(t * size) + 1`` of any common order; the order used puts
+similarity of at least t have a >= t * b and share at least s shingles among
+the first ``size - ceil(t * size) + s`` of any common order; the order used puts
 shingles that are frequent somewhere last, so that boilerplate shared by many
-texts rarely opens a tile.
+texts rarely opens a tile, and s is SHARED.
 
 1. Postings of those first shingles; shingles of one node only are dropped.
-2. Every node is compared with one hub: of the smallest nodes of its tiles, the one
-   it meets most often.  This
+2. Every node is compared with one hub: of the nodes that share most in its tiles,
+   the one it meets most often.  This
    settles groups of near copies in as many comparisons as they have nodes.
 3. Nodes of different components that share a tile (shingle and size band) are
    compared.
@@ -43,7 +43,9 @@ NUM, DEN = 80, 100
 LONGS = 8  # 64 bits each
 #: A shingle is frequent if it is in at least so many, and this share, of the documents of a
 #: batch, and a quarter of this share of all documents.
-HOT_COUNT, HOT_SHARE = 12, 0.004
+HOT_COUNT, HOT_SHARE = 6, 0.001
+#: First shingles that linked sets must share (all that must be shared, if that is less).
+SHARED = 4
 NO_ID = -(1 << 63)
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -187,7 +189,8 @@ def _sketch(width, num, den, frequent):
                     continue
                 seen.add(sid)
                 late = late_ones[np.minimum(np.searchsorted(late_ones, s), len(late_ones) - 1)] == s if len(late_ones) else np.zeros(len(s), bool)
-                take = len(s) - -(-num * len(s) // den) + 1 if len(s) else 0
+                least = -(-num * len(s) // den)
+                take = len(s) - least + min(SHARED, least)
                 prefix = np.concatenate([s[~late], s[late]])[:take]
                 rows.append((sid, len(s), prefix.view(np.int64), bitmap(s), signature(s)))
             sid, n, prefix, bits, sig = zip(*rows) if rows else ((),) * 5
@@ -280,7 +283,8 @@ def _across(tiles: DataFrame, comp: DataFrame, num, den) -> DataFrame:
     y = left.select("h", F.col("band").alias("tile"), F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"))
     # a is the larger set (ties by id): of the same band, or of the band above
     return (x.join(y, ["h", "tile"]).filter(f"ac <> bc and {den} * bn >= {num} * an and (an > bn or (an = bn and a > b))")
-            .groupBy("a", "b").agg(F.count("*").alias("k")).select("a", "b"))
+            .groupBy("a", "b").agg(F.count("*").alias("k"), F.min("bn").alias("n"))
+            .filter(f"k >= least({SHARED}, ceil({num} * n / {den}))").select("a", "b"))
 
 
 def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -301,12 +305,14 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = D
 
     postings = filled.select(F.explode("prefix").alias("h"), "sid", "n")
     in_tile = Window.partitionBy("h")
-    tiles = postings.withColumn("hub", F.min(F.struct("n", "sid")).over(in_tile))
-    tiles = tiles.withColumn("lo", F.min("sid").over(in_tile)).withColumn("hi", F.max("sid").over(in_tile)).filter("lo <> hi")
-    tiles = tiles.select("h", "sid", "n", F.col("hub.sid").alias("hub"), F.col("hub.n").alias("hub_n")).dropDuplicates(["h", "sid"])
-    tiles = materialise(tiles, "ngram-tiles")
-
-    stars = (tiles.filter(f"sid <> hub and {den} * hub_n >= {num} * n").groupBy("sid", "hub").agg(F.count("*").alias("k"))
+    tiles = postings.withColumn("lo", F.min("sid").over(in_tile)).withColumn("hi", F.max("sid").over(in_tile))
+    tiles = tiles.withColumn("crowd", F.count("*").over(in_tile)).filter("lo <> hi").dropDuplicates(["h", "sid"])
+    tiles = materialise(tiles.select("h", "sid", "n", "crowd"), "ngram-tiles")
+    # the original of a group of near copies shares more than each copy does: it makes the best hub
+    popular = tiles.groupBy("sid").agg((F.sum("crowd") / F.max("n")).alias("pop"))
+    hubs = tiles.join(popular, "sid").groupBy("h").agg(F.max(F.struct("pop", "n", "sid")).alias("hub"))
+    stars = (tiles.join(hubs, "h").select("sid", "n", F.col("hub.sid").alias("hub"), F.col("hub.n").alias("hub_n"))
+             .filter(f"sid <> hub and {den} * least(hub_n, n) >= {num} * greatest(hub_n, n)").groupBy("sid", "hub").agg(F.count("*").alias("k"))
              .groupBy("sid").agg(F.max_by("hub", F.struct("k", "hub")).alias("a")).select("a", F.col("sid").alias("b")))
     stars = _open(stars, nodes, num, den, "ngram-stars")
     # sets are needed of the nodes of these pairs, and of those across the components that

@@ -209,7 +209,7 @@ def _block_contexts(texts, ids, answer: pa.Table):
     ls, rs = np.minimum(pos, LEFT), np.minimum(size[doc] - pos, LENGTH)
     n = LEFT + LENGTH
     rows = np.zeros((len(doc), n + 2 + 8), np.uint8)
-    rows[:, :n] = flat[(start[doc] + pos - LEFT)[:, None] + np.arange(n)]
+    rows[:, :n] = np.lib.stride_tricks.sliding_window_view(flat, n)[start[doc] + pos - LEFT]
     # the padding between two texts has the size of both contexts, so what is beyond a text is zero
     rows[:, n], rows[:, n + 1] = ls, rs
     rows[:, n + 2:] = h.astype(">i8").view(np.uint8).reshape(-1, 8)
@@ -224,13 +224,13 @@ CONTEXT_SCHEMA = "part int, block string, n int, meta binary, raw binary"
 
 
 def _contexts(deal: int):
-    """Rows by part of the hash: contexts packed; part -1: hot ones, for the window count."""
+    """Rows by part of the hash: contexts packed; negative parts: hot ones, for the window count."""
     def run(blocks: pa.Table, answer: pa.Table) -> pa.Table:
         out = []
         for block, ids, lens, raw in zip(*(blocks[c].to_pylist() for c in ("block", "ids", "lens", "raw"))):
             ids, texts = _texts(ids, lens, raw)
             (h, hot, mat, ls, rs, least), _ = _block_contexts(texts, ids, answer)
-            part = np.where(hot, -1, h % deal)
+            part = np.where(hot, -1 - h % deal, h % deal)
             for p in np.unique(part).tolist():
                 at = np.flatnonzero(part == p)
                 meta = np.stack([h[at], least[at], at, ls[at], rs[at]]).astype("<i8")
@@ -291,8 +291,15 @@ def repeats(right, rs, left, ls):
 def _tree():
     """Per block and context, how far left and right of the anchor its smallest document
     repeats a document with a smaller id."""
+    names = ("block", "ctx", "l", "r", "n", "meta", "raw")
+    ints, nothing = pa.list_(pa.int32()), [pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary())]
+
     def run(batches):
         rows = [r for rb in batches for r in zip(*(c.to_pylist() for c in rb.columns))]
+        for part, block, n, meta, raw in rows:
+            if part < 0:  # goes to the window count as it is
+                yield pa.RecordBatch.from_arrays([pa.array([block]), *(pa.nulls(1, ints) for _ in range(3)), pa.array([n], pa.int32()), pa.array([meta], pa.binary()), pa.array([raw], pa.binary())], names=names)
+        rows = [r for r in rows if r[0] >= 0]
         if not rows:
             return
         meta, mats = zip(*(_unpack_contexts(n, m, raw) for _, _, n, m, raw in rows))
@@ -331,8 +338,7 @@ def _tree():
         to_left[own], to_right[own] = reach_l[same[own]], reach_r[same[own]]
         hit = np.flatnonzero(to_left + to_right >= LENGTH)
         for b, at in zip(*_runs(block[hit], hit)):
-            yield pa.RecordBatch.from_arrays([pa.array([rows[b][1]]), *(pa.array([x[at].astype(np.int32).tolist()], pa.list_(pa.int32())) for x in (ctx, to_left, to_right))],
-                                             names=["block", "ctx", "l", "r"])
+            yield pa.RecordBatch.from_arrays([pa.array([rows[b][1]]), *(pa.array([x[at].astype(np.int32).tolist()], ints) for x in (ctx, to_left, to_right)), *nothing], names=names)
 
     return run
 
@@ -346,7 +352,7 @@ def _windows():
     """All windows of LENGTH bytes around hot anchors: hash, id, block, context, left part."""
     def run(batches):
         for rb in batches:
-            for _, block, n, meta, raw in zip(*(c.to_pylist() for c in rb.columns)):
+            for block, n, meta, raw in zip(*(c.to_pylist() for c in rb.columns)):
                 (_, doc, ctx, ls, rs), mat = _unpack_contexts(n, meta, raw)
                 for a in range(LEFT + 1):
                     at = np.flatnonzero((ls >= a) & (rs >= LENGTH - a))
@@ -409,10 +415,11 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, group: int =
     hashes = blocks.mapInArrow(_anchors(deal), "part int, block string, h binary, docs binary")
     answer = materialise(hashes.repartition(deal, "part").mapInArrow(_repeated(group), "block string, h binary, hot binary"), "repeat-anchors")
     contexts = blocks.groupBy("block").cogroup(answer.groupBy("block")).applyInArrow(_contexts(deal), CONTEXT_SCHEMA)
-    reach_schema = "block string, ctx array<int>, l array<int>, r array<int>"
-    contexts = materialise(contexts, "repeat-contexts")
-    tree = materialise(contexts.filter("part >= 0").repartition(deal, "part").mapInArrow(_tree(), reach_schema), "repeat-tree")
-    windows = materialise(contexts.filter("part < 0").mapInArrow(_windows(), "w binary, doc long, block string, ctx int, a int"), "repeat-windows")
+    reach_schema = "block string, ctx array<int>, l array<int>, r array<int>, n int, meta binary, raw binary"
+    tree = materialise(contexts.repartition(deal, "part").mapInArrow(_tree(), reach_schema), "repeat-tree")
+    hot = tree.filter("meta is not null").select("block", "n", "meta", "raw")
+    windows = materialise(hot.mapInArrow(_windows(), "w binary, doc long, block string, ctx int, a int"), "repeat-windows")
+    tree = tree.filter("meta is null").select("block", "ctx", "l", "r")
     least = windows.groupBy("w").agg(F.min("doc").alias("least"))
     wide = (windows.join(least, "w").filter("least < doc").groupBy("block", "ctx").agg(F.max("a").alias("l"), F.max(LENGTH - F.col("a")).alias("r"))
             .select("block", F.array("ctx").alias("ctx"), F.array("l").alias("l"), F.array("r").alias("r")))
