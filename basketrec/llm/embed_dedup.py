@@ -119,7 +119,8 @@ def _compare(threshold, tables, probes):
                 i, j = np.nonzero(v[part] @ v[right].T >= threshold)
                 found.append((part[i], right[j]))
         i, j = (np.concatenate(f) for f in zip(*found))
-        ok = ~(stored[i] & stored[j] & (ids[i] >= ids[j]))
+        # within a block two stored vectors meet in both orders, across blocks in one
+        ok = ~(stored[i] & stored[j] & (ids[i] >= ids[j])) if x == y else ids[i] != ids[j]
         i, j = i[ok], j[ok]
         if not len(i):
             return
