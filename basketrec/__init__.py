@@ -10,7 +10,6 @@ sources    readers/writers (CSV, Parquet, ``|`` text, score files) and the
 operators  ETL joins, co-occurrence / cosine, matrices, models, evaluation, ALS
 functions  column-level helpers (seeded hash draws, array cosine, dense index)
 plans      session/config helpers, size-checked broadcast, query registry, oracle SQL
-streaming  incremental ingest of order lines with Structured Streaming
 """
 
 __version__ = "0.1.0"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,8 +96,35 @@ def dept_sample(df: DataFrame, column: str = "department_id", value: int = 5) ->
     return df.where(F.col(column) == F.lit(value))
 
 
-def row_sample(df: DataFrame, fraction: float = 0.10, seed: int = 42,
-               with_replacement: bool = True) -> DataFrame:
-    """Bernoulli/Poisson row sample, seeded (the seed makes task retries and
-    re-runs draw the same rows)."""
-    return df.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)
+SAMPLE_KEY = ("order_id", "product_id", "add_to_cart_order")
+
+
+def _poisson_steps(rate: float) -> list[float]:
+    """Distribution function of a Poisson variable, up to where a 40-bit draw ends."""
+    steps, term, total, k = [], math.exp(-rate), 0.0, 0
+    while total < 1 - 2 ** -40 and k < 200:
+        total += term
+        k += 1
+        term *= rate / k
+        steps.append(total)
+    return steps
+
+
+def row_sample(df: DataFrame, fraction: float = 0.10, seed: int = 42, with_replacement: bool = True,
+               key: tuple[str, ...] | None = None) -> DataFrame:
+    """Row sample by a hash of the seed and the ``key`` columns (all columns by default):
+    the same rows for any partitioning.  With replacement a row comes a Poisson
+    number of times."""
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), *(key or df.columns)).cast("binary"))
+    draw = F.conv(F.substring(key, 1, 10), 16, 10).cast("double") / float(1 << 40)
+    if not with_replacement:
+        return df.where(draw < F.lit(fraction))
+    times = sum((F.when(draw >= F.lit(s), 1).otherwise(0) for s in _poisson_steps(fraction)), F.lit(0))
+    return df.withColumn("_n", times).where("_n > 0").withColumn("_i", F.explode(F.sequence(F.lit(1), "_n"))).drop("_n", "_i")
+
+
+def row_sample_sql(source: str, fraction: float, seed: int) -> str:
+    """The same sample in DuckDB SQL."""
+    draw = f"CAST('0x' || substr(md5(concat_ws('|', '{seed}', {', '.join(SAMPLE_KEY)})), 1, 10) AS BIGINT)::DOUBLE / {float(1 << 40)!r}::DOUBLE"
+    times = " + ".join(f"(u >= {s!r}::DOUBLE)::INTEGER" for s in _poisson_steps(fraction))
+    return f"SELECT * EXCLUDE (u, i) FROM (SELECT *, unnest(range(1, 1 + {times})) AS i FROM (SELECT *, {draw} AS u FROM {source}))"

@@ -1,9 +1,8 @@
 """Item-item and user-item matrices.
 
-The long (row, column, value) form is canonical: it is sparse, partitions
-by any key and never moves through the driver.  The wide, pivoted form
-exists for small matrices only: the column values are sorted, and their
-number is checked against ``max_columns`` before anything is pivoted.
+The long (row, column, value) form is canonical: it is sparse, partitions by any
+key and never moves through the driver.  The wide form has one row per id with
+sorted arrays of column ids and values, so its schema is the same for any catalogue.
 """
 
 from __future__ import annotations
@@ -14,10 +13,6 @@ from pyspark.sql import functions as F
 from basketrec.operators import similarity as sim
 
 
-class TooManyColumns(ValueError):
-    pass
-
-
 def user_item_matrix(facts: DataFrame) -> DataFrame:
     """(user_id, product_id, purchases): lines per user and product."""
     return facts.groupBy("user_id", "product_id").agg(F.count(F.lit(1)).alias("purchases"))
@@ -33,50 +28,29 @@ def l1_normalize(long: DataFrame, row: str, value: str, out: str = "l1_value") -
         *long.columns, F.try_divide(F.col(value).cast("double"), F.col("_l1").cast("double")).alias(out))
 
 
-def _pivot_values(long: DataFrame, col: str, max_columns: int) -> list:
-    vals = long.select(col).where(F.col(col).isNotNull()).distinct()
-    n = vals.limit(max_columns + 1).count()
-    if n > max_columns:
-        raise TooManyColumns(
-            f"{col} has more than {max_columns} distinct values; use the long form")
-    return [r[0] for r in vals.orderBy(col).collect()]
-
-
-def pivot_wide(long: DataFrame, row: str, col: str, value: str | None,
-               max_columns: int = 5000) -> DataFrame:
-    """Pivot long to wide, one column per (sorted) value of ``col``, missing
-    cells 0.  ``value=None`` counts rows, else sums ``value``.  The value
-    list is bounded by ``max_columns`` before it is collected."""
-    values = _pivot_values(long, col, max_columns)
-    g = long.groupBy(row).pivot(col, values)
-    wide = g.count() if value is None else g.agg(F.sum(value))
-    return wide.fillna(0).orderBy(row)
+def matrix_rows(long: DataFrame, row: str, col: str, value: str) -> DataFrame:
+    """One row per id: its column ids in order and their values; absent cells are 0.
+    The schema does not depend on the data, so any number of columns fits, and
+    a row is as long as its id has distinct partners."""
+    cells = long.groupBy(row).agg(F.array_sort(F.collect_list(F.struct(F.col(col).alias("c"), F.col(value).alias("v")))).alias("_cells"))
+    return cells.select(row, F.col("_cells.c").alias("columns"), F.col("_cells.v").alias("row_values"))
 
 
-def item_matrix_wide(facts: DataFrame, max_columns: int = 5000) -> DataFrame:
-    """Item-item co-occurrence counts, one row per left product, one column
-    per right product."""
-    cooc = sim.cooccurrence(facts)
-    return pivot_wide(cooc, sim.L, sim.R, "cooccurances", max_columns)
+def item_matrix_wide(facts: DataFrame) -> DataFrame:
+    """Item-item co-occurrence counts, one row per left product."""
+    return matrix_rows(sim.cooccurrence(facts), sim.L, sim.R, "cooccurances")
 
 
-def user_matrix_wide(facts: DataFrame, max_columns: int = 5000) -> DataFrame:
-    """Purchases per user (rows) and product (columns)."""
-    return pivot_wide(user_item_matrix(facts), "user_id", "product_id", "purchases", max_columns)
+def user_matrix_wide(facts: DataFrame) -> DataFrame:
+    """Purchases per product, one row per user."""
+    return matrix_rows(user_item_matrix(facts), "user_id", "product_id", "purchases")
 
 
-def l1_normalize_wide(wide: DataFrame, id_col: str | None = "", include_id: bool = False) -> DataFrame:
-    """ML-vector form for a wide matrix: every column but the row id
-    (``id_col``; by default the first column, the pivot's row key) assembled
-    into ``features`` and L1-normalised into ``normFeatures``.
-    ``include_id=True`` assembles every column, id included."""
-    from pyspark.ml.feature import Normalizer, VectorAssembler
-
-    if id_col == "":
-        id_col = wide.columns[0]
-    cols = [c for c in wide.columns if include_id or c != id_col]
-    assembled = VectorAssembler(inputCols=cols, outputCol="features").transform(wide)
-    return Normalizer(inputCol="features", outputCol="normFeatures", p=1.0).transform(assembled)
+def l1_normalize_rows(rows: DataFrame) -> DataFrame:
+    """Adds ``norm_values``: the row's values over the sum of their absolute values."""
+    total = F.expr("aggregate(row_values, 0D, (a, x) -> a + abs(cast(x as double)))")
+    return rows.withColumn("_l1", total).withColumn(
+        "norm_values", F.expr("transform(row_values, x -> try_divide(cast(x as double), _l1))")).drop("_l1")
 
 
 def dimensions(long: DataFrame, row: str = sim.L, col: str = sim.R) -> DataFrame:
@@ -88,8 +62,15 @@ def dimensions(long: DataFrame, row: str = sim.L, col: str = sim.R) -> DataFrame
 
 def to_coordinate_matrix(long: DataFrame, row: str = sim.L, col: str = sim.R, value: str = "cooccurances"):
     """Bridge to ``pyspark.mllib`` distributed linear algebra."""
-    from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
+    from pyspark.mllib.common import callMLlibFunc
+    from pyspark.mllib.linalg.distributed import CoordinateMatrix
+
+    entries = long.select(F.col(row).cast("long").alias("i"), F.col(col).cast("long").alias("j"), F.col(value).cast("double").alias("value"))
+    return CoordinateMatrix(callMLlibFunc("createCoordinateMatrix", entries, 0, 0))
+
+
+def coordinate_entries(cm) -> DataFrame:
+    """(i, j, value) of a CoordinateMatrix, without rows passing through Python."""
+    from pyspark.mllib.common import callMLlibFunc
 
-    entries = long.select(row, col, F.col(value).cast("double")).rdd.map(
-        lambda r: MatrixEntry(int(r[0]), int(r[1]), float(r[2])))
-    return CoordinateMatrix(entries)
+    return callMLlibFunc("getMatrixEntries", cm._java_matrix_wrapper._java_model).select("i", "j", "value")

@@ -188,7 +188,8 @@ def topk_neighbours(sim: DataFrame, k: int = 10, ceiling: float | None = 0.999,
 def similar_items(scores: DataFrame, catalog: DataFrame, product_ids: DataFrame,
                   method: str = "cosine", n: int = 30, include_self: bool = True) -> DataFrame:
     """Products most similar to each probe product (matched on the right id),
-    top ``n`` per probe by cosine or co-occurrence, ties by left id.
+    top ``n`` per probe by cosine or co-occurrence, ties by left id.  Products
+    without a catalogue row take no place.
 
     ``product_ids`` is a one-column frame of probe ids (``product_id``)."""
     if method == "cosine":
@@ -199,7 +200,9 @@ def similar_items(scores: DataFrame, catalog: DataFrame, product_ids: DataFrame,
         raise ValueError(f"method must be 'cosine' or 'cooccurrence', not {method!r}")
     s = scores.select(L, R, score)
     probes = product_ids.select(F.col("product_id").alias(R)).distinct()
-    s = s.join(probes, R, "left_semi")
+    known = catalog.select("product_id").distinct()
+    s = s.join(probes, R, "left_semi").join(known.withColumnRenamed("product_id", R), R, "left_semi")
+    s = s.join(known.withColumnRenamed("product_id", L), L, "left_semi")
     if not include_self:
         s = s.where(F.col(L) != F.col(R))
     w = Window.partitionBy(R).orderBy(F.desc(score), F.asc(L))

@@ -269,6 +269,7 @@ FROM (
          row_number() OVER (PARTITION BY product_id_right ORDER BY {score} DESC, product_id_left) AS rank
   FROM {source}
   WHERE product_id_right IN (SELECT product_id FROM b_catalog)
+    AND product_id_left IN (SELECT product_id FROM b_catalog)
 ) s
 LEFT JOIN b_catalog l ON l.product_id = s.product_id_left
 LEFT JOIN b_catalog r ON r.product_id = s.product_id_right

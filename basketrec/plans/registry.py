@@ -60,10 +60,11 @@ FACT_COLS = ", ".join(etl.FACT_COLUMNS)
 # --- ETL ----------------------------------------------------------------------------------
 
 
-@register("eval_split", with_ctes(["b_orders"], "SELECT * FROM b_orders WHERE eval_set = 'train'"))
+@register("eval_split", with_ctes(["b_orders"], "SELECT * FROM b_orders WHERE eval_set IN ('prior', 'train', 'test')"))
 def q_eval_split(t, spark, sf_dir):
-    """Orders of the train split."""
-    return etl.eval_split(t.orders, "train")
+    """Orders of the three splits."""
+    parts = [etl.eval_split(t.orders, s) for s in ("prior", "train", "test")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @register("split_profile", with_ctes(["b_orders"], """
@@ -288,19 +289,40 @@ def q_matrix_l1(t, spark, sf_dir):
 
 
 @register("item_matrix_wide", with_ctes(["b_cooc"], """
-SELECT product_id_left, CAST(coalesce(COLUMNS(* EXCLUDE (product_id_left)), 0) AS BIGINT)
-FROM (PIVOT b_cooc ON product_id_right USING sum(cooccurances) GROUP BY product_id_left)"""))
+SELECT product_id_left, list(product_id_right ORDER BY product_id_right) AS columns,
+       list(CAST(cooccurances AS BIGINT) ORDER BY product_id_right) AS row_values
+FROM b_cooc GROUP BY product_id_left"""))
 def q_item_matrix_wide(t, spark, sf_dir):
     return matrix.item_matrix_wide(prior_lines(t))
 
 
 @register("user_matrix_wide", with_ctes(["b_user_item"], """
-SELECT user_id, CAST(coalesce(COLUMNS(* EXCLUDE (user_id)), 0) AS BIGINT)
-FROM (PIVOT b_user_item ON product_id USING sum(purchases) GROUP BY user_id)"""))
+SELECT user_id, list(product_id ORDER BY product_id) AS columns, list(purchases ORDER BY product_id) AS row_values
+FROM b_user_item GROUP BY user_id"""))
 def q_user_matrix_wide(t, spark, sf_dir):
     return matrix.user_matrix_wide(prior_lines(t))
 
 
+@register("matrix_l1_vectors", with_ctes(["b_user_item"], """
+SELECT u.user_id, list(u.product_id ORDER BY u.product_id) AS columns, list(u.purchases ORDER BY u.product_id) AS row_values,
+       list(CAST(u.purchases AS DOUBLE) / CAST(s.l1 AS DOUBLE) ORDER BY u.product_id) AS norm_values
+FROM b_user_item u JOIN (SELECT user_id, sum(abs(purchases)) AS l1 FROM b_user_item GROUP BY user_id) s
+  ON u.user_id = s.user_id GROUP BY u.user_id"""))
+def q_matrix_l1_vectors(t, spark, sf_dir):
+    """Rows of the user-item matrix as arrays, scaled to unit L1 norm."""
+    return matrix.l1_normalize_rows(matrix.user_matrix_wide(prior_lines(t)))
+
+
+@register("matrix_text_roundtrip", with_ctes(["b_user_item"], """
+SELECT user_id, product_id, CAST(purchases AS DOUBLE) AS purchases FROM b_user_item"""))
+def q_matrix_text_roundtrip(t, spark, sf_dir):
+    """The user-item matrix as CoordinateMatrix, written as 'i|j|value' text and parsed back."""
+    path = scratch_path(spark, "matrix")
+    cm = matrix.to_coordinate_matrix(matrix.user_item_matrix(prior_lines(t)), "user_id", "product_id", "purchases")
+    files.save_sim_matrix(cm, path)
+    return files.read_pipe_text(spark, path, "user_id long, product_id long, purchases double")
+
+
 @register("cooc_dimensions", with_ctes(["b_cooc"], """
 SELECT max(product_id_left) + 1 AS num_rows, max(product_id_right) + 1 AS num_cols, count(*) AS entries
 FROM b_cooc"""))
@@ -359,21 +381,20 @@ def q_csv_roundtrip(t, spark, sf_dir):
     return files.read_csv(spark, path, c.schema)
 
 
-@register("parquet_roundtrip", with_ctes(["b_orders"], "SELECT * FROM b_orders WHERE eval_set = 'prior'"))
+@register("parquet_roundtrip", with_ctes(["b_orders"], "SELECT * FROM b_orders"))
 def q_parquet_roundtrip(t, spark, sf_dir):
-    """Orders written once, partitioned by eval_set; the prior split is read
-    back by partition pruning."""
+    """Orders written once, partitioned by eval_set; all splits are read back."""
     path = scratch_path(spark, "orders")
     etl.write_eval_split(t.orders, path)
-    return files.read_parquet(spark, path).where(F.col("eval_set") == "prior")
+    return files.read_parquet(spark, path)
 
 
-@register("sim_text_roundtrip", with_ctes(["b_topk10"], """
-SELECT product_id_left, product_id_right, cosine_similarity FROM b_topk10"""))
+@register("sim_text_roundtrip", with_ctes(["b_cosine"], """
+SELECT product_id_left, product_id_right, cosine_similarity FROM b_cosine"""))
 def q_sim_text_roundtrip(t, spark, sf_dir):
-    """Top-10 neighbours as 'left|right|value' text, parsed back."""
+    """All similarities as 'left|right|value' text, parsed back."""
     path = scratch_path(spark, "sims")
-    files.write_pipe_text(neighbours(t), path)
+    files.write_pipe_text(sim.cosine_similarity(prior_lines(t)), path)
     return files.read_pipe_text(spark, path)
 
 
@@ -382,9 +403,8 @@ def q_header_cleanup(t, spark, sf_dir):
     """Last prior orders written as several CSV part files, each with its
     header, read as one concatenated text table; header rows dropped."""
     path = scratch_path(spark, "concat")
-    files.write_csv(last_prior(t).select("user_id", "product_id", "order_id").repartition(4), path)
-    return files.read_concat_csv(spark, path, columns=("user_id", "product_id", "order_id")) \
-        .select("user_id", "product_id")
+    files.write_csv(last_prior(t).select("user_id", "order_id", "product_id", "order_number"), path)
+    return files.read_concat_csv(spark, path)
 
 
 @register("map_text_parse", with_ctes(["b_ap_cos"], "SELECT * FROM b_ap_cos"))
@@ -399,10 +419,10 @@ def q_map_text_parse(t, spark, sf_dir):
     return parsed.select(F.col("userid").cast("long").alias("userid"), F.col("MAP").cast("double").alias("MAP"))
 
 
-@register("row_sample", None)
+@register("row_sample", with_ctes(["b_prior_facts"], etl.row_sample_sql("b_prior_facts", 0.10, 42)))
 def q_row_sample(t, spark, sf_dir):
     """10 % sample with replacement of the prior facts, seeded."""
-    return etl.row_sample(prior_facts(t), 0.10, seed=42, with_replacement=True)
+    return etl.row_sample(prior_facts(t), 0.10, seed=42, key=etl.SAMPLE_KEY)
 
 
 

@@ -3,8 +3,8 @@ checkpoint folder from the session configuration."""
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -34,13 +34,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests) a
-    fresh folder is created and registered.
+    Read from ``spark.checkpoint.dir``.  Only where it is unset and the master is
+    local (tests), a fresh folder is created and registered; elsewhere it must be set.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="basketrec-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -51,5 +53,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    token = next(tempfile._get_candidate_names())
-    return f"{base}/basketrec-{name}-{os.getpid()}-{token}"
+    return f"{base}/basketrec-{name}-{uuid.uuid4().hex}"

@@ -34,8 +34,10 @@ every plan.
 from __future__ import annotations
 
 import hashlib
+import re
 from dataclasses import dataclass, fields
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -176,11 +178,12 @@ def load_basket_tables(spark: SparkSession, sf_dir: str, materialize: bool = Tru
     folder cannot be written, the lazy derivation is returned instead."""
     if not materialize:
         return derive_basket_tables(spark, sf_dir)
-    key = (id(spark), spark.sparkContext.applicationId, checkpoint_dir(spark), sf_dir)
+    fingerprint = source_fingerprint(spark, sf_dir)
+    key = (id(spark), spark.sparkContext.applicationId, checkpoint_dir(spark), sf_dir, fingerprint)
     if key in _LOADED:
         return _LOADED[key]
     try:
-        base = f"{checkpoint_dir(spark).rstrip('/')}/basketrec-basket-model/{source_fingerprint(spark, sf_dir)}"
+        base = f"{checkpoint_dir(spark).rstrip('/')}/basketrec-basket-model/{fingerprint}"
         derived = None
         out = {}
         for f in fields(BasketTables):
@@ -188,12 +191,13 @@ def load_basket_tables(spark: SparkSession, sf_dir: str, materialize: bool = Tru
             if not _complete(spark, path):
                 derived = derived or derive_basket_tables(spark, sf_dir)
                 df = getattr(derived, f.name)
-                # one file per core at least, split by the table's key, so scans are parallel
-                df.repartition(max(spark.sparkContext.defaultParallelism, 1), df.columns[0]) \
-                    .write.mode("overwrite").parquet(path)
+                # files sized by the data, not by the cores, and no key in one file
+                df.hint("rebalance").write.mode("overwrite").parquet(path)
             out[f.name] = spark.read.parquet(path)
         tables = BasketTables(**out)
-    except Exception as exc:  # noqa: BLE001 - unwritable folder: stay correct, just slower
+    except Py4JJavaError as exc:  # only a folder that cannot be written: stay correct, just slower
+        if not re.search("AccessControlException|Permission denied|Read-only file system|Mkdirs failed", str(exc.java_exception)):
+            raise
         import warnings
 
         warnings.warn(f"basket model not materialised ({type(exc).__name__}: {exc}); deriving lazily")

@@ -17,25 +17,22 @@ def test_user_item_and_l1(spark):
 
 def test_long_and_wide_agree(spark):
     f = lines_df(spark, BASKETS_SMALL)
-    wide = matrix.item_matrix_wide(f)
     cooc = {(r[sim.L], r[sim.R]): r.cooccurances for r in sim.cooccurrence(f).collect()}
-    cols = [c for c in wide.columns if c != sim.L]
-    assert cols == sorted(cols, key=int)
-    for r in wide.collect():
-        for c in cols:
-            assert r[c] == cooc.get((r[sim.L], int(c)), 0)
-    uw = matrix.user_matrix_wide(f)
-    assert uw.count() == 2 and len(uw.columns) == 6
-    with pytest.raises(matrix.TooManyColumns):
-        matrix.item_matrix_wide(f, max_columns=3)
-
-
-def test_l1_vector_form_excludes_id(spark):
+    rows = matrix.item_matrix_wide(f).collect()
+    assert {(r[sim.L], c): v for r in rows for c, v in zip(r["columns"], r.row_values)} == cooc
+    assert all(r["columns"] == sorted(r["columns"]) for r in rows)
+    assert matrix.user_matrix_wide(f).count() == 2
+
+
+def test_l1_vector_form(spark):
     f = lines_df(spark, BASKETS_SMALL)
-    out = matrix.l1_normalize_wide(matrix.user_matrix_wide(f)).collect()
-    for r in out:
-        assert sum(abs(x) for x in r.normFeatures.toArray()) == pytest.approx(1.0)
-        assert len(r.features) == 5
+    for r in matrix.l1_normalize_rows(matrix.user_matrix_wide(f)).collect():
+        assert sum(r.norm_values) == pytest.approx(1.0) and len(r.norm_values) == len(r["columns"])
+
+
+def test_many_columns_need_no_bound(spark):
+    f = lines_df(spark, [(1, 1, p) for p in range(6000)])
+    assert len(matrix.user_matrix_wide(f).first().row_values) == 6000
 
 
 def test_dimensions_and_coordinate_bridge(spark):

@@ -19,6 +19,8 @@ def canon(df):
     def norm(v):
         if isinstance(v, float):
             return "nan" if math.isnan(v) else repr(round(v, 9))
+        if hasattr(v, "__len__") and not isinstance(v, (str, bytes)):
+            return "[" + ", ".join(norm(x) for x in (v.tolist() if hasattr(v, "tolist") else v)) + "]"
         return repr(v)
 
     return cols, sorted("|".join(norm(r[c]) for c in cols) for r in df[cols].to_dict("records"))
