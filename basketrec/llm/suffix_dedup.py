@@ -44,7 +44,9 @@ from basketrec.session import scratch_path
 
 LENGTH, GRAM = 50, 24
 LEFT = LENGTH - GRAM
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
+#: Parts of the contexts for each shuffle partition: a part is sorted in one task's memory.
+FINER = 4
 GROUP = 20000
 NO_ID = -(1 << 63)
 _BYTE = np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
@@ -414,9 +416,9 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, group: int =
 
     hashes = blocks.mapInArrow(_anchors(deal), "part int, block string, h binary, docs binary")
     answer = materialise(hashes.repartition(deal, "part").mapInArrow(_repeated(group), "block string, h binary, hot binary"), "repeat-anchors")
-    contexts = blocks.groupBy("block").cogroup(answer.groupBy("block")).applyInArrow(_contexts(deal), CONTEXT_SCHEMA)
+    contexts = blocks.groupBy("block").cogroup(answer.groupBy("block")).applyInArrow(_contexts(FINER * deal), CONTEXT_SCHEMA)
     reach_schema = "block string, ctx array<int>, l array<int>, r array<int>, n int, meta binary, raw binary"
-    tree = materialise(contexts.repartition(deal, "part").mapInArrow(_tree(), reach_schema), "repeat-tree")
+    tree = materialise(contexts.repartition(FINER * deal, "part").mapInArrow(_tree(), reach_schema), "repeat-tree")
     hot = tree.filter("meta is not null").select("block", "n", "meta", "raw")
     windows = materialise(hot.mapInArrow(_windows(), "w binary, doc long, block string, ctx int, a int"), "repeat-windows")
     tree = tree.filter("meta is null").select("block", "ctx", "l", "r")
