@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,20 @@ def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def smallest_draws(rows: DataFrame, draw: str, n: int, *ties: str) -> pa.Table:
+    """The ``n`` rows with the smallest values of column ``draw`` (uniform 64-bit hashes),
+    ties by the other columns; all rows if there are no more.  Tasks hand on only rows
+    below a bound that about 2 * n rows of the table reach, not n rows each; should equal
+    draws leave fewer than n below it, all rows are ordered."""
+    share = 2.0 * n / max(rows.count(), 1)
+    if share < 1:
+        below = rows.filter(F.col(draw) < int(share * 2.0 ** 64) - 2 ** 63)
+        found = below.orderBy(draw, *ties).limit(n).toArrow()
+        if found.num_rows == n:
+            return found
+    return rows.orderBy(draw, *ties).limit(n).toArrow()
+
+
 def crc_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds`` (null id: the text is empty)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketrec.llm.common import crc_fold
+from basketrec.llm.common import crc_fold, smallest_draws
 
 BUCKETS = 1 << 16
 DIM = 16
@@ -145,7 +145,8 @@ def train(docs: DataFrame, seed: int = 7, max_docs: int = MAX_DOCS) -> Model:
     place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.greatest(F.length("text") - MAX_CHARS, F.lit(1))).cast("int") + 1
     rows = (docs.filter("text is not null and lang is not null").filter(crc_fold(F.col("doc_id"), FOLDS) != HELD)
             .select("doc_id", "lang", F.substring("text", place, F.lit(MAX_CHARS)).alias("part"))
-            .withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "part")).orderBy("draw", "doc_id").limit(max_docs).toPandas())
+            .withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "part")))
+    rows = smallest_draws(rows, "draw", max_docs, "doc_id").to_pandas()
     langs = sorted(rows["lang"].unique())
     if not langs:
         return Model([], np.zeros((BUCKETS, 0)), 1.0, 1.0, "none")
