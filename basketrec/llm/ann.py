@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketrec.llm.common import materialise
+from basketrec.llm.common import materialise, smallest_draws
 from basketrec.llm.vectors import matrix, valid
 
 K = 10
@@ -179,7 +179,7 @@ def search(vectors: DataFrame, is_query, k: int = K, seed: int = 9) -> DataFrame
     if dims is None:
         return vectors.sparkSession.createDataFrame([], empty)
     rows = rows.filter(F.size("v") == dims["d"])
-    sample = rows.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(MAX_SAMPLE).select("v").toArrow()
+    sample = smallest_draws(rows.withColumn("draw", F.xxhash64(F.lit(seed), "vec_id")), "draw", MAX_SAMPLE, "vec_id")
     x = matrix(sample["v"])
     if len(x) < 2:
         return vectors.sparkSession.createDataFrame([], empty)

@@ -313,3 +313,16 @@ def test_pipeline_decisions(spark, tmp_path):
     assert set(kept["toxicity"]) - set(kept["ngram_join"]) == {500, 501}
     assert sorted(kept["pii"]) == sorted(kept["ngram_join"])
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(kept["mix_sources"])
+
+
+def test_smallest_draws_are_exact(spark):
+    from basketrec.llm.common import smallest_draws
+
+    rows = spark.range(5000).selectExpr("id", "xxhash64(7, id) as draw")
+    for n in (1, 100, 4000, 6000):
+        want = sorted(((r["draw"], r["id"]) for r in rows.collect()))[:n]
+        got = smallest_draws(rows, "draw", n, "id")
+        assert list(zip(got["draw"].to_pylist(), got["id"].to_pylist())) == want
+    same = spark.range(1000).selectExpr("id", "cast(9e18 as long) as draw")  # none below the bound
+    assert smallest_draws(same, "draw", 10, "id")["id"].to_pylist() == list(range(10))
+    assert smallest_draws(same.filter("id < 0"), "draw", 10, "id").num_rows == 0
