@@ -12,7 +12,8 @@ texts rarely opens a tile, and s is SHARED.
    the one it meets most often.  This
    settles groups of near copies in as many comparisons as they have nodes.
 3. Nodes of different components that share a tile (shingle and size band) are
-   compared.
+   compared; the tiles hold the bitmaps, and the tile join yields only pairs that
+   the bit counts leave possible.
 
 A comparison starts with the parity bitmaps: their xor has at most as many bits as
 the symmetric difference has shingles, which bounds the overlap from above.  Pairs
@@ -256,15 +257,18 @@ def _reachable(num, den) -> Column:
 
 
 def _open(pairs: DataFrame, nodes: DataFrame, num, den, name: str) -> DataFrame:
-    """Pairs (a, b) of nodes whose bitmaps leave a link possible: short ones in the plan,
-    then ones as long as the sets."""
+    """Pairs (a, b) of nodes whose short bitmaps, then long ones, leave a link possible."""
     short = nodes.drop("sig")
     x, y = short.alias("x"), short.alias("y")
     left = pairs.join(x, F.col("a") == F.col("x.sid")).join(y, F.col("b") == F.col("y.sid")).filter(_reachable(num, den))
-    left = left.select("a", "b", F.col("x.n").alias("an"), F.col("y.n").alias("bn"))
+    return _open_long(left.select("a", "b", F.col("x.n").alias("an"), F.col("y.n").alias("bn")), nodes, num, den, name)
+
+
+def _open_long(pairs: DataFrame, nodes: DataFrame, num, den, name: str) -> DataFrame:
+    """Of pairs (a, b, an, bn), those whose bitmaps as long as the sets leave a link possible."""
     sig = nodes.select("sid", "sig")
-    left = left.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b").select("a", "b", "an", "bn", "sa", "sb")
-    return materialise(left.mapInArrow(_close(num, den), "a long, b long"), name)
+    both = pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b").select("a", "b", "an", "bn", "sa", "sb")
+    return materialise(both.mapInArrow(_close(num, den), "a long, b long"), name)
 
 
 def _links(pairs: DataFrame, sets: DataFrame, num, den, name: str) -> DataFrame:
@@ -273,18 +277,27 @@ def _links(pairs: DataFrame, sets: DataFrame, num, den, name: str) -> DataFrame:
     return materialise(both.mapInArrow(_exact(num, den), "a long, b long"), name)
 
 
-def _across(tiles: DataFrame, comp: DataFrame, num, den) -> DataFrame:
-    """Pairs (a, b) of nodes of different components that share a tile: a first shingle
-    and a size band, or two bands next to each other."""
+def _across(tiles: DataFrame, comp: DataFrame, nodes: DataFrame, num, den) -> DataFrame:
+    """Pairs (a, b) of nodes, and their sizes, of different components that share a tile: a
+    first shingle and a size band, or two bands next to each other.  Tiles hold the short
+    bitmaps, so a pair that they rule out is never a row.
+
+    All shingles that two sets share up to the end of the shorter reach of their first
+    shingles are counted (k), and beyond it one set has no more than its remaining ones: k
+    and the remaining ones of the larger set must make the overlap that a link needs."""
     own = tiles.join(comp, tiles.sid == comp.node, "left").withColumn("c", F.coalesce("root", "sid")).select("h", "sid", "n", "c")
     mixed = own.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("h")
-    left = materialise(own.join(mixed, "h").withColumn("band", band(F.col("n"))), "ngram-open")
-    x = left.select("h", F.explode(F.array("band", F.col("band") - 1)).alias("tile"), F.col("sid").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"))
-    y = left.select("h", F.col("band").alias("tile"), F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"))
-    # a is the larger set (ties by id): of the same band, or of the band above
-    return (x.join(y, ["h", "tile"]).filter(f"ac <> bc and {den} * bn >= {num} * an and (an > bn or (an = bn and a > b))")
-            .groupBy("a", "b").agg(F.count("*").alias("k"), F.min("bn").alias("n"))
-            .filter(f"k >= least({SHARED}, ceil({num} * n / {den}))").select("a", "b"))
+    left = own.join(mixed, "h").join(nodes.select("sid", *BIT), "sid").withColumn("band", band(F.col("n")))
+    left = materialise(left, "ngram-open")
+    x = left.select("h", F.explode(F.array("band", F.col("band") - 1)).alias("tile"), "sid", "n", "c", *BIT).alias("x")
+    y = left.select("h", F.col("band").alias("tile"), "sid", "n", "c", *BIT).alias("y")
+    # x is the larger set (ties by id): of the same band, or of the band above
+    larger = F.expr(f"x.h = y.h and x.tile = y.tile and x.c <> y.c and {den} * y.n >= {num} * x.n and (x.n > y.n or (x.n = y.n and x.sid > y.sid))")
+    needed = f"({num} * (an + bn) + {num + den - 1}) div {num + den}"
+    remaining = f"greatest(0, ({num} * an + {den - 1}) div {den} - {SHARED})"
+    return (x.join(y, larger & _reachable(num, den))
+            .groupBy(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).agg(F.count("*").alias("k"), F.min("x.n").alias("an"), F.min("y.n").alias("bn"))
+            .filter(f"k >= {needed} - {remaining}").select("a", "b", "an", "bn"))
 
 
 def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -318,7 +331,7 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = D
     # sets are needed of the nodes of these pairs, and of those across the components that
     # they would make; should some pairs not link, the pairs to add are among the same nodes
     comp = materialise(connected_components(stars), "ngram-comp")
-    rest = _open(_across(tiles, comp, num, den), nodes, num, den, "ngram-rest")
+    rest = _open_long(_across(tiles, comp, nodes, num, den), nodes, num, den, "ngram-rest")
     ends = [x.select(F.col(c).alias("sid")) for x in (stars, rest) for c in ("a", "b")]
     needed = ends[0].union(ends[1]).union(ends[2]).union(ends[3]).distinct()
     source = (filled.select("sid", F.coalesce("doc_id", F.lit(NO_ID)).alias("key")).join(needed, "sid", "left_semi")
@@ -330,7 +343,7 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = D
     links = _links(stars, sets, num, den, "ngram-star-links")
     if links.count() < stars.count():
         comp = materialise(connected_components(links), "ngram-comp")
-        rest = _open(_across(tiles, comp, num, den), nodes, num, den, "ngram-rest")
+        rest = _open_long(_across(tiles, comp, nodes, num, den), nodes, num, den, "ngram-rest")
     # one pair of each node first; of the others only those still across components
     one = materialise(rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "ngram-one")
     links = links.union(_links(one, sets, num, den, "ngram-one-links"))
