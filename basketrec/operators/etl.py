@@ -76,19 +76,19 @@ def order_facts(order_products: DataFrame, orders: DataFrame, catalog: DataFrame
 def merge_profile(order_products: DataFrame, orders: DataFrame, catalog: DataFrame,
                   eval_set: str) -> DataFrame:
     """Row counts before and after each merge of ``order_facts`` as a table
-    (stage, rows)."""
-    o = eval_split(orders, eval_set)
-    joined = order_products.join(o, "order_id")
-    with_products = joined.join(catalog, "product_id", "left")
-    parts = [
-        order_products.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(f"{eval_set}_lines").alias("stage"), "rows"),
-        joined.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(f"{eval_set}_with_orders").alias("stage"), "rows"),
-        with_products.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(f"{eval_set}_with_products").alias("stage"), "rows"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    (stage, rows), in one pass over the lines: a line counts as often as its
+    keys occur on the other sides."""
+    o = eval_split(orders, eval_set).groupBy("order_id").agg(F.count(F.lit(1)).alias("_o"))
+    c = catalog.groupBy("product_id").agg(F.count(F.lit(1)).alias("_c"))
+    lines = merge(merge(order_products.select("order_id", "product_id"), o, "order_id", "left"), c, "product_id", "left")
+    in_orders = F.coalesce("_o", F.lit(0).cast("long"))
+    none = F.lit(0).cast("long")
+    counts = lines.agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.coalesce(F.sum(in_orders), none).alias("with_orders"),
+        F.coalesce(F.sum(in_orders * F.coalesce("_c", F.lit(1).cast("long"))), none).alias("with_products"))
+    stages = [F.struct(F.lit(f"{eval_set}_{s}").alias("stage"), F.col(s).alias("rows")) for s in counts.columns]
+    return counts.select(F.inline(F.array(*stages)))
 
 
 def dept_sample(df: DataFrame, column: str = "department_id", value: int = 5) -> DataFrame:

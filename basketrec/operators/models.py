@@ -72,7 +72,7 @@ def input_baskets(last_prior: DataFrame, last_facts: DataFrame, n_users: int | N
             .orderBy("_h", "user_id").limit(n_users).select("user_id")
     else:
         raise ValueError("by must be 'row' or 'user'")
-    return eligible.join(F.broadcast(chosen), "user_id", "left_semi")
+    return eligible.join(chosen, "user_id", "left_semi")
 
 
 def actual_baskets(last_facts: DataFrame, baskets: DataFrame) -> DataFrame:
@@ -194,7 +194,7 @@ def predict_baseline(baskets: DataFrame, last_prior: DataFrame, products: DataFr
 
     ``per_line_seed=True``: every line draws its own k of the pool with the
     same exact permutation draw as ``predict_random`` (O(k) per line); the
-    pool (``pool`` rows) is broadcast."""
+    join to the pool is left to adaptive execution."""
     top = top_products(last_prior, pool)
     line = F.col("add_to_cart_order").alias("line")
     if per_line_seed:
@@ -204,7 +204,7 @@ def predict_baseline(baskets: DataFrame, last_prior: DataFrame, products: DataFr
         picked = affine_draws(seed, ["user_id", "product_id", "add_to_cart_order"], k, n)
         drawn = baskets.select("user_id", F.col("product_id").alias("purchased_product"), line,
                                F.posexplode(picked).alias("rank", "_idx"))
-        pred = drawn.join(F.broadcast(ranked), "_idx").select(
+        pred = drawn.join(ranked, "_idx").select(
             "user_id", "purchased_product", "line", (F.col("rank") + 1).alias("rank"),
             F.col("product_id").alias("predicted_product"), "purchasecount")
     else:

@@ -36,8 +36,20 @@ from basketrec.plans.broadcast import broadcast_if_small
 L, R = "product_id_left", "product_id_right"
 
 
-def basket_lines(facts: DataFrame, basket: str = "multiset", basket_key: str = "order_id") -> DataFrame:
-    """(order_id, product_id, m), hash-partitioned by the basket key.
+def _keyed(facts: DataFrame, basket_key: str | tuple[str, ...]) -> DataFrame:
+    """(order_id, product_id) of the lines with both; several key columns make one struct."""
+    cols = (basket_key,) if isinstance(basket_key, str) else tuple(basket_key)
+    whole = F.col("product_id").isNotNull()
+    for c in cols:
+        whole = whole & F.col(c).isNotNull()
+    key = F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
+    return facts.where(whole).select(key.alias("order_id"), "product_id")
+
+
+def basket_lines(facts: DataFrame, basket: str = "multiset",
+                 basket_key: str | tuple[str, ...] = "order_id") -> DataFrame:
+    """(order_id, product_id, m), hash-partitioned by the basket key: one
+    column, or several where order ids are unique per user only.
 
     Lines are first aggregated per (order, product) with a map-side partial
     aggregation, then partitioned by order: an order holding a huge share
@@ -45,8 +57,7 @@ def basket_lines(facts: DataFrame, basket: str = "multiset", basket_key: str = "
     product, never as its raw lines."""
     if basket not in ("multiset", "set"):
         raise ValueError(f"basket must be 'multiset' or 'set', not {basket!r}")
-    lines = (facts.select(F.col(basket_key).alias("order_id"), "product_id")
-             .where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull()))
+    lines = _keyed(facts, basket_key)
     if basket == "multiset":
         agg = lines.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("m"))
     else:
@@ -54,35 +65,35 @@ def basket_lines(facts: DataFrame, basket: str = "multiset", basket_key: str = "
     return agg.repartition("order_id")
 
 
-def product_counts(facts: DataFrame, basket: str = "multiset", basket_key: str = "order_id") -> DataFrame:
+def product_counts(facts: DataFrame, basket: str = "multiset",
+                   basket_key: str | tuple[str, ...] = "order_id") -> DataFrame:
     """Per product n = squared norm: its line count (multiset) or the number
     of baskets holding it (set).  Computed straight from the facts with a
     map-side partial aggregation, so sizing it costs a scan, not a
     line-sized shuffle."""
-    f = facts.select(F.col(basket_key).alias("order_id"), "product_id").where(
-        F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
+    f = _keyed(facts, basket_key)
     if basket == "multiset":
         return f.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
     return f.groupBy("product_id").agg(F.count_distinct("order_id").alias("n"))
 
 
-def max_basket_lines(facts: DataFrame, basket_key: str = "order_id") -> int:
+def max_basket_lines(facts: DataFrame, basket_key: str | tuple[str, ...] = "order_id") -> int:
     """Largest number of lines in one basket (an upper bound on its distinct
     products): one aggregation, combined map-side, reduced to one number."""
-    r = (facts.where(F.col(basket_key).isNotNull() & F.col("product_id").isNotNull())
-         .groupBy(basket_key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first())
+    r = (_keyed(facts, basket_key).groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
+         .agg(F.max("_n")).first())
     return int(r[0] or 0)
 
 
-def _upper_pairs(lines: DataFrame, counts: DataFrame, pairs_per_task: int, max_salts: int,
+def _upper_pairs(lines: DataFrame, counts: DataFrame, pairs_per_task: int,
                  any_hot: bool = True) -> DataFrame:
     """(l, r, n_l, n_r, dot) for l < r; ``counts`` is already size-checked.
 
     A basket with b distinct products yields b(b-1)/2 pairs.  Baskets with
     more than ``pairs_per_task`` pairs are hot: their left rows are split by
-    a product hash into s = ceil(pairs / pairs_per_task) salts (at most
-    ``max_salts``) and their right rows are replicated s times, so each task
-    forms about ``pairs_per_task`` of the basket's pairs."""
+    a product hash into s = ceil(pairs / pairs_per_task) salts, and their
+    right rows are replicated s times, so each task forms about
+    ``pairs_per_task`` of the basket's pairs."""
     w = lines.join(counts, "product_id")
 
     def side(df, p, m, n, extra=()):
@@ -100,7 +111,7 @@ def _upper_pairs(lines: DataFrame, counts: DataFrame, pairs_per_task: int, max_s
         .where(F.col(L) < F.col(R))
 
     hot = w.where(n_pairs > pairs_per_task).withColumn(
-        "_s", F.least(F.ceil(n_pairs / F.lit(max(pairs_per_task, 1))), F.lit(max_salts)).cast("long"))
+        "_s", F.ceil(n_pairs / F.lit(max(pairs_per_task, 1))).cast("long"))
     ha = side(hot, L, "m_l", "n_l", [F.pmod(F.xxhash64("product_id"), F.col("_s")).alias("_salt")])
     hb = side(hot, R, "m_r", "n_r", [F.explode(F.sequence(F.lit(0).cast("long"), F.col("_s") - 1)).alias("_salt")])
     hot_pairs = ha.join(hb, ["order_id", "_salt"]).where(F.col(L) < F.col(R)).drop("_salt")
@@ -110,14 +121,15 @@ def _upper_pairs(lines: DataFrame, counts: DataFrame, pairs_per_task: int, max_s
 
 
 def pair_dots(facts: DataFrame, basket: str = "multiset", pairs_per_task: int = 50_000_000,
-              max_salts: int = 4096, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+              broadcast_max_rows: int = 2_000_000,
+              basket_key: str | tuple[str, ...] = "order_id") -> DataFrame:
     """All ordered pairs (self pairs included) of products bought in the
-    same basket: (product_id_left, product_id_right, dot, n_l, n_r)."""
-    lines = basket_lines(facts, basket)
-    counts = broadcast_if_small(product_counts(facts, basket), broadcast_max_rows)
-    mx = max_basket_lines(facts)
-    up = _upper_pairs(lines, counts, pairs_per_task, max_salts,
-                      any_hot=mx * (mx - 1) / 2 > pairs_per_task)
+    same basket: (product_id_left, product_id_right, dot, n_l, n_r).
+    ``basket_key=("user_id", "order_id")`` where users share order ids."""
+    lines = basket_lines(facts, basket, basket_key)
+    counts = broadcast_if_small(product_counts(facts, basket, basket_key), broadcast_max_rows)
+    mx = max_basket_lines(facts, basket_key)
+    up = _upper_pairs(lines, counts, pairs_per_task, any_hot=mx * (mx - 1) / 2 > pairs_per_task)
     mirrored = up.select(
         F.explode(F.array(
             F.struct(F.col(L).alias("l"), F.col(R).alias("r"), F.col("n_l").alias("nl"), F.col("n_r").alias("nr")),

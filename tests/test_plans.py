@@ -4,7 +4,6 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from basketrec.operators import similarity as sim
 from basketrec.plans import registry as R
 
@@ -47,9 +46,9 @@ def test_scans_are_pruned_and_filtered(spark, tables):
 ALS_KEYS = {"als_recommendations", "als_map_score"}
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(R.queries()))
 def test_no_cross_join_or_python_udf(spark, key):
-    p = plan(E.queries()[key](spark, SF))
+    p = plan(R.queries()[key](spark, SF))
     for bad in ("BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in p, f"{key}: {bad}"
     if key not in ALS_KEYS:

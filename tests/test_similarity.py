@@ -52,10 +52,9 @@ def test_hot_basket_salting_equals_plain_path(spark):
     facts = lines_df(spark, rows)
     plain = as_dict(sim.pair_dots(facts), "dot")
     salted = as_dict(sim.pair_dots(facts, pairs_per_task=5), "dot")       # 39-product order: 148 salts
-    capped = as_dict(sim.pair_dots(facts, pairs_per_task=5, max_salts=7), "dot")
     all_hot = as_dict(sim.pair_dots(facts, pairs_per_task=0), "dot")        # every basket salted
     _, exp = brute_cosine(rows)
-    assert plain == exp and salted == exp and capped == exp and all_hot == exp
+    assert plain == exp and salted == exp and all_hot == exp
 
 
 def test_top_pairs_excludes_self_and_breaks_ties(spark):
@@ -109,3 +108,13 @@ def test_cosine_matches_mllib_column_similarities_set_mode(spark):
     assert set(got) == set(upper)
     for k, v in upper.items():
         assert got[k] == pytest.approx(v, rel=1e-9)
+
+
+def test_order_ids_shared_by_two_users(spark):
+    rows = [(1, 10, 7), (1, 10, 8), (2, 10, 8), (2, 10, 9), (None, 10, 7)]
+    facts = lines_df(spark, rows)
+    key = ("user_id", "order_id")
+    plain = as_dict(sim.pair_dots(facts, basket_key=key), "dot")
+    assert plain == {(7, 7): 1, (7, 8): 1, (8, 7): 1, (8, 8): 2, (8, 9): 1, (9, 8): 1, (9, 9): 1}
+    assert as_dict(sim.pair_dots(facts, basket="set", basket_key=key, pairs_per_task=0), "dot") == plain
+    assert as_dict(sim.pair_dots(facts), "dot")[(7, 9)] == 2  # one basket, by order id alone

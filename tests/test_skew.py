@@ -37,9 +37,9 @@ def test_salted_job_equals_plain_job(spark, scratch):
     salted = BasketJob(spark, t, JobConfig(pairs_per_task=40), scratch("salted"))
     assert plain.run().collect() and sorted(plain.run().collect()) == sorted(salted.run().collect())
     for name in ("similarities", "neighbours", "predictions/cosine", "scores"):
-        a = plain.spark.read.parquet(f"{plain.out}/{name}")
-        b = salted.spark.read.parquet(f"{salted.out}/{name}")
+        a = plain.spark.read.parquet(f"{plain.out}/{plain.fingerprint}/{name}")
+        b = salted.spark.read.parquet(f"{salted.out}/{salted.fingerprint}/{name}")
         assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
     # the hot basket holds 60 distinct products: 1770 pairs -> 45 salts at 40 pairs per task
-    sims = plain.spark.read.parquet(f"{plain.out}/similarities")
+    sims = plain.spark.read.parquet(f"{plain.out}/{plain.fingerprint}/similarities")
     assert sims.where("product_id_left = 1 AND product_id_right = 1").first().cosine_similarity > 1  # repeats
