@@ -173,6 +173,29 @@ def test_pii_adds_spans_by_the_trees(spark):
     assert all(len(out[i].spans) == len(out[i].base) for i in range(160))
 
 
+def card_number(rng, prefix=""):
+    d = [int(c) for c in prefix] + [rng.randrange(10) for _ in range(15 - len(prefix))]
+    total = sum(sum(divmod(c * (2 - i % 2), 10)) for i, c in enumerate(d))
+    return "".join(map(str, d)) + str(-total % 10)
+
+
+def test_pii_finds_numbers_next_to_each_other(spark):
+    rng = random.Random(12)
+    num = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    fours = lambda c: " ".join(c[i:i + 4] for i in range(0, 16, 4))
+    texts = [f"{prose(3)} {(fours if i % 2 else str)(card_number(rng))} {prose(3)} {num(16)}x {prose(2)} +1 ({num(3)}) {num(3)}-{num(4)}" for i in range(160)]
+    a, b, c = (card_number(rng) for _ in range(3))
+    bad = str(int(c) // 10 * 10 + (int(c) + 1) % 10)
+    cases = [("pay ", a, " ", b, " now"), ("pay ", fours(a), "  ", fours(b), " now"), ("pay ", c, " " + bad + " now")]
+    texts += ["".join(x) for x in cases] + ["1 2 3 4 5 6 7 8 9 " * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pii.findings(df, "doc_id")
+    got = {r.doc_id: {texts[r.doc_id][x.s:x.e] for x in r.spans if x.kind == 2} for r in pii.spans(found, pii.train(found)).collect()}
+    assert (got[160], got[161], got[162]) == ({a, b}, {fours(a), fours(b)}, {c})
+    runs = {r.doc_id: r.loose for r in found.collect()}
+    assert max(x.digits for x in runs[163]) == 2700 and all(7 <= x.digits <= 19 for x in runs[163][1:]) and len(runs[163]) < 2700 * 13 + 2
+
+
 # --- mixing ------------------------------------------------------------------------------------
 
 def test_mix_targets_and_whole_epochs(spark, docs):
