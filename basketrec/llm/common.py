@@ -5,7 +5,8 @@ from __future__ import annotations
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketrec.session import scratch_path
@@ -51,6 +52,43 @@ def smallest_draws(rows: DataFrame, draw: str, n: int, *ties: str) -> pa.Table:
     return rows.orderBy(draw, *ties).limit(n).toArrow()
 
 
+def fair_share(counts: dict, total: int, least: int) -> int:
+    """The most rows a group may give so that all groups, giving what they have up to
+    that, stay within ``total``; never less than ``least``."""
+    left, n = total, len(counts)
+    for c in sorted(counts.values()):
+        if c * n > left:
+            return max(least, left // n)
+        left, n = left - c, n - 1
+    return max([least, *counts.values()])
+
+
+def smallest_draws_by(rows: DataFrame, group: str, counts: dict, draw: str, n: int | dict, *ties: str) -> pa.Table:
+    """``smallest_draws`` of each value of column ``group`` (with its number of rows in
+    ``counts``), in the order of group, draw and ties; ``n`` for all groups or for each.
+    Rows of a group come below a bound for its count; a row number within partitions,
+    then within groups, keeps equal draws out of a single task."""
+    most = n if isinstance(n, dict) else dict.fromkeys(counts, n)
+
+    def kept(bound: dict) -> pa.Table:
+        spark = rows.sparkSession
+        limits = spark.createDataFrame([(g, b, most[g]) for g, b in bound.items()], f"__group {rows.schema[group].dataType.simpleString()}, __below long, __most int")
+        some = rows.join(F.broadcast(limits), F.col(group) == F.col("__group")).filter(F.col(draw) <= F.col("__below")).withColumn("__part", F.spark_partition_id())
+        for by in ((group, "__part"), (group,)):
+            some = some.withColumn("__row", F.row_number().over(Window.partitionBy(*by).orderBy(draw, *ties))).filter("__row <= __most")
+        return some.select(*rows.columns).toArrow()
+
+    if not counts:
+        return rows.limit(0).toArrow()
+    top = 2 ** 63 - 1
+    found = kept({g: top if 2 * most[g] >= c else int(2.0 * most[g] / c * 2.0 ** 64) - 2 ** 63 for g, c in counts.items()})
+    got = {x["values"]: x["counts"] for x in found[group].value_counts().to_pylist()}
+    short = [g for g, c in counts.items() if got.get(g, 0) < min(c, most[g])]
+    if short:
+        found = pa.concat_tables([found.filter(pc.invert(pc.is_in(found[group], pa.array(short, found[group].type)))), kept(dict.fromkeys(short, top))])
+    return found.sort_by([(c, "ascending") for c in (group, draw, *ties)])
+
+
 def crc_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds`` (null id: the text is empty)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

@@ -7,7 +7,9 @@ in numpy.  As both are linear, a trained model is one row of logits per bucket,
 text's logits are the mean over its n-grams; words are looked up, new ones hashed.
 
 Scores are calibrated by a temperature and come with a rejection threshold, the
-lowest score from which the accepted calibration texts are right often enough.
+lowest score from which the accepted calibration texts are right often enough.  The
+sample is drawn by language, so that rare ones are learned in a table of any size;
+in the calibration its texts weigh as many rows as they stand for.
 
 The predicted language is ``und`` with score 0 for null texts, texts without letters
 and models without training rows.  Whole texts are read; repeated rows get equal
@@ -24,14 +26,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketrec.llm.common import crc_fold, smallest_draws
+from basketrec.llm.common import crc_fold, fair_share, smallest_draws_by
 
 BUCKETS = 1 << 16
 DIM = 16
 FOLDS, HELD = 3, 1
 #: Bounds of the training sample: documents, and characters of each (a stretch from a
-#: place drawn by the id; predictions read whole texts).
-MAX_DOCS, MAX_CHARS = 4000, 600
+#: place drawn by the id; predictions read whole texts).  No language gives more documents
+#: than an even share of MAX_DOCS, raised by what smaller ones leave; each may give LEAST_DOCS.
+MAX_DOCS, MAX_CHARS, LEAST_DOCS = 4000, 600, 20
 EPOCHS, BATCH, RATE = 4, 64, 0.5
 ACCEPT = 0.99
 _WORD = re.compile(r"[^\W\d_]+")
@@ -140,33 +143,34 @@ def fit(texts: list[str], y: np.ndarray, n_langs: int, seed: int = 7) -> np.ndar
 
 
 def train(docs: DataFrame, seed: int = 7, max_docs: int = MAX_DOCS) -> Model:
-    """Fit on documents with a language outside the held-out fold, at most ``max_docs``
-    drawn by a hash of the id; a fifth of them only calibrates."""
+    """Fit on documents with a language outside the held-out fold, at most ``max_docs`` (or
+    LEAST_DOCS of each language) drawn by a hash of the id within each language; a fifth
+    of a language's only calibrates."""
     place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.greatest(F.length("text") - MAX_CHARS, F.lit(1))).cast("int") + 1
     rows = (docs.filter("text is not null and lang is not null").filter(crc_fold(F.col("doc_id"), FOLDS) != HELD)
             .select("doc_id", "lang", F.substring("text", place, F.lit(MAX_CHARS)).alias("part"))
             .withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "part")))
-    rows = smallest_draws(rows, "draw", max_docs, "doc_id").to_pandas()
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = smallest_draws_by(rows, "lang", counts, "draw", fair_share(counts, max_docs, LEAST_DOCS), "doc_id").to_pandas()
     langs = sorted(rows["lang"].unique())
     if not langs:
         return Model([], np.zeros((BUCKETS, 0)), 1.0, 1.0, "none")
     y = rows["lang"].map({k: i for i, k in enumerate(langs)}).to_numpy()
-    texts, held = rows["part"].tolist(), np.arange(len(rows)) % 5 == 0
-    if held.all() or not held.any():
-        held = np.zeros(len(rows), bool)
+    texts, held = rows["part"].tolist(), (rows.groupby("lang").cumcount() % 5 == 4).to_numpy()
+    weight = (rows["lang"].map(counts) / rows.groupby("lang")["lang"].transform("size")).to_numpy(float)
     logits = fit([t for t, h in zip(texts, held) if not h], y[~held], len(langs), seed)
     model = Model(langs, logits, 1.0, 0.0, f"{seed}-{max_docs}-{len(rows)}-{abs(logits).sum():.6f}")
     check = model.text_logits([t for t, h in zip(texts, held) if h])
     fine = ~np.isnan(check).any(axis=1)
-    z, right = check[fine], y[held][fine]
+    z, right, weight = check[fine], y[held][fine], weight[held][fine]
     if len(z):
         chance = lambda t: np.clip(_softmax(z / t)[np.arange(len(z)), right], 1e-12, 1 - 1e-12)
         # smoothed labels: a calibration sample without mistakes does not make scores certain
-        loss = lambda t: -(0.998 * np.log(chance(t)) + 0.002 * np.log(1 - chance(t))).mean()
+        loss = lambda t: -np.average(0.998 * np.log(chance(t)) + 0.002 * np.log(1 - chance(t)), weights=weight)
         model.temperature = float(min(np.geomspace(0.05, 20, 60), key=loss))
         p = _softmax(z / model.temperature)
         order = np.argsort(-p.max(axis=1))
-        hit = np.cumsum(p.argmax(axis=1)[order] == right[order]) / np.arange(1, len(order) + 1)
+        hit = np.cumsum((p.argmax(axis=1) == right)[order] * weight[order]) / np.cumsum(weight[order])
         good = np.flatnonzero(hit >= ACCEPT)
         model.reject_below = float(p.max(axis=1)[order][good[-1]]) if len(good) else 1.0
     _MEMO.pop(model.key, None)

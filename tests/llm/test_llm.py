@@ -253,6 +253,32 @@ def test_language_of_held_out_texts(spark, docs):
     assert langid.op7_query(df.limit(0)).count() == 0
 
 
+def test_rare_language_is_learned_at_every_size(spark):
+    rng = random.Random(7)
+    vocab = {"aa": ["kral", "mokra", "strak", "krum", "varsk"], "bb": ["ouille", "eau", "ienne", "leau", "oui"], "cc": ["qix", "zyx", "wexi", "qozu", "xiwu"]}
+    text = lambda k: " ".join(rng.choice(vocab[k]) + rng.choice("aeiou") for _ in range(12))
+    rows = [(i, text(k), k) for i in range(6000) for k in ["cc" if i % 150 == 0 else ("aa", "bb")[i % 2]]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    importable(spark)
+    model = langid.train(df, max_docs=60)  # 1 row in 150 of one language: 0.4 expected in 60 of all
+    got = df.filter("lang = 'cc'").select(model.predict(df.text).alias("p")).collect()
+    assert model.langs == ["aa", "bb", "cc"] and sum(r.p.lang_pred == "cc" for r in got) >= 0.9 * len(got) > 30
+
+
+def test_draws_by_group_are_exact(spark):
+    from basketrec.llm.common import fair_share, smallest_draws_by
+
+    rows = spark.range(5000).selectExpr("id", "xxhash64(7, id) as draw", "case when id % 100 = 0 then 'c' when id % 3 = 0 then 'a' else 'b' end as g")
+    rows = rows.union(spark.range(300).selectExpr("id", "cast(9e18 as long)", "'same'"))  # none of these below the bound
+    counts = {r["g"]: r["count"] for r in rows.groupBy("g").count().collect()}
+    for n in (1, 40, 1700, 9000):
+        want = [(g, r["draw"], r["id"]) for g in sorted(counts) for r in sorted(rows.filter(f"g = '{g}'").collect(), key=lambda r: (r["draw"], r["id"]))[:n]]
+        got = smallest_draws_by(rows, "g", counts, "draw", n, "id")
+        assert list(zip(*(got[c].to_pylist() for c in ("g", "draw", "id")))) == want
+    assert smallest_draws_by(rows.filter("id < 0"), "g", {}, "draw", 5, "id").num_rows == 0
+    assert fair_share({"a": 10, "b": 500, "c": 500}, 110, 5) == 50 and fair_share({"a": 10, "b": 9}, 110, 5) == 10 and fair_share({"a": 99, "b": 99}, 4, 5) == 5
+
+
 # --- url filter -----------------------------------------------------------------------------------
 
 def test_url_verdicts_as_of_the_fetch_day(spark):
