@@ -26,12 +26,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays (rows
-    of one id are the same document and stay together).  Rows without an id stay."""
+    """Of each group of linked rows one stays: that with the smallest id, rows without an id
+    last, ties by a hash of the row.  Rows are told apart by a key of their own, so that
+    repeated ids and rows without an id are decided like any others."""
     importable(spark)
-    found = jaccard_join.ngram_join(docs.select("doc_id", "text"))
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = materialise(docs.withColumn("__key", F.monotonically_increasing_id()), "keyed-documents")
+    found = jaccard_join.ngram_join(rows.select(F.col("__key").alias("doc_id"), "text"))
+    linked = materialise(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__key"), F.col("component_id").alias("__group")), "linked-documents")
+    members = linked.union(linked.select(F.col("__group").alias("__key"), "__group").distinct())
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*docs.columns).alias("tie"), "__key").alias("order")
+    kept = members.join(rows.select("__key", order), "__key").groupBy("__group").agg(F.min("order")["__key"].alias("__key"))
+    gone = members.join(kept.select("__key"), "__key", "left_anti").select("__key")
+    return rows.join(gone, "__key", "left_anti").select(*docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
