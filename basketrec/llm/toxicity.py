@@ -24,6 +24,7 @@ without labels of both kinds the score is the share of toxic labels (0 if none).
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from dataclasses import dataclass
@@ -121,7 +122,9 @@ class Model:
     bias: float
     slope: float
     offset: float
-    key: str
+
+    def __post_init__(self):
+        self.key = hashlib.sha256(self.weights.tobytes() + np.float64(self.bias).tobytes()).hexdigest()
 
     def unit_scores(self, words: list[str]) -> np.ndarray:
         """Decision values, the highest of a word's windows; FLOOR without subsequences."""
@@ -202,7 +205,7 @@ def _fit(positive: list[str], support: list[float], clean: list[str], seed: int)
         weight = np.r_[np.array(support) / np.mean(support), np.full(len(negative), len(positive) / len(negative))]
         beta, bias = _svm(z, y, weight)
         folded = marks.T.astype(float) @ (root @ beta)
-        model = Model(folded, float(bias), 1.0, 0.0, "fit")
+        model = Model(folded, float(bias), 1.0, 0.0)
         every = np.concatenate([model.unit_scores(clean[at:at + 5000]) for at in range(0, len(clean), 5000)])
         hard = [clean[i] for i in np.argsort(-every)[:1500] if every[i] > -0.9]
         if chosen.issuperset(hard):
@@ -247,10 +250,9 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 6, max_docs: int = MAX
            .filter("id is not null and toxic in (0, 1)").filter(crc_fold(F.col("id"), FOLDS) != 0)
            .groupBy("id").agg(F.max("toxic").alias("toxic")))
     count = {r["toxic"]: r["n"] for r in lab.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    key = f"{seed}-{max_docs}-{sorted(count.items())}"
     if not (count.get(0) and count.get(1)):
         share = 0.999 if count.get(1) else 0.001
-        return Model(np.zeros(LETTERS ** 3), 0.0, 0.0, float(np.log(share / (1 - share))), key)
+        return Model(np.zeros(LETTERS ** 3), 0.0, 0.0, float(np.log(share / (1 - share))))
     parts = [lab.filter(F.col("toxic") == t).orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(max_docs) for t in (0, 1)]
     sample = parts[0].union(parts[1])  # at most 2 * max_docs rows of two numbers
     chosen = materialise(
@@ -269,9 +271,9 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 6, max_docs: int = MAX
     positive = [u for u, n in cover.items() if n >= enough]
     if not positive or not clean:
         share = count[1] / (count[0] + count[1])
-        return Model(np.zeros(LETTERS ** 3), 0.0, 0.0, float(np.log(share / (1 - share))), key)
+        return Model(np.zeros(LETTERS ** 3), 0.0, 0.0, float(np.log(share / (1 - share))))
     weights, bias = _fit(positive, [cover[u] for u in positive], clean, seed)
-    rough = Model(weights, bias, 1.0, 0.0, key)
+    rough = Model(weights, bias, 1.0, 0.0)
 
     def raw(texts: pd.Series) -> pd.Series:
         return pd.Series(rough.raw_scores(texts), dtype=float)
@@ -280,7 +282,7 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 6, max_docs: int = MAX
     y = fit["toxic"].to_numpy()
     weight = np.where(y == 1, count[1] / max(1, (y == 1).sum()), count[0] / max(1, (y == 0).sum()))
     slope, offset = _platt(fit["raw"].to_numpy(), y, weight / weight.mean())
-    return Model(weights, bias, slope, offset, key)
+    return Model(weights, bias, slope, offset)
 
 
 def op6_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
