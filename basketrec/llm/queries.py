@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketrec.llm import ann, embed_dedup, jaccard_join, langid, mixing, pii, sentencepiece_codec, suffix_dedup, toxicity, url_filter
+from basketrec.llm import ann, average_search, bpe_codec, embed_dedup, jaccard_join, langid, mixing, pii, sentencepiece_codec, suffix_dedup, threshold_clusters, toxicity, url_filter
 from basketrec.llm.common import importable, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,13 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def word_bpe() -> str:
+    """Path of the public word BPE file on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_embedding_dedup(spark, sf_dir):
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -59,9 +66,21 @@ def op10_pii(spark, sf_dir):
     return pii.op10_query(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark, sf_dir):
+    return average_search.op11_query(table(spark, sf_dir, "embeddings"))
+
+
+def op12_centroids(spark, sf_dir):
+    return threshold_clusters.op12_query(table(spark, sf_dir, "embeddings"))
+
+
+def op13_bpe(spark, sf_dir):
+    return bpe_codec.op13_query(table(spark, sf_dir, "documents"), word_bpe())
+
+
 OPERATORS = (
     op1_embedding_dedup, op2_suffix_dedup, op3_ngram_join, op4_url_filter, op5_sentencepiece, op6_toxicity, op7_language, op8_mix_sources,
-    op9_ann, op10_pii,
+    op9_ann, op10_pii, op11_vector_codes, op12_centroids, op13_bpe,
 )
 
 
@@ -79,4 +98,5 @@ def queries() -> dict[str, Builder]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": url_filter.OP4_SQL, "op8_mix_sources": mixing.OP8_SQL}
+    return {"op4_url_filter": url_filter.OP4_SQL, "op8_mix_sources": mixing.OP8_SQL, "op11_vector_codes": average_search.OP11_SQL,
+            "op12_centroids": threshold_clusters.OP12_SQL}
