@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketrec.plans.broadcast import broadcast_if_small
+from basketrec.plans.skew import join_split
 
 FACT_COLUMNS = [
     "product_id", "order_id", "add_to_cart_order", "reordered", "user_id", "eval_set",
@@ -54,22 +55,30 @@ def product_catalog(products: DataFrame, aisles: DataFrame, departments: DataFra
             .select("product_id", "product_name", "aisle_id", "department_id", "aisle", "department"))
 
 
-def order_lines(order_products: DataFrame, orders: DataFrame, eval_set: str | None = None) -> DataFrame:
+def order_lines(order_products: DataFrame, orders: DataFrame, eval_set: str | None = None,
+                lines_per_task: int | None = None) -> DataFrame:
     """order lines ⋈ orders (inner): the fact table without catalogue
     attributes.  The catalogue is keyed by product_id, so its left join never
-    adds or drops a line; operators that need no names start here."""
+    adds or drops a line; operators that need no names start here.
+
+    With ``lines_per_task``, orders of more lines are found by a sketch and dealt to
+    several tasks before the shuffle; without, that is left to adaptive execution."""
     if eval_set is not None:
         orders = eval_split(orders, eval_set)
+    if lines_per_task is not None:
+        joined = join_split(order_products, orders, "order_id", lines_per_task)
+        return joined.select(*order_products.columns, *[c for c in orders.columns if c != "order_id"])
     return order_products.join(orders, "order_id")
 
 
 def order_facts(order_products: DataFrame, orders: DataFrame, catalog: DataFrame,
-                eval_set: str | None = None, catalog_max_rows: int = 2_000_000) -> DataFrame:
+                eval_set: str | None = None, catalog_max_rows: int = 2_000_000,
+                lines_per_task: int | None = None) -> DataFrame:
     """order lines ⋈ orders (inner) ⟕ catalogue.  Lines of unknown products
     keep NULL names.  The catalogue is broadcast after a row-count check (so
     the lines are not shuffled for it), else sort-merge joined."""
     cat = broadcast_if_small(catalog, catalog_max_rows)
-    facts = order_lines(order_products, orders, eval_set).join(cat, "product_id", "left")
+    facts = order_lines(order_products, orders, eval_set, lines_per_task).join(cat, "product_id", "left")
     return facts.select(*FACT_COLUMNS)
 
 

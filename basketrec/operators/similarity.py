@@ -2,24 +2,27 @@
 
 Plan (one shuffle of pair-sized data, two of pre-aggregated lines):
 
-1. order lines are collapsed to (order, product, m) — m is the
+1. order lines are collapsed once to (order, product, m) — m is the
    multiplicity of the product in the basket (``basket='multiset'``, the
    reference's counting) or 1 (``'set'``) — with a map-side partial
-   aggregation, then hash-partitioned by order;
-2. per product n = Σ m (line count; the squared norm), aggregated map-side
-   from the facts — a product table, broadcast behind a row-count check, so
-   the lines keep their order partitioning;
-3. the basket self-join runs on order_id inside those partitions (no new
-   shuffle) and emits only product_id_left < product_id_right; a basket
-   with more than ``pairs_per_task`` pairs is salted over as many tasks as
-   its pair count needs instead of landing on one (the salted branch is
-   planned only when the largest basket — one cheap aggregation — can
-   exceed the budget);
+   aggregation; all that follows reads this one exchange;
+2. per product n = Σ m (line count; the squared norm) and Σ m², the diagonal;
+   the lines meet this product table in a join that adaptive execution
+   broadcasts or splits by its measured size;
+3. a sketch over the collapsed lines finds baskets of more than
+   ``pairs_per_task`` pairs (``plans.skew``); each is dealt to as many salts as
+   its pairs need, every other basket to one.  A line goes to every salt of
+   its basket, and to one of them as the left side of its pairs, so lines are
+   partitioned by (order, salt) once, and the basket self-join runs inside
+   those partitions with no new shuffle, emitting only
+   product_id_left < product_id_right;
 4. Σ m_l·m_r per pair is aggregated map-side first, then shuffled once;
    n_l and n_r ride along as group keys, so no join on the pair table is
    needed for the norms;
-5. the upper triangle is mirrored with one ``explode``; the diagonal is
-   Σ m² per product, aggregated map-side from the lines.
+5. the upper triangle is mirrored with one ``explode``; the diagonal comes
+   from the product table.
+
+Nothing is fetched while the plan is built.
 
 Cosine is ``dot / (sqrt(n_l) * sqrt(n_r))`` — the Ochiai coefficient on 0/1
 baskets; in multiset mode a repeated product makes the self pair exceed 1,
@@ -32,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketrec.plans.broadcast import broadcast_if_small
+from basketrec.plans.skew import heavy_keys, salted
 
 L, R = "product_id_left", "product_id_right"
 
@@ -48,88 +52,56 @@ def _keyed(facts: DataFrame, basket_key: str | tuple[str, ...]) -> DataFrame:
 
 def basket_lines(facts: DataFrame, basket: str = "multiset",
                  basket_key: str | tuple[str, ...] = "order_id") -> DataFrame:
-    """(order_id, product_id, m), hash-partitioned by the basket key: one
-    column, or several where order ids are unique per user only.
+    """(order_id, product_id, m): one row per basket and product.  The basket
+    key is one column, or several where order ids are unique per user only.
 
-    Lines are first aggregated per (order, product) with a map-side partial
-    aggregation, then partitioned by order: an order holding a huge share
-    of all lines reaches its partition as at most one row per distinct
-    product, never as its raw lines."""
+    Lines are aggregated map-side first, and by order and product, so an order
+    holding a huge share of all lines is spread over all tasks."""
     if basket not in ("multiset", "set"):
         raise ValueError(f"basket must be 'multiset' or 'set', not {basket!r}")
     lines = _keyed(facts, basket_key)
     if basket == "multiset":
-        agg = lines.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("m"))
-    else:
-        agg = lines.distinct().withColumn("m", F.lit(1).cast("long"))
-    return agg.repartition("order_id")
-
-
-def product_counts(facts: DataFrame, basket: str = "multiset",
-                   basket_key: str | tuple[str, ...] = "order_id") -> DataFrame:
-    """Per product n = squared norm: its line count (multiset) or the number
-    of baskets holding it (set).  Computed straight from the facts with a
-    map-side partial aggregation, so sizing it costs a scan, not a
-    line-sized shuffle."""
-    f = _keyed(facts, basket_key)
-    if basket == "multiset":
-        return f.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
-    return f.groupBy("product_id").agg(F.count_distinct("order_id").alias("n"))
-
-
-def max_basket_lines(facts: DataFrame, basket_key: str | tuple[str, ...] = "order_id") -> int:
-    """Largest number of lines in one basket (an upper bound on its distinct
-    products): one aggregation, combined map-side, reduced to one number."""
-    r = (_keyed(facts, basket_key).groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
-         .agg(F.max("_n")).first())
-    return int(r[0] or 0)
+        return lines.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("m"))
+    return lines.distinct().withColumn("m", F.lit(1).cast("long"))
 
 
-def _upper_pairs(lines: DataFrame, counts: DataFrame, pairs_per_task: int,
-                 any_hot: bool = True) -> DataFrame:
-    """(l, r, n_l, n_r, dot) for l < r; ``counts`` is already size-checked.
+def product_counts(lines: DataFrame) -> DataFrame:
+    """Per product of ``basket_lines``: n = squared norm, its line count (multiset) or the
+    number of baskets holding it (set), and dot = Σ m², its product with itself."""
+    return lines.groupBy("product_id").agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("dot"))
 
-    A basket with b distinct products yields b(b-1)/2 pairs.  Baskets with
-    more than ``pairs_per_task`` pairs are hot: their left rows are split by
-    a product hash into s = ceil(pairs / pairs_per_task) salts, and their
-    right rows are replicated s times, so each task forms about
-    ``pairs_per_task`` of the basket's pairs."""
-    w = lines.join(counts, "product_id")
 
-    def side(df, p, m, n, extra=()):
-        return df.select("order_id", F.col("product_id").alias(p), F.col("m").alias(m),
-                         F.col("n").alias(n), *extra)
+def _dealt(lines: DataFrame, pairs_per_task: int) -> DataFrame:
+    """``lines`` once per salt of their basket, partitioned by (order_id, _salt); ``_own`` marks the
+    salt in which a line is the left side.  A basket of b products has b(b-1)/2 pairs and
+    ceil(pairs / pairs_per_task) salts."""
+    n = F.col("_n").cast("double")
+    salts = F.ceil(n * (n - 1) / 2 / F.lit(float(max(pairs_per_task, 1))))
+    out = salted(lines, heavy_keys(lines, "order_id"), salts, ["order_id"])
+    out = out.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    out = out.withColumn("_own", F.col("_salt") == F.pmod(F.xxhash64("product_id"), F.col("_salts")))
+    return out.drop("_salts").repartition("order_id", "_salt")
 
-    if not any_hot:  # no basket can exceed the budget: plain self-join, no size window
-        pairs = side(w, L, "m_l", "n_l").join(side(w, R, "m_r", "n_r"), "order_id").where(F.col(L) < F.col(R))
-        return pairs.groupBy(L, R, "n_l", "n_r").agg(F.sum(F.col("m_l") * F.col("m_r")).alias("dot"))
 
-    w = w.withColumn("_bn", F.count(F.lit(1)).over(Window.partitionBy("order_id")))
-    n_pairs = F.col("_bn") * (F.col("_bn") - 1) / 2
-    normal = w.where(n_pairs <= pairs_per_task)
-    pairs = side(normal, L, "m_l", "n_l").join(side(normal, R, "m_r", "n_r"), "order_id") \
-        .where(F.col(L) < F.col(R))
+def _upper_pairs(lines: DataFrame, counts: DataFrame, pairs_per_task: int) -> DataFrame:
+    """(l, r, n_l, n_r, dot) for l < r."""
+    dealt = _dealt(lines.join(counts.select("product_id", "n"), "product_id"), pairs_per_task)
 
-    hot = w.where(n_pairs > pairs_per_task).withColumn(
-        "_s", F.ceil(n_pairs / F.lit(max(pairs_per_task, 1))).cast("long"))
-    ha = side(hot, L, "m_l", "n_l", [F.pmod(F.xxhash64("product_id"), F.col("_s")).alias("_salt")])
-    hb = side(hot, R, "m_r", "n_r", [F.explode(F.sequence(F.lit(0).cast("long"), F.col("_s") - 1)).alias("_salt")])
-    hot_pairs = ha.join(hb, ["order_id", "_salt"]).where(F.col(L) < F.col(R)).drop("_salt")
+    def side(df, p, m, n):
+        return df.select("order_id", "_salt", F.col("product_id").alias(p), F.col("m").alias(m), F.col("n").alias(n))
 
-    both = pairs.unionByName(hot_pairs)
-    return both.groupBy(L, R, "n_l", "n_r").agg(F.sum(F.col("m_l") * F.col("m_r")).alias("dot"))
+    pairs = side(dealt.where("_own"), L, "m_l", "n_l").join(side(dealt, R, "m_r", "n_r"), ["order_id", "_salt"]).where(F.col(L) < F.col(R))
+    return pairs.groupBy(L, R, "n_l", "n_r").agg(F.sum(F.col("m_l") * F.col("m_r")).alias("dot"))
 
 
 def pair_dots(facts: DataFrame, basket: str = "multiset", pairs_per_task: int = 50_000_000,
-              broadcast_max_rows: int = 2_000_000,
               basket_key: str | tuple[str, ...] = "order_id") -> DataFrame:
     """All ordered pairs (self pairs included) of products bought in the
     same basket: (product_id_left, product_id_right, dot, n_l, n_r).
     ``basket_key=("user_id", "order_id")`` where users share order ids."""
     lines = basket_lines(facts, basket, basket_key)
-    counts = broadcast_if_small(product_counts(facts, basket, basket_key), broadcast_max_rows)
-    mx = max_basket_lines(facts, basket_key)
-    up = _upper_pairs(lines, counts, pairs_per_task, any_hot=mx * (mx - 1) / 2 > pairs_per_task)
+    counts = product_counts(lines)
+    up = _upper_pairs(lines, counts, pairs_per_task)
     mirrored = up.select(
         F.explode(F.array(
             F.struct(F.col(L).alias("l"), F.col(R).alias("r"), F.col("n_l").alias("nl"), F.col("n_r").alias("nr")),
@@ -137,11 +109,7 @@ def pair_dots(facts: DataFrame, basket: str = "multiset", pairs_per_task: int =
         )).alias("p"), "dot",
     ).select(F.col("p.l").alias(L), F.col("p.r").alias(R), "dot",
              F.col("p.nl").alias("n_l"), F.col("p.nr").alias("n_r"))
-    # Diagonal: Σ m² per product, aggregated map-side from the order-partitioned lines.
-    self_dot = lines.groupBy("product_id").agg(F.sum(F.col("m") * F.col("m")).alias("dot"))
-    diag = self_dot.join(counts, "product_id").select(
-        F.col("product_id").alias(L), F.col("product_id").alias(R), "dot",
-        F.col("n").alias("n_l"), F.col("n").alias("n_r"))
+    diag = counts.select(F.col("product_id").alias(L), F.col("product_id").alias(R), "dot", F.col("n").alias("n_l"), F.col("n").alias("n_r"))
     return mirrored.unionByName(diag)
 
 
@@ -158,7 +126,7 @@ def cosine_similarity(facts: DataFrame, basket: str = "multiset", **kw) -> DataF
 
 def item_norms(facts: DataFrame, basket: str = "multiset") -> DataFrame:
     """(product_id, norm) with norm = sqrt(line count)."""
-    return product_counts(facts, basket).select("product_id", F.sqrt("n").alias("norm"))
+    return product_counts(basket_lines(facts, basket)).select("product_id", F.sqrt("n").alias("norm"))
 
 
 def attach_names(pairs: DataFrame, catalog: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:

@@ -27,32 +27,28 @@ def test_topk_is_a_group_limit(spark, tables):
 
 def test_self_join_reuses_order_partitioning(spark, tables):
     p = plan(sim.cosine_similarity(R.prior_lines(tables)))
-    order_exchanges = re.findall(r"Exchange hashpartitioning\(order_id#\d+L?, \d+\), (\w+)", p)
+    order_exchanges = re.findall(r"Exchange hashpartitioning\(order_id#\d+L?, _salt#\d+, \d+\), (\w+)", p)
     assert order_exchanges and set(order_exchanges) == {"REPARTITION_BY_COL"}
     # the pair aggregation is combined map-side before its single shuffle
     assert "partial_sum((m_l" in p
 
 
+def test_positions_have_no_window_by_user_alone(spark, tables):
+    for key in ("predict_cosine", "predict_random", "predict_baseline", "predict_baseline_per_line", "predict_cosine_by_score"):
+        assert not re.search(r"windowspecdefinition\(user_id#\d+L?, (?!_block|predicted_product#\d+L?, \w)", plan(R.queries()[key](spark, SF))), key
+
+
 def test_scans_are_pruned_and_filtered(spark, tables):
     p = plan(sim.cosine_similarity(R.prior_lines(tables)))
     assert "ReadSchema: struct<order_id:bigint,product_id:bigint>" in p
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(eval_set,prior\)", p)
 
 
-# Spark ML's ALS recommender multiplies blocks of user factors with blocks of
-# item factors (a block-level product that keeps a bounded top-N per user and
-# block; exact top-k from factors must score every item for a user).  No
-# pair rows are emitted; it is the only cartesian step allowed.
-ALS_KEYS = {"als_recommendations", "als_map_score"}
-
-
 @pytest.mark.parametrize("key", sorted(R.queries()))
 def test_no_cross_join_or_python_udf(spark, key):
     p = plan(R.queries()[key](spark, SF))
-    for bad in ("BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+    for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in p, f"{key}: {bad}"
-    if key not in ALS_KEYS:
-        assert "CartesianProduct" not in p, key
 
 
 def test_broadcast_only_under_bound(spark):
