@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketrec.functions.hashing import hash_order_key, hash_u32
-from basketrec.functions.indexing import dense_index
+from basketrec.functions.indexing import dense_index, group_row_number
 from basketrec.operators import similarity as sim
 from basketrec.plans.broadcast import broadcast_if_small
 
@@ -97,15 +97,31 @@ def _names(pred: DataFrame, products: DataFrame, broadcast_max_rows: int = 2_000
     return pred.join(a, "purchased_product", "left").join(b, "predicted_product", "left")
 
 
+#: Basket lines whose predictions are numbered together.
+LINES_PER_BLOCK = 64
+
+
 def _positions(pred: DataFrame, score: str, rank_mode: str) -> DataFrame:
-    """Add ``pos``: the prediction's place in the user's list."""
+    """Add ``pos``: the prediction's place in the user's list.
+
+    In line order, a place is the number of predictions of earlier blocks of lines plus
+    the place within the block, so that a window holds the predictions of
+    ``LINES_PER_BLOCK`` lines, and what is gathered by user is one number a block.  By
+    score, rows are numbered in range partitions (``group_row_number``)."""
     if rank_mode == "line":
-        w = Window.partitionBy("user_id").orderBy("line", "rank", "predicted_product")
-        return pred.withColumn("pos", F.row_number().over(w))
+        block = F.coalesce(F.floor(F.col("line") / LINES_PER_BLOCK).cast("long"), F.lit(-(1 << 62)))
+        w = Window.partitionBy("user_id", "_block").orderBy("line", "rank", "predicted_product")
+        numbered = pred.withColumn("_block", block).withColumn("_place", F.row_number().over(w))
+        sizes = numbered.groupBy("user_id", "_block").agg(F.count(F.lit(1)).alias("n"))
+        blocks = sizes.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("_block", "n"))).alias("_b"))
+        before = F.expr("transform(_b, (x, i) -> struct(x._block as _block, aggregate(slice(_b, 1, i), 0L, (a, y) -> a + y.n) as _before))")
+        before = blocks.select("user_id", F.inline(before))
+        placed = numbered.join(before, ["user_id", "_block"])
+        return placed.withColumn("pos", (F.col("_before") + F.col("_place")).cast("int")).drop("_block", "_place", "_before")
     if rank_mode == "score":
         best = pred.groupBy("user_id", "predicted_product").agg(F.max(score).alias("_best"))
-        w = Window.partitionBy("user_id").orderBy(F.desc("_best"), F.asc("predicted_product"))
-        ranked = best.withColumn("pos", F.row_number().over(w)).drop("_best")
+        best = best.withColumn("_worse", -F.col("_best"))
+        ranked = group_row_number(best, ["user_id"], ["_worse", "predicted_product"], "pos").drop("_best", "_worse")
         first = Window.partitionBy("user_id", "predicted_product").orderBy(F.desc(score), "line")
         one = pred.withColumn("_r", F.row_number().over(first)).where(F.col("_r") == 1).drop("_r")
         return one.join(ranked, ["user_id", "predicted_product"])
