@@ -19,7 +19,8 @@ def cte(name: str, deps: tuple[str, ...], body: str) -> None:
 
 
 def with_ctes(needed: list[str], select: str) -> str:
-    """``WITH`` clause holding ``needed`` and their dependencies in order."""
+    """``WITH`` clause holding ``needed`` and their dependencies in order, then ``select``, which may
+    start with a comma and further ones of its own."""
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -34,7 +35,7 @@ def with_ctes(needed: list[str], select: str) -> str:
     if not order:
         return select
     parts = ",\n".join(f"{n} AS (\n{CTES[n][1]}\n)" for n in order)
-    return f"WITH {parts}\n{select}"
+    return f"WITH {parts}{'' if select.lstrip().startswith(',') else chr(10)}{select}"
 
 
 # --- basket model from the test tables ------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketrec.functions.vectors import centroid_cosine
-from basketrec.operators import etl, evaluate, factor, matrix, models, similarity as sim
+from basketrec.operators import etl, evaluate, factor, knn, matrix, minhash, models, similarity as sim, spectral, tiles
 from basketrec.plans.oracle import md5_key, named, similar_sql, with_ctes
 from basketrec.session import scratch_path
 from basketrec.sources import files
@@ -120,6 +120,12 @@ def q_cooccurrence(t, spark, sf_dir):
     return sim.cooccurrence(prior_lines(t), catalog(t))
 
 
+@register("cooccurrence_by_user_order", with_ctes(["b_cooc"], "SELECT * FROM b_cooc"))
+def q_cooccurrence_by_user_order(t, spark, sf_dir):
+    """Co-occurrence of baskets told apart by (user, order)."""
+    return sim.cooccurrence(prior_lines(t), basket_key=("user_id", "order_id"))
+
+
 @register("item_norms", with_ctes(["b_norms"], "SELECT * FROM b_norms"))
 def q_item_norms(t, spark, sf_dir):
     return sim.item_norms(prior_lines(t))
@@ -190,6 +196,14 @@ def q_input_baskets(t, spark, sf_dir):
     return models.input_baskets(last_prior(t), last_lines(t), n_users=100, seed=1, by="row")
 
 
+@register("input_baskets_by_user", with_ctes(["b_input"], f"""
+SELECT * FROM b_input WHERE user_id IN (
+  SELECT user_id FROM (SELECT DISTINCT user_id FROM b_input) u ORDER BY {md5_key(1, 'user_id')}, user_id LIMIT 100)"""))
+def q_input_baskets_by_user(t, spark, sf_dir):
+    """Seeded sample: 100 hash-drawn users (a sampling operator)."""
+    return models.input_baskets(last_prior(t), last_lines(t), n_users=100, seed=1, by="user")
+
+
 @register("actual_baskets", with_ctes(["b_actual"], "SELECT * FROM b_actual"))
 def q_actual_baskets(t, spark, sf_dir):
     return models.actual_baskets(last_lines(t), baskets(t))
@@ -353,6 +367,98 @@ def q_als_map_score(t, spark, sf_dir):
     return evaluate.compare_models({"als": ap(t, recs)})
 
 
+@register("als_user_invariants", with_ctes(["b_input", "b_ratings"], """
+SELECT u.user_id AS userid, least(10, i.n - coalesce(b.n, 0)) AS recommended, CAST(0 AS BIGINT) AS bought, CAST(0 AS BIGINT) AS out_of_order
+FROM (SELECT DISTINCT user_id FROM b_input) u
+LEFT JOIN (SELECT user_id, count(*) AS n FROM b_ratings GROUP BY user_id) b ON u.user_id = b.user_id
+CROSS JOIN (SELECT count(DISTINCT product_id) AS n FROM b_ratings) i
+WHERE i.n > coalesce(b.n, 0)"""))
+def q_als_user_invariants(t, spark, sf_dir):
+    """For every scored user the number of its ALS recommendations, how many of them it had
+    bought, and how many score above the one before or leave a gap in the positions."""
+    rating = factor.ratings(prior_lines(t))
+    return factor.recommendation_invariants(factor.als_recommendations(rating, baskets(t), k=10), rating)
+
+
+# --- latent factors, nearest rows -----------------------------------------------------------
+
+LSA_RANK = 8
+
+
+def latent(t):
+    cooc = sim.cooccurrence(prior_lines(t))
+    return cooc, spectral.latent_factors(cooc, rank=LSA_RANK)
+
+
+@register("lsa_invariants", f"""
+SELECT CAST(i AS INTEGER) AS component, true AS unit_length, true AS singular FROM range(1, {LSA_RANK + 1}) r(i)""")
+def q_lsa_invariants(t, spark, sf_dir):
+    """Of the leading factors of the co-occurrence matrix: whether each has length 1 and is a singular
+    vector of its value (matrix times vector within 5 % of value times vector)."""
+    cooc, found = latent(t)
+    return spectral.eigen_residuals(cooc, found).select("component", (F.abs(F.col("norm") - 1) < 1e-6).alias("unit_length"), (F.col("residual") < 0.05).alias("singular"))
+
+
+@register("lsa_neighbours", None)
+def q_lsa_neighbours(t, spark, sf_dir):
+    """The 10 products nearest to every product by the cosine of their latent factors."""
+    _, found = latent(t)
+    near = knn.nearest_vectors(found.factors, "product_id", "vector", 10).rows
+    return near.select(F.col("id").alias(sim.L), F.col("neighbour").alias(sim.R), F.col("score").alias("cosine"), "rank")
+
+
+@register("item_als_neighbours", None)
+def q_item_als_neighbours(t, spark, sf_dir):
+    """The 10 products nearest to every product by the cosine of factors of item-item ALS."""
+    near = knn.nearest_vectors(factor.item_factors(sim.cooccurrence(prior_lines(t))), "product_id", "vector", 10).rows
+    return near.select(F.col("id").alias(sim.L), F.col("neighbour").alias(sim.R), F.col("score").alias("cosine"), "rank")
+
+
+@register("tiled_cooccurrence", with_ctes(["b_cooc"], "SELECT * FROM b_cooc"))
+def q_tiled_cooccurrence(t, spark, sf_dir):
+    """Co-occurrence as the product of the tiled order-product matrix with its transpose."""
+    tiled = tiles.tiled(sim.basket_lines(prior_lines(t)), "order_id", "product_id", "m")
+    return tiles.gram(tiled, sim.L, sim.R, "cooccurances").withColumn("cooccurances", F.col("cooccurances").cast("long"))
+
+
+@register("tiled_l1", with_ctes(["b_user_item"], """
+SELECT u.user_id, u.product_id, CAST(u.purchases AS DOUBLE) / CAST(s.l1 AS DOUBLE) AS l1_value
+FROM b_user_item u JOIN (SELECT user_id, sum(abs(purchases)) AS l1 FROM b_user_item GROUP BY user_id) s ON u.user_id = s.user_id"""))
+def q_tiled_l1(t, spark, sf_dir):
+    """Rows of the tiled user-item matrix scaled to unit L1 norm."""
+    tiled = tiles.tiled(matrix.user_item_matrix(prior_lines(t)), "user_id", "product_id", "purchases")
+    return tiles.cells_of(tiles.l1_rows(tiled), "user_id", "product_id", "l1_value")
+
+
+@register("embedding_topk", f"""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id, b.vec_id AS neighbour, round(list_cosine_similarity(a.v, b.v), {knn.DIGITS}) AS cosine FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT vec_id, neighbour, cosine, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, neighbour) AS INTEGER) AS rank
+FROM p QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, neighbour) <= 10""")
+def q_embedding_topk(t, spark, sf_dir):
+    """The 10 nearest embeddings of every embedding by cosine, exactly."""
+    emb = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+    return knn.nearest_vectors(emb, "vec_id", "embedding", 10).rows.select(F.col("id").alias("vec_id"), "neighbour", F.col("score").alias("cosine"), "rank")
+
+
+SHARED_ORDERS = 0.04
+
+
+@register("shared_order_links", with_ctes(["b_op_prior"], f"""
+, s AS (SELECT DISTINCT product_id, order_id FROM b_op_prior),
+z AS (SELECT product_id, count(*) AS n, list(order_id ORDER BY order_id) AS orders FROM s GROUP BY product_id),
+c AS (SELECT min(product_id) AS product_id, any_value(n) AS n FROM z GROUP BY orders),
+k AS (SELECT s.* FROM s JOIN c ON s.product_id = c.product_id),
+p AS (SELECT a.product_id AS l, b.product_id AS r, count(*) AS shared FROM k a JOIN k b ON a.order_id = b.order_id AND a.product_id < b.product_id GROUP BY 1, 2)
+SELECT l AS product_id_left, r AS product_id_right, shared, shared / (x.n + y.n - shared) AS jaccard
+FROM p JOIN c x ON x.product_id = l JOIN c y ON y.product_id = r WHERE shared / (x.n + y.n - shared) >= {SHARED_ORDERS}"""))
+def q_shared_order_links(t, spark, sf_dir):
+    """Pairs of product classes whose order sets have a Jaccard similarity of 0.04 or more, found by MinHash."""
+    return minhash.shared_order_links(prior_lines(t), SHARED_ORDERS, recall=0.999999)[0]
+
+
 # --- similar items ------------------------------------------------------------------------
 
 @register("similar_items_cosine", with_ctes(["b_cosine", "b_catalog"], similar_sql("cosine_similarity", "b_cosine")))
