@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketrec import schemas
 from basketrec.functions.vectors import centroid_cosine
 from basketrec.operators import etl, evaluate, factor, knn, matrix, minhash, models, similarity as sim, spectral, tiles
 from basketrec.plans.oracle import md5_key, named, similar_sql, with_ctes
@@ -33,8 +34,17 @@ def register(name: str, sql: str | None):
     return deco
 
 
+_CATALOGS: dict[tuple, str] = {}
+
+
 def catalog(t: BasketTables) -> DataFrame:
-    return etl.product_catalog(t.products, t.aisles, t.departments)
+    """The catalogue, written once per input like the other tables, so that its size is known."""
+    spark, key = t.products.sparkSession, (*t.products.inputFiles(), t.products.sparkSession.sparkContext.applicationId)
+    if key not in _CATALOGS:
+        path = scratch_path(spark, "catalog")
+        etl.product_catalog(t.products, t.aisles, t.departments).write.parquet(path)
+        _CATALOGS[key] = path
+    return spark.read.schema(schemas.CATALOG).parquet(_CATALOGS[key])
 
 
 def prior_facts(t: BasketTables) -> DataFrame:
@@ -55,6 +65,8 @@ def last_facts(t: BasketTables) -> DataFrame:
     return etl.order_facts(t.order_products_train, t.orders, catalog(t), "train")
 
 
+#: Digits of scores: engines add up floating-point numbers in different orders.
+AP_DIGITS = 12
 FACT_COLS = ", ".join(etl.FACT_COLUMNS)
 
 # --- ETL ----------------------------------------------------------------------------------
@@ -77,7 +89,7 @@ def q_split_profile(t, spark, sf_dir):
 
 @register("product_catalog", with_ctes(["b_catalog"], "SELECT * FROM b_catalog"))
 def q_product_catalog(t, spark, sf_dir):
-    return catalog(t)
+    return etl.product_catalog(t.products, t.aisles, t.departments)
 
 
 @register("prior_order_products", with_ctes(["b_prior_facts"], "SELECT * FROM b_prior_facts"))
@@ -178,7 +190,7 @@ def pred_baseline(t):
 
 def ap(t, pred):
     b = baskets(t)
-    return evaluate.average_precision(pred, models.actual_baskets(last_lines(t), b), b, k=10)
+    return evaluate.average_precision(pred, models.actual_baskets(last_lines(t), b), b, k=10, digits=AP_DIGITS)
 
 
 @register("last_prior_order", with_ctes(["b_last_prior"], "SELECT * FROM b_last_prior"))
@@ -248,7 +260,7 @@ def q_map_score(t, spark, sf_dir):
     b = baskets(t)
     return evaluate.score_models(
         {"cosine": pred_cosine(t), "random": pred_random(t), "baseline": pred_baseline(t)},
-        models.actual_baskets(last_lines(t), b), b, k=10)
+        models.actual_baskets(last_lines(t), b), b, k=10, digits=AP_DIGITS)
 
 
 @register("global_map", with_ctes(["b_ap_cos", "b_ap_rand", "b_ap_base"], """
@@ -264,7 +276,7 @@ def q_global_map(t, spark, sf_dir):
     for name, pred in (("cosine", pred_cosine(t)), ("random", pred_random(t)),
                        ("baseline", pred_baseline(t))):
         files.write_csv(ap(t, pred), f"{folder}/map-{name}.csv")
-    return evaluate.global_map(files.read_score_files(spark, folder))
+    return evaluate.global_map(files.read_score_files(spark, folder), AP_DIGITS)
 
 
 
@@ -364,7 +376,7 @@ def q_als_map_score(t, spark, sf_dir):
     """MAP@10 of the ALS model on the same held-out baskets."""
     recs = als_recs(t).select(F.col("userid").alias("user_id"),
                               F.col("productid").alias("predicted_product"), "pos")
-    return evaluate.compare_models({"als": ap(t, recs)})
+    return evaluate.compare_models({"als": ap(t, recs)}, AP_DIGITS)
 
 
 @register("als_user_invariants", with_ctes(["b_input", "b_ratings"], """
@@ -567,9 +579,9 @@ def q_end_to_end_global_map(t, spark, sf_dir):
     """The whole job — facts, similarities, neighbours, baskets, three
     models, per-user scores, score files — with every reused table written
     once to the shared folder; returns the global MAP per model."""
-    from basketrec.plans.job import BasketJob
+    from basketrec.plans.job import BasketJob, JobConfig
 
-    return BasketJob(spark, t).run()
+    return BasketJob(spark, t, JobConfig(digits=AP_DIGITS)).run()
 
 
 def queries() -> dict[str, Builder]:
