@@ -56,18 +56,17 @@ def dense_index(df: DataFrame, key: str, index_col: str = "idx",
 
 
 def group_row_number(df: DataFrame, group_cols: list[str], order_cols: list[str],
-                     out: str = "row_number", group_size: str | None = None,
-                     broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                     out: str = "row_number", group_size: str | None = None) -> DataFrame:
     """``df`` plus ``out`` = row_number() over (partition by group_cols order
     by order_cols), from 1; with ``group_size`` also the group's row count.
 
-    The per-group table (first index, size) is broadcast after a row-count
-    check; beyond the bound it is a shuffle join, which AQE's skew handling
+    The per-group table (first index, size) is broadcast within the size
+    bound; beyond it, it is a shuffle join, which AQE's skew handling
     splits for a hot group."""
     indexed = global_index(df, list(group_cols) + list(order_cols), "_gidx")
     firsts = indexed.groupBy(*group_cols).agg(F.min("_gidx").alias("_first"),
                                               F.count(F.lit(1)).alias("_gsize"))
-    firsts = broadcast_if_small(firsts, broadcast_max_rows)
+    firsts = broadcast_if_small(firsts)
     res = indexed.join(firsts, list(group_cols)).withColumn(
         out, (F.col("_gidx") - F.col("_first") + 1).cast("int"))
     if group_size:

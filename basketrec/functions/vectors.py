@@ -37,14 +37,14 @@ def array_cosine(x, y) -> Column:
     return F.coalesce(checked.cast("double"), cos)
 
 
-def centroid_cosine(df, key: str, vec: str, id_col: str, max_groups: int = 100_000):
+def centroid_cosine(df, key: str, vec: str, id_col: str):
     """Cosine of every array to the element-wise mean of its group's arrays.
 
     Centroids are aggregated per (group, position) — map-side partial sums,
     so a group holding a third of the rows is still summed in parallel —
     and rebuilt as one array per group (bounded by the dimension).  The
-    centroid table (groups × dimension) is broadcast after a row-count
-    check.  O(rows); no pair of rows is ever formed."""
+    centroid table (groups × dimension) is broadcast within the size
+    bound.  O(rows); no pair of rows is ever formed."""
     from pyspark.sql import functions as F
 
     from basketrec.plans.broadcast import broadcast_if_small
@@ -54,5 +54,5 @@ def centroid_cosine(df, key: str, vec: str, id_col: str, max_groups: int = 100_0
     cents = means.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("_pos", "_m"))).alias("_s")
     ).select(key, F.transform("_s", lambda s: s["_m"]).alias("_centroid"))
-    cents = broadcast_if_small(cents, max_groups)
+    cents = broadcast_if_small(cents)
     return df.join(cents, key).select(id_col, key, array_cosine(vec, "_centroid").alias("cosine_to_centroid"))

@@ -44,13 +44,12 @@ def merge(df1: DataFrame, df2: DataFrame, key: str | list[str], how: str = "inne
     return df1.join(df2, key if isinstance(key, list) else [key], how)
 
 
-def product_catalog(products: DataFrame, aisles: DataFrame, departments: DataFrame,
-                    dim_max_rows: int = 100_000) -> DataFrame:
+def product_catalog(products: DataFrame, aisles: DataFrame, departments: DataFrame) -> DataFrame:
     """products ⋈ aisles ⋈ departments (inner: products without a known
     aisle or department drop out).  The two dimension tables are broadcast
-    after a row-count check."""
-    a = broadcast_if_small(aisles, dim_max_rows)
-    d = broadcast_if_small(departments, dim_max_rows)
+    within the size bound."""
+    a = broadcast_if_small(aisles)
+    d = broadcast_if_small(departments)
     return (products.join(a, "aisle_id").join(d, "department_id")
             .select("product_id", "product_name", "aisle_id", "department_id", "aisle", "department"))
 
@@ -72,12 +71,12 @@ def order_lines(order_products: DataFrame, orders: DataFrame, eval_set: str | No
 
 
 def order_facts(order_products: DataFrame, orders: DataFrame, catalog: DataFrame,
-                eval_set: str | None = None, catalog_max_rows: int = 2_000_000,
+                eval_set: str | None = None,
                 lines_per_task: int | None = None) -> DataFrame:
     """order lines ⋈ orders (inner) ⟕ catalogue.  Lines of unknown products
-    keep NULL names.  The catalogue is broadcast after a row-count check (so
-    the lines are not shuffled for it), else sort-merge joined."""
-    cat = broadcast_if_small(catalog, catalog_max_rows)
+    keep NULL names.  The catalogue is broadcast within the size bound (so
+    the lines are not shuffled for it), else joined by a shuffle."""
+    cat = broadcast_if_small(catalog)
     facts = order_lines(order_products, orders, eval_set, lines_per_task).join(cat, "product_id", "left")
     return facts.select(*FACT_COLUMNS)
 

@@ -88,8 +88,8 @@ def top_products(last_prior: DataFrame, n: int = 100) -> DataFrame:
     return counts.orderBy(F.desc("purchasecount"), F.asc("product_id")).limit(n)
 
 
-def _names(pred: DataFrame, products: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
-    names = broadcast_if_small(products.select("product_id", "product_name"), broadcast_max_rows)
+def _names(pred: DataFrame, products: DataFrame) -> DataFrame:
+    names = broadcast_if_small(products.select("product_id", "product_name"))
     a = names.select(F.col("product_id").alias("purchased_product"),
                      F.col("product_name").alias("prior_product_name"))
     b = names.select(F.col("product_id").alias("predicted_product"),
@@ -190,7 +190,7 @@ def predict_random(baskets: DataFrame, products: DataFrame, k: int = 10, seed: i
         F.col("add_to_cart_order").alias("line"),
         F.posexplode(picked).alias("rank", "idx"),
     ).withColumn("rank", F.col("rank") + 1)
-    ix = broadcast_if_small(idx.withColumnRenamed("product_id", "predicted_product"))
+    ix = broadcast_if_small(idx.withColumnRenamed("product_id", "predicted_product"), rows=n)
     pred = exploded.join(ix, "idx").drop("idx")
     # Random draws carry no score: a user's list is always line order, then draw order.
     pred = _positions(pred, "rank", "line")

@@ -129,10 +129,10 @@ def item_norms(facts: DataFrame, basket: str = "multiset") -> DataFrame:
     return product_counts(basket_lines(facts, basket)).select("product_id", F.sqrt("n").alias("norm"))
 
 
-def attach_names(pairs: DataFrame, catalog: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+def attach_names(pairs: DataFrame, catalog: DataFrame) -> DataFrame:
     """Left-join product names for both ids (names are looked up after the
     aggregation, so they never widen the shuffle)."""
-    names = broadcast_if_small(catalog.select("product_id", "product_name"), broadcast_max_rows)
+    names = broadcast_if_small(catalog.select("product_id", "product_name"))
     nl = names.select(F.col("product_id").alias(L), F.col("product_name").alias("product_name_left"))
     nr = names.select(F.col("product_id").alias(R), F.col("product_name").alias("product_name_right"))
     return pairs.join(nl, L, "left").join(nr, R, "left")

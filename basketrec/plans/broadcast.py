@@ -1,27 +1,25 @@
-"""Broadcast only behind a measured size bound.
-
-``broadcast_if_small`` persists the (small, derived) side, counts it, and
-adds the broadcast hint only when the row count is within ``max_rows``;
-otherwise the frame is released and returned unhinted, and Spark plans a
-shuffle join (AQE may still broadcast it if its measured size turns out
-under the broadcast threshold).
-The count is one pass over a frame that the join needs anyway, and the
-persisted blocks make the join reuse it.
+"""Broadcast only behind a size bound, without running anything.
+
+The bound is in bytes: of the optimiser's estimate of a frame, which for written tables is their
+size, or of a known number of rows times the width of a row.  Beyond it the frame is
+returned as it is, and Spark plans a shuffle join, which adaptive execution may still turn
+into a broadcast by the size that it measures.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 2_000_000
+DEFAULT_MAX_BYTES = 32 << 20
+
+
+def estimated_bytes(df: DataFrame, rows: int | None = None) -> int:
+    if rows is not None:
+        return rows * (16 + df._jdf.schema().defaultSize())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(cached)
-    cached.unpersist()  # too big to broadcast, and too big to keep cached for one join
-    return df
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES, rows: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_bytes``; ``rows``: its number of rows, if known."""
+    return F.broadcast(df) if estimated_bytes(df, rows) <= max_bytes else df

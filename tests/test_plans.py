@@ -54,8 +54,10 @@ def test_no_cross_join_or_python_udf(spark, key):
 def test_broadcast_only_under_bound(spark):
     from basketrec.plans.broadcast import broadcast_if_small
 
-    small = broadcast_if_small(spark.range(10), max_rows=10)
-    big = broadcast_if_small(spark.range(11), max_rows=10)
+    small = broadcast_if_small(spark.range(10), max_bytes=80)
+    big = broadcast_if_small(spark.range(11), max_bytes=80)
+    known = broadcast_if_small(spark.range(11), max_bytes=80, rows=3)
+    assert "broadcast" in spark.range(9).join(known, "id")._jdf.queryExecution().analyzed().toString().lower()
     j_small = spark.range(100).join(small, "id")
     j_big = spark.range(100).join(big, "id")
     assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower()
