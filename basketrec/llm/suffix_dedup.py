@@ -4,8 +4,9 @@ A string of LENGTH bytes that two texts share contains the same anchor in both:
 smallest hashed GRAM among its LENGTH - GRAM + 1 ones.  So it is enough to sort the
 suffixes that start at anchors, with the bytes to the left of them.
 
-1. ``_blocks``: texts in blocks of bounded size, compressed, one row each, bucketed
-   by block, so that the steps that return to the texts shuffle no text.
+1. ``_blocks``: texts in blocks of bounded size, compressed, one row each, with the places
+   of their anchors, which later steps read back; bucketed by block, so that the steps
+   that return to the texts shuffle no text.
 2. ``_anchors`` and ``_repeated``: which anchors are in several documents.  Only
    sorted 48-bit hashes travel; chance matches are sorted out by the next step.
 3. ``_contexts`` and ``_tree``: the bytes around repeated anchors, each distinct
@@ -68,10 +69,10 @@ def gram_hashes(b: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(30))
 
 
-def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the first smallest gram of every window of LENGTH bytes, and their hashes."""
+def anchors(raw: bytes) -> np.ndarray:
+    """Positions of the first smallest gram of every window of LENGTH bytes."""
     if len(raw) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int32)
     h = gram_hashes(np.frombuffer(raw, np.uint8))
     value, at, span = h, np.arange(len(h), dtype=np.int32), 1
     while True:
@@ -81,19 +82,31 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         span += step
         if span == LEFT + 1:
             break
-    pos = at[np.concatenate([[True], at[1:] != at[:-1]])]
-    return pos.astype(np.int64), h[pos]
+    return at[np.concatenate([[True], at[1:] != at[:-1]])]
 
 
-BLOCK_SCHEMA = "block string, ids binary, lens binary, raw binary"
+def gram_ids(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """48-bit hash of the GRAM bytes of ``flat`` from each of the places ``at``."""
+    w = np.lib.stride_tricks.sliding_window_view(flat, GRAM)[at].view("<u8") if len(at) else np.zeros((0, 3), np.uint64)
+    h = w[:, 0] * np.uint64(0x9E3779B97F4A7C15)
+    h = ((h ^ (h >> np.uint64(29))) + w[:, 1]) * np.uint64(0xBF58476D1CE4E5B9)
+    h = ((h ^ (h >> np.uint64(32))) + w[:, 2]) * np.uint64(0x94D049BB133111EB)
+    return ((h ^ (h >> np.uint64(31))) >> np.uint64(16)).astype(np.int64)
+
+
+BLOCK_SCHEMA = "block string, ids binary, lens binary, raw binary, places binary"
 
 
 def _blocks(block_bytes: int):
     def close(ids, texts):
+        places = [anchors(t) for t in texts]
+        counts = np.fromiter(map(len, places), np.int64, len(places))
+        steps = np.concatenate([np.diff(p, prepend=0) for p in places])
         return pa.RecordBatch.from_arrays(
             [pa.array([uuid.uuid4().hex]), pa.array([np.array(ids, "<i8").tobytes()], pa.binary()),
              pa.array([np.array([len(t) for t in texts], "<i8").tobytes()], pa.binary()),
-             pa.array([zstandard.compress(b"".join(texts))], pa.binary())], names=["block", "ids", "lens", "raw"])
+             pa.array([zstandard.compress(b"".join(texts))], pa.binary()), pa.array([squeeze(np.concatenate([counts, steps]))], pa.binary())],
+            names=["block", "ids", "lens", "raw", "places"])
 
     def run(batches):
         ids, texts, held = [], [], 0
@@ -117,13 +130,16 @@ def _texts(ids: bytes, lens: bytes, raw: bytes):
     return np.frombuffer(ids, "<i8"), [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
-def _block_anchors(texts):
+def _block_anchors(texts, places: bytes):
     """Document number, position and 48-bit hash of all anchors of a block."""
-    found = [anchors(t) for t in texts]
-    doc = np.repeat(np.arange(len(texts)), [len(p) for p, _ in found])
-    pos = np.concatenate([p for p, _ in found] or [np.zeros(0, np.int64)])
-    h = np.concatenate([h for _, h in found] or [np.zeros(0, np.uint64)])
-    return doc, pos, (h >> np.uint64(16)).astype(np.int64)
+    x = stretch(places).astype(np.int64)
+    counts, steps = x[:len(texts)], x[len(texts):]
+    doc = np.repeat(np.arange(len(texts)), counts)
+    upto = np.concatenate([[0], np.cumsum(steps)])
+    first = np.cumsum(counts) - counts
+    pos = upto[1:] - np.repeat(upto[first], counts)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    return doc, pos, gram_ids(np.frombuffer(b"".join(texts), np.uint8), (np.cumsum(size) - size)[doc] + pos)
 
 
 def _pack(h: np.ndarray) -> bytes:
@@ -150,8 +166,8 @@ def _documents_of(doc, h):
 def _anchors(deal: int):
     def run(batches):
         for rb in batches:
-            for block, ids, lens, raw in zip(*(c.to_pylist() for c in rb.columns)):
-                doc, _, h = _block_anchors(_texts(ids, lens, raw)[1])
+            for block, ids, lens, raw, places in zip(*(c.to_pylist() for c in rb.columns)):
+                doc, _, h = _block_anchors(_texts(ids, lens, raw)[1], places)
                 uniq, docs = _documents_of(doc, h)
                 part, rows = uniq % deal, []
                 for p in np.unique(part).tolist():
@@ -189,7 +205,7 @@ def _repeated(group: int):
 
 # --- contexts ---------------------------------------------------------------------------
 
-def _block_contexts(texts, ids, answer: pa.Table):
+def _block_contexts(texts, ids, places: bytes, answer: pa.Table):
     """Distinct contexts of the repeated anchors of a block, and their occurrences.
 
     Returns (hash, hot, bytes matrix, left size, right size, smallest id) of contexts
@@ -200,7 +216,7 @@ def _block_contexts(texts, ids, answer: pa.Table):
     hot = np.concatenate(hots or [np.zeros(0, bool)])
     order = np.argsort(known)
     known, hot = known[order], hot[order]
-    doc, pos, h = _block_anchors(texts)
+    doc, pos, h = _block_anchors(texts, places)
     at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
     keep = known[at] == h if len(known) else np.zeros(len(h), bool)
     doc, pos, h, hot = doc[keep], pos[keep], h[keep], hot[at[keep]] if len(known) else np.zeros(0, bool)
@@ -229,9 +245,9 @@ def _contexts(deal: int):
     """Rows by part of the hash: contexts packed; negative parts: hot ones, for the window count."""
     def run(blocks: pa.Table, answer: pa.Table) -> pa.Table:
         out = []
-        for block, ids, lens, raw in zip(*(blocks[c].to_pylist() for c in ("block", "ids", "lens", "raw"))):
+        for block, ids, lens, raw, places in zip(*(blocks[c].to_pylist() for c in ("block", "ids", "lens", "raw", "places"))):
             ids, texts = _texts(ids, lens, raw)
-            (h, hot, mat, ls, rs, least), _ = _block_contexts(texts, ids, answer)
+            (h, hot, mat, ls, rs, least), _ = _block_contexts(texts, ids, places, answer)
             part = np.where(hot, -1 - h % deal, h % deal)
             for p in np.unique(part).tolist():
                 at = np.flatnonzero(part == p)
@@ -375,9 +391,9 @@ def _cover():
         out = []
         anchor_rows = answer.filter(pa.compute.is_valid(answer["h"]))
         reach = answer.filter(pa.compute.is_null(answer["h"]))
-        for ids, lens, raw in zip(*(blocks[c].to_pylist() for c in ("ids", "lens", "raw"))):
+        for ids, lens, raw, places in zip(*(blocks[c].to_pylist() for c in ("ids", "lens", "raw", "places"))):
             ids, texts = _texts(ids, lens, raw)
-            (_, _, _, ls, rs, least), (doc, pos, ctx) = _block_contexts(texts, ids, anchor_rows)
+            (_, _, _, ls, rs, least), (doc, pos, ctx) = _block_contexts(texts, ids, places, anchor_rows)
             l, r = np.zeros(len(ls), np.int64), np.zeros(len(ls), np.int64)
             for c, x, y in zip(*(reach[k].to_pylist() for k in ("ctx", "l", "r"))):
                 l[c], r[c] = np.maximum(l[c], x), np.maximum(r[c], y)
