@@ -60,7 +60,7 @@ def order_lines(order_products: DataFrame, orders: DataFrame, eval_set: str | No
     attributes.  The catalogue is keyed by product_id, so its left join never
     adds or drops a line; operators that need no names start here.
 
-    With ``lines_per_task``, orders of more lines are found by a sketch and dealt to
+    With ``lines_per_task``, orders of more lines are found by a count and dealt to
     several tasks before the shuffle; without, that is left to adaptive execution."""
     if eval_set is not None:
         orders = eval_split(orders, eval_set)

@@ -66,7 +66,7 @@ def candidates(signed: DataFrame, band_rows: int, bands: int, threshold: float,
     # a class is on the left in its own step and on the right also one step below
     sides = rows.withColumn("at", F.explode(F.array("step", F.col("step") - 1)))
     n = F.col("_n").cast("double")
-    sides = salted(sides, heavy_keys(sides, "key", "at"), F.ceil(n / F.lit(float(members_per_task))), ["key", "at"])
+    sides = salted(sides, heavy_keys(sides, "key", "at", least=members_per_task), F.ceil(n / F.lit(float(members_per_task))), ["key", "at"])
     sides = sides.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).repartition("key", "at", "salt")
     a = sides.where("step = at").where(F.col("salt") == F.pmod(F.xxhash64("product_id"), F.col("_salts"))).select("key", "at", "salt", F.col("product_id").alias("a"), F.col("size").alias("na"))
     b = sides.select("key", "at", "salt", F.col("product_id").alias("b"), F.col("size").alias("nb"), F.col("step").alias("sb"))

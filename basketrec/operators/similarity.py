@@ -7,9 +7,9 @@ Plan (one shuffle of pair-sized data, two of pre-aggregated lines):
    reference's counting) or 1 (``'set'``) — with a map-side partial
    aggregation; all that follows reads this one exchange;
 2. per product n = Σ m (line count; the squared norm) and Σ m², the diagonal;
-   the lines meet this product table in a join that adaptive execution
-   broadcasts or splits by its measured size;
-3. a sketch over the collapsed lines finds baskets of more than
+   this product table is broadcast to the lines within the size bound, by its
+   counted rows, else joined by a shuffle;
+3. a count over the collapsed lines finds baskets of more than
    ``pairs_per_task`` pairs (``plans.skew``); each is dealt to as many salts as
    its pairs need, every other basket to one.  A line goes to every salt of
    its basket, and to one of them as the left side of its pairs, so lines are
@@ -22,7 +22,7 @@ Plan (one shuffle of pair-sized data, two of pre-aggregated lines):
 5. the upper triangle is mirrored with one ``explode``; the diagonal comes
    from the product table.
 
-Nothing is fetched while the plan is built.
+While the plan is built, the products are counted; baskets are not looked at.
 
 Cosine is ``dot / (sqrt(n_l) * sqrt(n_r))`` — the Ochiai coefficient on 0/1
 baskets; in multiset mode a repeated product makes the self pair exceed 1,
@@ -77,7 +77,8 @@ def _dealt(lines: DataFrame, pairs_per_task: int) -> DataFrame:
     ceil(pairs / pairs_per_task) salts."""
     n = F.col("_n").cast("double")
     salts = F.ceil(n * (n - 1) / 2 / F.lit(float(max(pairs_per_task, 1))))
-    out = salted(lines, heavy_keys(lines, "order_id"), salts, ["order_id"])
+    least = (2.0 * max(pairs_per_task, 1)) ** 0.5  # fewer products cannot make more pairs
+    out = salted(lines, heavy_keys(lines, "order_id", least=least), salts, ["order_id"])
     out = out.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
     out = out.withColumn("_own", F.col("_salt") == F.pmod(F.xxhash64("product_id"), F.col("_salts")))
     return out.drop("_salts").repartition("order_id", "_salt")
@@ -85,7 +86,8 @@ def _dealt(lines: DataFrame, pairs_per_task: int) -> DataFrame:
 
 def _upper_pairs(lines: DataFrame, counts: DataFrame, pairs_per_task: int) -> DataFrame:
     """(l, r, n_l, n_r, dot) for l < r."""
-    dealt = _dealt(lines.join(counts.select("product_id", "n"), "product_id"), pairs_per_task)
+    few = broadcast_if_small(counts.select("product_id", "n"), rows=counts.count())
+    dealt = _dealt(lines.join(few, "product_id"), pairs_per_task)
 
     def side(df, p, m, n):
         return df.select("order_id", "_salt", F.col("product_id").alias(p), F.col("m").alias(m), F.col("n").alias(n))

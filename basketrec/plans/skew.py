@@ -1,10 +1,11 @@
-"""Hot keys: found by a sketch in one pass, then split before the first shuffle.
-
-``heavy_keys`` aggregates a frequent-items sketch of a key's hash.  It keeps a fixed number of
-candidates, is combined map-side and ends as one row of at most ``MOST`` keys; a key is found if
-it has more than about 1/75,000 of all rows.  Counts are estimates.  They decide only over how
-many salts a key is spread, never what a result is: a key that the sketch misses, or whose hash
-equals that of a hot one, takes the same path with another number of salts.
+"""Hot keys: found by a count of their hashes, then split before the first shuffle.
+
+``heavy_keys`` counts the rows of every key's hash, combined map-side, and keeps the ``MOST`` commonest
+beyond a bound, in one aggregation that nothing waits for while the plan is built.  (A sketch of
+fixed size was tried: at 540,000 lines it took longer than the exact count, and with 8,000 tracked keys it
+misses those below 1/6,000 of all rows.)  Counts decide only over how many salts a key is spread,
+never what a result is: a key whose hash equals that of a hot one takes the same path with another
+number of salts.
 """
 
 from __future__ import annotations
@@ -12,14 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TRACKED, MOST = 100_000, 1_000
+MOST = 100_000
 
 
-def heavy_keys(df: DataFrame, *key: str) -> DataFrame:
-    """(_hot, _n): hash and estimated rows of the commonest keys, ``MOST`` rows at most."""
-    hashed = df.select(F.xxhash64(*key).alias("_h"))
-    found = hashed.agg(F.expr(f"approx_top_k(_h, {MOST}, {TRACKED})").alias("_top"))
-    return found.select(F.inline("_top")).toDF("_hot", "_n")
+def heavy_keys(df: DataFrame, *key: str, least: float = 1) -> DataFrame:
+    """(_hot, _n): hash and rows of the commonest keys of more than ``least`` rows, ``MOST`` at most."""
+    counts = df.groupBy(F.xxhash64(*key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > F.lit(least)).orderBy(F.desc("_n"), "_hot").limit(MOST)
 
 
 def salted(df: DataFrame, hot: DataFrame, salts: Column, key: list[str]) -> DataFrame:
@@ -32,7 +32,7 @@ def salted(df: DataFrame, hot: DataFrame, salts: Column, key: list[str]) -> Data
 def join_split(big: DataFrame, small: DataFrame, key: str, rows_per_task: int, how: str = "inner") -> DataFrame:
     """``big`` joined to ``small`` on ``key``, where rows of ``big`` with a hot key (more than ``rows_per_task``
     rows) are dealt to several salts, and the rows of ``small`` with that key go to each."""
-    hot = heavy_keys(big, key)
+    hot = heavy_keys(big, key, least=rows_per_task)
     salts = F.ceil(F.col("_n") / F.lit(float(rows_per_task)))
     left = salted(big, hot, salts, [key])
     left = left.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.col("_salts")).cast("int")).drop("_salts")
