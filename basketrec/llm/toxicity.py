@@ -4,17 +4,19 @@ Kernel: strings are compared by their common subsequences of three letters that
 span at most ``SPAN`` letters, each occurrence weighted ``DECAY`` to the power of
 its span, and normalised.  Letters are folded first (case, accents, digits and
 signs that stand for letters; other signs vanish), so inserted characters only
-lengthen a span.  Single letters in a row ("a b c d") form one more unit.
+lengthen a span.  Pieces of one or two characters in a row ("a b c d", "ab cd e") form one
+more unit; words of longer pieces do not, so the kernel does not cross those spaces.
 
 The machine works in the span of Nyström landmarks: features are the kernels to
 the landmarks times the inverse root of the landmarks' kernel matrix.  As this
 kernel is an inner product of 27**3 subsequence weights, landmarks and machine
 fold into one vector of that size, and scoring a unit costs its subsequences only.
 
-Training sentences are bags of units.  A clean sentence has only clean units; of
-a toxic one, the witness is a unit of the smallest set that covers the toxic
-documents and is (nearly) absent from the clean ones.  Clean units that score
-too high join the training set in rounds.  A document scores as its highest unit
+Training sentences are bags of units.  A clean sentence has only clean units.  Positive
+are all units that so many toxic and so few clean documents hold that chance does
+not explain it, over all units tried, weighted by their toxic documents (near copies are one), but for units much like a clean one in as many documents; where toxic documents
+are too few for that, the units of a smallest set that covers them and is (nearly)
+absent from the clean ones.  Clean units that score too high join the training set in rounds.  A document scores as its highest unit
 in a calibrated logistic curve.
 
 Null or empty texts, and texts without three letters in a unit, get the score of
@@ -46,10 +48,19 @@ MAX_DOCS = 4000
 MAX_CANDIDATES = 4000
 MAX_CLEAN_UNITS = 40000
 LANDMARKS = 200
+#: Probability that any unit of a training table without toxic units is taken for one.
+CHANCE = 0.01
+#: Kernel of a positive and a clean unit from which the machine can't tell them apart.
+ALIKE = 0.6
+#: Minima of hashed units by which toxic documents of the sample are told to be near copies.
+MINIMA = 16
+#: Scored units that a worker remembers, of one model only.
+MAX_MEMO = 150_000
 #: Digits and signs read as letters.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 FLOOR = -1.5  # below any unit's score
 _SPELLED = re.compile(r"(?<!\S)(?:\S\s+){3,}\S(?!\S)")
+_PAIRS = re.compile(r"(?<!\S)(?:\S{1,2}\s+){2,}\S{1,2}(?!\S)")
 _OFFSETS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
 
 
@@ -69,12 +80,13 @@ _FOLD = _Fold({10: "\n"})
 
 
 def units(text: str | None) -> set[str]:
-    """Distinct white-space words, and spelled-out runs of single characters."""
+    """Distinct white-space words, and runs of pieces of one or two characters, joined."""
     if not text:
         return set()
     text = text.lower()
     out = set(text.split())
-    out.update("".join(m.split()) for m in _SPELLED.findall(text))
+    for pattern in (_SPELLED, _PAIRS):
+        out.update("".join(m.split()) for m in pattern.findall(text))
     return out
 
 
@@ -136,6 +148,8 @@ class Model:
         return out
 
     def raw_scores(self, texts) -> np.ndarray:
+        if self.key not in _MEMO:
+            _MEMO.clear()  # words of an earlier model in this worker
         known = _MEMO.setdefault(self.key, {})
         bags = [units(t) for t in texts]
         new = list(set().union(*bags).difference(known)) if bags else []
@@ -143,7 +157,7 @@ class Model:
             part = new[at:at + 20000]
             known.update(zip(part, self.unit_scores(part).tolist()))
         out = np.array([max(map(known.__getitem__, b), default=FLOOR) for b in bags], float)
-        if len(known) > 300_000:
+        if len(known) > MAX_MEMO:
             known.clear()
         return np.maximum(out, FLOOR)
 
@@ -242,6 +256,46 @@ def _cover(pairs: pd.DataFrame) -> dict[str, int]:
     return out
 
 
+def _unlikely(tox: np.ndarray, clean: np.ndarray, share: np.ndarray, tried: int) -> np.ndarray:
+    """Which units have more toxic documents than ``CHANCE`` allows among ``tried`` units, if each of a unit's
+    documents is toxic with probability ``share`` (binomial tail)."""
+    out = np.zeros(len(tox), bool)
+    for i, (t, c, p) in enumerate(zip(tox.tolist(), clean.tolist(), np.clip(share, 1e-6, 1 - 1e-6).tolist())):
+        term = np.cumsum(np.r_[0.0, np.log((t + c - np.arange(c)) / (np.arange(c) + 1.0))])  # log of n over j, j clean ones
+        j = np.arange(c + 1)
+        tail = np.logaddexp.reduce(term + (t + c - j) * np.log(p) + j * np.log1p(-p))
+        out[i] = tail + np.log(max(tried, 1)) <= np.log(CHANCE)
+    return out
+
+
+def _toxic_share(sizes: pd.DataFrame, typical: np.ndarray) -> np.ndarray:
+    """For units whose documents typically have that many units: the toxic share of all units in documents
+    of at least half that size, since a rare word stands in long documents only, and those may
+    be toxic more often than others."""
+    s = sizes.sort_values("units")
+    n, toxic = s["units"].to_numpy(float), (s["units"] * s["toxic"]).to_numpy(float)
+    at = np.minimum(np.searchsorted(n, typical / 2), max(len(n) - 1, 0))
+    return np.cumsum(toxic[::-1])[::-1][at] / np.cumsum(n[::-1])[::-1][at]
+
+
+def _apart(positive: list[str], support: dict[str, int], clean: dict[str, int]) -> list[str]:
+    """Positive units without a clean unit ``ALIKE`` in as many documents: such a word would always be taken for them."""
+    near = _kernel(list(clean), _dense(positive))
+    as_many = np.array(list(clean.values()))[:, None] >= np.array([support[u] for u in positive])
+    return [u for u, lost in zip(positive, ((near >= ALIKE) & as_many).any(axis=0)) if not lost]
+
+
+def _copies(marks: np.ndarray) -> np.ndarray:
+    """Groups of documents that agree in half of their unit minima or more, by their smallest row."""
+    root = np.arange(len(marks))
+    for i in range(len(marks)):
+        near = np.flatnonzero((marks[:i] == marks[i]).sum(axis=1) * 2 >= marks.shape[1])
+        if len(near):
+            joined = np.isin(root, root[near])
+            root[joined] = root[i] = root[near].min()
+    return root
+
+
 def train(docs: DataFrame, labels: DataFrame, seed: int = 6, max_docs: int = MAX_DOCS) -> Model:
     """Fit on documents with a label, outside the held-out fold; at most ``max_docs``
     of each label, drawn by a hash of the id."""
@@ -264,15 +318,30 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 6, max_docs: int = MAX
     stats = materialise(by_doc.groupBy("unit").agg(F.sum("toxic").alias("tox"), F.sum(1 - F.col("toxic")).alias("clean")), "tox-stats")
     cand = (stats.filter("tox > 0 and clean * 25 <= tox").orderBy(F.desc("tox"), "unit").limit(MAX_CANDIDATES))
     pairs = by_doc.filter("toxic = 1").join(F.broadcast(cand.select("unit")), "unit").select("unit", F.col("id").alias("doc")).toPandas()
-    clean = [r["unit"] for r in stats.filter("clean > 0 and tox < 2 * clean").select("unit")
-             .orderBy(F.xxhash64(F.lit(seed), "unit"), "unit").limit(MAX_CLEAN_UNITS).collect()]
-    cover = _cover(pairs)
-    enough = 2 if sum(n for n in cover.values() if n > 1) >= 0.3 * max(1, pairs["doc"].nunique()) else 1
-    positive = [u for u, n in cover.items() if n >= enough]
+    # near copies are one piece of evidence
+    marks = by_doc.filter("toxic = 1").groupBy("id").agg(*[F.min(F.xxhash64(F.lit(i), "unit")).alias(f"h{i}") for i in range(MINIMA)]).toPandas()
+    group = dict(zip(marks["id"], _copies(marks.drop(columns="id").to_numpy())))
+    apart = pairs.assign(group=pairs["doc"].map(group)).groupby("unit")["group"].nunique()
+    likely = cand.toPandas()
+    likely["tox"] = likely["unit"].map(apart)
+    sizes = by_doc.groupBy("id", "toxic").agg(F.count("*").alias("units")).toPandas()
+    typical = pairs.assign(units=pairs["doc"].map(dict(zip(sizes["id"], sizes["units"])))).groupby("unit")["units"].median()
+    share = _toxic_share(sizes, likely["unit"].map(typical).to_numpy(float)) if len(likely) else np.zeros(0)
+    likely = likely[_unlikely(likely["tox"].to_numpy(), likely["clean"].to_numpy(), share, stats.count())]
+    clean = {r["unit"]: r["clean"] for r in stats.filter("clean > 0 and tox < 2 * clean").select("unit", "clean")
+             .orderBy(F.xxhash64(F.lit(seed), "unit"), "unit").limit(MAX_CLEAN_UNITS).collect()}
+    cover = dict(zip(likely["unit"], likely["tox"].tolist()))
+    if not cover:  # too few toxic documents for any unit to stand out
+        cover = _cover(pairs)
+        enough = 2 if sum(n for n in cover.values() if n > 1) >= 0.3 * max(1, pairs["doc"].nunique()) else 1
+        cover = {u: n for u, n in cover.items() if n >= enough}
+    positive = sorted(cover, key=lambda u: (-cover[u], u))
+    if positive and clean:
+        positive = _apart(positive, cover, clean) or positive
     if not positive or not clean:
         share = count[1] / (count[0] + count[1])
         return Model(np.zeros(LETTERS ** 3), 0.0, 0.0, float(np.log(share / (1 - share))))
-    weights, bias = _fit(positive, [cover[u] for u in positive], clean, seed)
+    weights, bias = _fit(positive, [cover[u] for u in positive], list(clean), seed)
     rough = Model(weights, bias, 1.0, 0.0)
 
     def raw(texts: pd.Series) -> pd.Series:
