@@ -8,17 +8,20 @@ sample queries find TARGET of their true neighbours.
 
 All vectors are then assigned to their most probable part, all queries go to their
 most probable parts, and candidates are reranked by exact distance in double precision.
-Parts of more than CHUNK vectors are cut into chunks, each a task of its own, and each
-passes on its ten nearest per query only.
+A query visits further parts, in the order of their probability, until those visited hold k
+candidates besides its own rows.  Parts of more than CHUNK vectors are cut into chunks and
+their queries into blocks of about BLOCK, each pair a task of its own, and each passes on its
+ten nearest per query only.  The number of parts grows with the root of the table.
 
 Vectors that are null, zero, or hold null or non-finite components, or whose length is
 not the most frequent one, take no part.  Rows with a query's id are its own and no
-candidates; rows without an id take no part; repeated rows of a candidate are separate
-candidates.  Fewer candidates than k give all of them; extra columns are not read.
+candidates; a repeated query id asks with the smallest of its vectors; rows without an id take
+no part; repeated rows of a candidate are separate candidates.  Fewer candidates than k give all of them; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,10 +35,10 @@ from basketrec.llm.vectors import matrix, valid
 K = 10
 #: Bound of the sample, and the settings of graph, classifier and search.
 MAX_SAMPLE = 6000
-PARTS, NEIGHBOURS, BALANCE = 32, 10, 1.1
+PARTS, MAX_PARTS, NEIGHBOURS, BALANCE = 32, 256, 10, 1.1
 HIDDEN, EPOCHS, BATCH, RATE = 128, 12, 128, 0.003
 TARGET = 0.96
-CHUNK = 4096
+CHUNK, BLOCK = 4096, 2048
 
 
 def knn(x: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
@@ -119,10 +122,10 @@ def train_router(x: np.ndarray, graph: np.ndarray, part: np.ndarray, parts: int,
     return Router(*p, scale, parts)
 
 
-def fit(x: np.ndarray, seed: int = 9) -> Router:
+def fit(x: np.ndarray, seed: int = 9, parts: int = PARTS) -> Router:
     """Router of a sample; a tenth of it only measures the visits needed."""
     rng = np.random.default_rng(seed)
-    parts = max(1, min(PARTS, len(x) // 8))
+    parts = max(1, min(parts, len(x) // 8))
     held = np.zeros(len(x), bool)
     held[rng.permutation(len(x))[:len(x) // 10]] = True
     own = x[~held] if held.any() else x
@@ -139,12 +142,28 @@ def fit(x: np.ndarray, seed: int = 9) -> Router:
     return router
 
 
-def _route(router, count):
+def _home(router):
+    """Rows with their most probable part."""
     def run(batches):
         for rb in batches:
-            x = matrix(rb.column(1))
-            top = np.argsort(-router.logits(x), axis=1, kind="stable")[:, :count] if len(x) else np.zeros((0, count), int)
-            yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(top.tolist(), pa.list_(pa.int32()))], names=["vec_id", "v", "parts"])
+            if rb.num_rows:
+                part = router.logits(matrix(rb.column(1))).argmax(axis=1)
+                yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(part, pa.int32())], names=["vec_id", "v", "part"])
+
+    return run
+
+
+def _route(router, sizes: np.ndarray, k: int):
+    """Queries with the parts they visit: the first ones, and more until they hold ``k`` rows
+    besides those of the query's own id (``own``)."""
+    def run(batches):
+        for rb in batches:
+            if rb.num_rows:
+                order = np.argsort(-router.logits(matrix(rb.column(1))), axis=1, kind="stable")
+                short = np.cumsum(sizes[order], axis=1) < (k + rb.column(2).to_numpy())[:, None]
+                count = np.minimum(np.maximum(short.sum(axis=1) + 1, router.visits), order.shape[1])
+                parts = [row[:n] for row, n in zip(order.tolist(), count.tolist())]
+                yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(parts, pa.list_(pa.int32()))], names=["vec_id", "v", "parts"])
 
     return run
 
@@ -183,17 +202,24 @@ def search(vectors: DataFrame, is_query, k: int = K, seed: int = 9) -> DataFrame
     x = matrix(sample["v"])
     if len(x) < 2:
         return vectors.sparkSession.createDataFrame([], empty)
-    router = fit(x, seed)
-    schema = "vec_id long, v array<double>, parts array<int>"
-    index = materialise(rows.mapInArrow(_route(router, 1), schema).select("vec_id", "v", F.col("parts")[0].alias("part")), "ann-index")
-    asked = rows.filter(is_query).dropDuplicates(["vec_id"]).mapInArrow(_route(router, router.visits), schema)
-    # one row per part, and there are at most PARTS
-    chunks = index.groupBy("part").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    chunks = F.broadcast(materialise(chunks, "ann-parts"))
-    left = index.join(chunks, "part").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"))
-    right = asked.select("vec_id", "v", F.explode("parts").alias("part")).join(chunks, "part").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    near = (left.select("part", "chunk", "vec_id", "v").groupBy("part", "chunk")
-            .cogroup(right.select("part", "chunk", "vec_id", "v").groupBy("part", "chunk")).applyInArrow(_nearest(k), "query_id long, vec_id long, score double"))
+    router = fit(x, seed, min(MAX_PARTS, max(PARTS, math.isqrt(rows.count()) // 4)))
+    index = materialise(rows.mapInArrow(_home(router), "vec_id long, v array<double>, part int"), "ann-index")
+    # one row per part, and there are at most MAX_PARTS
+    held = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}
+    sizes = np.array([held.get(p, 0) for p in range(len(router.b2))])
+    asked = rows.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"), F.count("*").alias("own"))
+    asked = materialise(asked.mapInArrow(_route(router, sizes, k), "vec_id long, v array<double>, parts array<int>"), "ann-queries")
+    asked = asked.select("vec_id", "v", F.explode("parts").alias("part"))
+    met = {r["part"]: r["count"] for r in asked.groupBy("part").count().collect()}
+    cuts = [(p, -(-held[p] // CHUNK), -(-met.get(p, 1) // BLOCK)) for p in held]
+    cuts = F.broadcast(vectors.sparkSession.createDataFrame(cuts, "part int, chunks int, blocks int"))
+    place = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = index.join(cuts, "part").withColumn("chunk", place("chunks")).withColumn("block", each("blocks"))
+    right = asked.join(cuts, "part").withColumn("block", place("blocks")).withColumn("chunk", each("chunks"))
+    keys = ["part", "chunk", "block"]
+    near = (left.select(*keys, "vec_id", "v").groupBy(*keys)
+            .cogroup(right.select(*keys, "vec_id", "v").groupBy(*keys)).applyInArrow(_nearest(k), "query_id long, vec_id long, score double"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
