@@ -14,12 +14,18 @@ from basketrec.llm import jaccard_join, mixing, pii, sentencepiece_codec, toxici
 from basketrec.llm.common import importable, materialise, table
 from basketrec.llm.queries import piece_model
 
+#: Characters of one block of texts in the last stage, whose workers come after four other stages.
+BLOCK_CHARS = 12_000_000
+
 #: The toxicity model is trained and not expressible in SQL.
 ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below 0.5 stay; trained on the labelled ones among them."""
+    """Documents scored below 0.5 stay; trained on the labelled ones among them.
+
+    Null and empty texts score lowest and stay; copies, whatever their ids, go or stay together;
+    without labels of both kinds the score is the share of toxic labels."""
     importable(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return docs.filter(model.score(F.col("text")) < 0.5)
@@ -41,22 +47,29 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays, with its spans replaced by their kind."""
+    """Every document stays, with its spans replaced by their kind.
+
+    Null texts stay null, texts without spans as they are; rows with null or repeated ids are
+    redacted like any others; an empty table trains nothing and stays empty."""
     importable(spark)
     model = pii.train(materialise(pii.findings(docs, "doc_id"), "pii-found"))
     return pii.redact(docs, model)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    Null, empty and blank texts have size 0 and come as often as the complete epochs of their
+    source and its threshold say; a source without words is not taken; rows of equal id, source
+    and size are taken alike."""
     importable(spark)
     return mixing.mixed_documents(docs)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document of the mix."""
+    """Token ids of every document of the mix, one row a row; null texts are empty ones."""
     importable(spark)
-    return sentencepiece_codec.encode_decode(docs, piece_model()).select(
+    return sentencepiece_codec.encode_decode(docs, piece_model(), BLOCK_CHARS).select(
         "doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
