@@ -161,7 +161,7 @@ def set_id(s: np.ndarray) -> int:
 
 
 BIT = [f"m{i}" for i in range(LONGS)]
-SKETCH_SCHEMA = "doc_id long, sid long, n int, prefix array<long>, " + ", ".join(f"{m} long" for m in BIT) + ", sig binary"
+SKETCH_SCHEMA = "doc_id long, sid long, n int, prefix array<long>, reach long, " + ", ".join(f"{m} long" for m in BIT) + ", sig binary"
 
 
 def _hot(width):
@@ -178,6 +178,11 @@ def _hot(width):
     return run
 
 
+def _place(shingle: np.uint64, late: bool) -> int:
+    """A shingle's place in the common order as a signed number; it loses the last bit."""
+    return (int(late) << 63 | int(shingle) >> 1) - (1 << 63)
+
+
 def _sketch(width, num, den, frequent):
     def run(batches):
         late_ones = np.sort(np.array(frequent.value, np.int64).view(np.uint64))
@@ -186,19 +191,20 @@ def _sketch(width, num, den, frequent):
             for s in shingle_sets(rb.column(1).to_pylist(), width):
                 sid = set_id(s) if len(s) else None
                 if sid in seen:  # a copy: its first shingles are there already
-                    rows.append((sid, len(s), [], bitmap(s), None))
+                    rows.append((sid, len(s), [], None, bitmap(s), None))
                     continue
                 seen.add(sid)
                 late = late_ones[np.minimum(np.searchsorted(late_ones, s), len(late_ones) - 1)] == s if len(late_ones) else np.zeros(len(s), bool)
                 least = -(-num * len(s) // den)
                 take = len(s) - least + min(SHARED, least)
                 prefix = np.concatenate([s[~late], s[late]])[:take]
-                rows.append((sid, len(s), prefix.view(np.int64), bitmap(s), signature(s)))
-            sid, n, prefix, bits, sig = zip(*rows) if rows else ((),) * 5
+                reach = _place(prefix[-1], take > len(s) - late.sum()) if take else None
+                rows.append((sid, len(s), prefix.view(np.int64), reach, bitmap(s), signature(s)))
+            sid, n, prefix, reach, bits, sig = zip(*rows) if rows else ((),) * 6
             bits = np.array(bits, np.int64).reshape(-1, LONGS)
-            cols = [rb.column(0), pa.array(sid, pa.int64()), pa.array(n, pa.int32()), pa.array(prefix, pa.list_(pa.int64()))]
+            cols = [rb.column(0), pa.array(sid, pa.int64()), pa.array(n, pa.int32()), pa.array(prefix, pa.list_(pa.int64())), pa.array(reach, pa.int64())]
             cols += [pa.array(bits[:, k]) for k in range(LONGS)] + [pa.array(sig, pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "sid", "n", "prefix", *BIT, "sig"])
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "sid", "n", "prefix", "reach", *BIT, "sig"])
 
     return run
 
@@ -279,25 +285,40 @@ def _links(pairs: DataFrame, sets: DataFrame, num, den, name: str) -> DataFrame:
 
 def _across(tiles: DataFrame, comp: DataFrame, nodes: DataFrame, num, den) -> DataFrame:
     """Pairs (a, b) of nodes, and their sizes, of different components that share a tile: a
-    first shingle and a size band, or two bands next to each other.  Tiles hold the short
+    first shingle within a size band, or two bands next to each other.  Tiles hold the short
     bitmaps, so a pair that they rule out is never a row.
 
     All shingles that two sets share up to the end of the shorter reach of their first
-    shingles are counted (k), and beyond it one set has no more than its remaining ones: k
-    and the remaining ones of the larger set must make the overlap that a link needs."""
+    shingles are counted (k), and beyond it the set that ends there has no more than its
+    remaining ones: k and those must make the overlap that a link needs.  A node with fewer
+    open tiles of the pair's band cannot have such a k, so its pair is never a row either."""
     own = tiles.join(comp, tiles.sid == comp.node, "left").withColumn("c", F.coalesce("root", "sid")).select("h", "sid", "n", "c")
-    mixed = own.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("h")
-    left = own.join(mixed, "h").join(nodes.select("sid", *BIT), "sid").withColumn("band", band(F.col("n")))
-    left = materialise(left, "ngram-open")
-    x = left.select("h", F.explode(F.array("band", F.col("band") - 1)).alias("tile"), "sid", "n", "c", *BIT).alias("x")
-    y = left.select("h", F.col("band").alias("tile"), "sid", "n", "c", *BIT).alias("y")
+    placed = own.withColumn("tile", F.explode(F.array(band(F.col("n")), band(F.col("n")) - 1))).withColumn("low", F.col("tile") == band(F.col("n")))
+    # shingles whose tiles have the same members are one tile, with their number as its weight:
+    # near copies share hundreds of shingles, but few different tiles
+    w = Window.partitionBy("h", "tile")
+    members = {f"s{i}": F.bit_xor(F.xxhash64(F.lit(i), "sid")) for i in (1, 2)}
+    for out, found in ({"lo": F.min("c"), "hi": F.max("c"), "lower": F.max("low")} | members).items():
+        placed = placed.withColumn(out, found.over(w))
+    key = ["tile", "s1", "s2"]
+    placed = placed.filter("lo <> hi and lower").groupBy(*key, "sid", "n", "c", "low").agg(F.count("*").alias("weight"))
+    placed = materialise(placed, "ngram-mixed")
+    most = placed.groupBy("sid", "tile").agg(F.sum("weight").alias("most"))
+    known = most.join(nodes.select("sid", "reach", *BIT), "sid")
+    left = materialise(placed.join(known, ["sid", "tile"]), "ngram-open")
+    rest = [*key, "sid", "n", "c", "weight", "reach", "most", *BIT]
+    x, y = left.select(*rest).alias("x"), left.filter("low").select(*rest).alias("y")
     # x is the larger set (ties by id): of the same band, or of the band above
-    larger = F.expr(f"x.h = y.h and x.tile = y.tile and x.c <> y.c and {den} * y.n >= {num} * x.n and (x.n > y.n or (x.n = y.n and x.sid > y.sid))")
-    needed = f"({num} * (an + bn) + {num + den - 1}) div {num + den}"
-    remaining = f"greatest(0, ({num} * an + {den - 1}) div {den} - {SHARED})"
-    return (x.join(y, larger & _reachable(num, den))
-            .groupBy(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).agg(F.count("*").alias("k"), F.min("x.n").alias("an"), F.min("y.n").alias("bn"))
-            .filter(f"k >= {needed} - {remaining}").select("a", "b", "an", "bn"))
+    larger = F.expr(f"x.tile = y.tile and x.s1 = y.s1 and x.s2 = y.s2 and x.c <> y.c and {den} * y.n >= {num} * x.n and (x.n > y.n or (x.n = y.n and x.sid > y.sid))")
+    needed = f"({num} * (x.n + y.n) + {num + den - 1}) div {num + den}"
+    beyond = lambda t: f"(({num} * {t}.n + {den - 1}) div {den} - least({SHARED}, ({num} * {t}.n + {den - 1}) div {den}))"
+    # where the places are equal, which lost a bit, either set may end first
+    remaining = f"case when x.reach < y.reach then {beyond('x')} when y.reach < x.reach then {beyond('y')} else greatest({beyond('x')}, {beyond('y')}) end"
+    least = F.expr(f"{needed} - {remaining}")
+    rows = x.join(y, larger & _reachable(num, den) & (F.least("x.most", "y.most") >= least))
+    return (rows.groupBy(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
+            .agg(F.sum("x.weight").alias("k"), F.min("x.n").alias("an"), F.min("y.n").alias("bn"), F.min(least).alias("least"))
+            .filter("k >= least").select("a", "b", "an", "bn"))
 
 
 def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -313,7 +334,7 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = D
         [r["h"] for r in hot.groupBy("h").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= often).select("h").collect()])
     sketch = materialise(base.mapInArrow(_sketch(width, num, den, frequent), SKETCH_SCHEMA), "ngram-sketch")
     filled = sketch.filter("sid is not null")
-    nodes = materialise(filled.groupBy("sid").agg(F.max("n").alias("n"), *[F.max(m).alias(m) for m in BIT],
+    nodes = materialise(filled.groupBy("sid").agg(F.max("n").alias("n"), F.max("reach").alias("reach"), *[F.max(m).alias(m) for m in BIT],
                                                 F.max("sig").alias("sig")), "ngram-nodes")
 
     postings = filled.select(F.explode("prefix").alias("h"), "sid", "n")
@@ -328,22 +349,21 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = D
              .filter(f"sid <> hub and {den} * least(hub_n, n) >= {num} * greatest(hub_n, n)").groupBy("sid", "hub").agg(F.count("*").alias("k"))
              .groupBy("sid").agg(F.max_by("hub", F.struct("k", "hub")).alias("a")).select("a", F.col("sid").alias("b")))
     stars = _open(stars, nodes, num, den, "ngram-stars")
-    # sets are needed of the nodes of these pairs, and of those across the components that
-    # they would make; should some pairs not link, the pairs to add are among the same nodes
-    comp = materialise(connected_components(stars), "ngram-comp")
+
+    def sets_of(pairs: DataFrame, name: str) -> DataFrame:
+        """Sets of the nodes of ``pairs``, made from one text of each."""
+        ends = [pairs.select(F.col(c).alias("sid")) for c in ("a", "b")]
+        source = (filled.select("sid", F.coalesce("doc_id", F.lit(NO_ID)).alias("key")).join(ends[0].union(ends[1]).distinct(), "sid", "left_semi")
+                  .groupBy("sid").agg(F.min("key").alias("key")))
+        source = materialise(source.select("key").distinct(), f"{name}-source")
+        texts = base.withColumn("key", F.coalesce("doc_id", F.lit(NO_ID))).join(source, "key", "left_semi").select("raw")
+        return materialise(texts.mapInArrow(_sets(width), "sid long, s binary").dropDuplicates(["sid"]), f"{name}-sets")
+
+    links = _links(stars, sets_of(stars, "ngram-star"), num, den, "ngram-star-links")
+    # only verified links make components, so that pairs across them are sought once
+    comp = materialise(connected_components(links), "ngram-comp")
     rest = _open_long(_across(tiles, comp, nodes, num, den), nodes, num, den, "ngram-rest")
-    ends = [x.select(F.col(c).alias("sid")) for x in (stars, rest) for c in ("a", "b")]
-    needed = ends[0].union(ends[1]).union(ends[2]).union(ends[3]).distinct()
-    source = (filled.select("sid", F.coalesce("doc_id", F.lit(NO_ID)).alias("key")).join(needed, "sid", "left_semi")
-              .groupBy("sid").agg(F.min("key").alias("key")))
-    source = materialise(source.select("key").distinct(), "ngram-source")
-    texts = base.withColumn("key", F.coalesce("doc_id", F.lit(NO_ID))).join(source, "key", "left_semi").select("raw")
-    sets = materialise(texts.mapInArrow(_sets(width), "sid long, s binary").dropDuplicates(["sid"]), "ngram-sets")
-
-    links = _links(stars, sets, num, den, "ngram-star-links")
-    if links.count() < stars.count():
-        comp = materialise(connected_components(links), "ngram-comp")
-        rest = _open_long(_across(tiles, comp, nodes, num, den), nodes, num, den, "ngram-rest")
+    sets = sets_of(rest, "ngram-rest")
     # one pair of each node first; of the others only those still across components
     one = materialise(rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "ngram-one")
     links = links.union(_links(one, sets, num, den, "ngram-one-links"))
