@@ -12,11 +12,19 @@ Two sets of Jaccard similarity s share a band of r minima with probability s **
 A pair of similarity s has sizes within a factor of s, so a band key is joined within size
 steps: a class meets those of its own step and of the next.  A key's commonest size step can
 still be shared by many classes; its members are salted over several tasks before the join.
+
+Bands of one row need no row a band: their key is the order that has the least hash of a class, so
+two classes share a band if they share an order that is least in the same band.  A class then has
+one row an order, with a list of its bands, however many bands there are.
+
+Shared orders are counted by a join of the lines with themselves on the order.  Orders of more than
+``CROWD`` classes would make too many pairs: their bands stay keys, and candidates look them up.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +35,8 @@ from basketrec.plans.staging import Staging
 
 #: Members of one band key and size step that one task pairs.
 MEMBERS_PER_TASK = 4096
+#: Classes of an order whose pairs are formed at once.
+CROWD = 64
 
 
 def bands_for(threshold: float, band_rows: int, recall: float) -> int:
@@ -50,9 +60,13 @@ def classes(sets: DataFrame) -> DataFrame:
     return prints.join(names, ["size", "h1", "h2"]).select("product_id", "class", "size")
 
 
+def _hash(seed: int, i: int):
+    return F.xxhash64(F.lit(seed * 1_000_003 + i), "order_id")
+
+
 def signatures(sets: DataFrame, hashes: int, seed: int) -> DataFrame:
     """(product_id, size, mins): ``hashes`` minima of seeded order hashes."""
-    mins = [F.min(F.xxhash64(F.lit(seed * 1_000_003 + i), "order_id")).alias(f"h{i}") for i in range(hashes)]
+    mins = [F.min(_hash(seed, i)).alias(f"h{i}") for i in range(hashes)]
     made = sets.groupBy("product_id").agg(F.count(F.lit(1)).alias("size"), *mins)
     return made.select("product_id", "size", F.array(*[f"h{i}" for i in range(hashes)]).alias("mins"))
 
@@ -61,8 +75,13 @@ def candidates(signed: DataFrame, band_rows: int, bands: int, threshold: float,
     """(product_id_left, product_id_right, sizes), left < right, of products that share a band and whose sizes
     allow the threshold."""
     keys = [F.xxhash64(F.lit(b), *[F.col("mins")[b * band_rows + i] for i in range(band_rows)]) for b in range(bands)]
+    return _sharing(signed.select("product_id", "size", F.explode(F.array(*keys)).alias("key")), threshold, members_per_task)
+
+
+def _sharing(keyed: DataFrame, threshold: float, members_per_task: int) -> DataFrame:
+    """Candidates among the rows (product_id, size, key) with one key."""
     step = F.floor(F.log(F.col("size").cast("double")) / F.lit(-math.log(threshold) if threshold < 1 else 1.0)).cast("int")
-    rows = signed.select("product_id", "size", step.alias("step"), F.explode(F.array(*keys)).alias("key"))
+    rows = keyed.withColumn("step", step)
     # a class is on the left in its own step and on the right also one step below
     sides = rows.withColumn("at", F.explode(F.array("step", F.col("step") - 1)))
     n = F.col("_n").cast("double")
@@ -76,18 +95,55 @@ def candidates(signed: DataFrame, band_rows: int, bands: int, threshold: float,
     return ordered.distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
-    """``pairs`` with their number of shared orders and Jaccard similarity, at or above the threshold."""
-    left = sizes.select(F.col("product_id").alias(L), F.col("size").alias("size_left"))
-    right = sizes.select(F.col("product_id").alias(R), F.col("size").alias("size_right"))
-    sized = pairs.join(left, L).join(right, R)
-    # the orders of the smaller set look up those of the larger
-    small = F.when(F.col("size_left") <= F.col("size_right"), F.col(L)).otherwise(F.col(R))
-    sized = sized.withColumn("product_id", small).withColumn("_other", F.when(small == F.col(L), F.col(R)).otherwise(F.col(L)))
-    met = sized.join(sets, "product_id").select(L, R, "size_left", "size_right", F.col("_other").alias("product_id"), "order_id")
-    shared = met.join(sets, ["product_id", "order_id"]).groupBy(L, R, "size_left", "size_right").agg(F.count(F.lit(1)).alias("shared"))
+def least_orders(sets: DataFrame, signed: DataFrame, bands: int, seed: int) -> DataFrame:
+    """(product_id, order_id, size, bands): the orders that have the least hash of their product in some band
+    of one row, with those bands.  ``signed`` has the products' signatures, one hash a band."""
+    base = F.lit(seed * 1_000_003)
+    least = F.filter(F.sequence(base, base + F.lit(bands - 1)), lambda s: F.xxhash64(s, "order_id") == F.get("mins", (s - base).cast("int")))
+    made = sets.select("product_id", "order_id").join(signed, "product_id").select("product_id", "order_id", "size", least.alias("bands"))
+    return made.where(F.size("bands") > 0)
+
+
+def candidates_by_order(least: DataFrame, crowded: DataFrame, threshold: float, members_per_task: int = MEMBERS_PER_TASK) -> DataFrame:
+    """The candidates of bands of one row, from ``least_orders``; ``crowded`` (_hot): hashes of orders whose
+    bands are keys, so that an order in many sets is joined band by band."""
+    hot, key = F.broadcast(crowded), F.xxhash64("order_id") == F.col("_hot")
+    few = least.join(hot, key, "left_anti")
+    a = few.select("order_id", F.col("product_id").alias(L), F.col("size").alias("na"), F.col("bands").alias("bands_left"))
+    b = few.select("order_id", F.col("product_id").alias(R), F.col("size").alias("nb"), F.col("bands").alias("bands_right"))
+    pairs = a.join(b, "order_id").where((F.col(L) < F.col(R)) & (F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb")))
+    pairs = pairs.where(F.arrays_overlap("bands_left", "bands_right"))
+    many = least.join(hot, key, "left_semi").withColumn("band", F.explode("bands"))
+    keyed = many.select("product_id", "size", F.xxhash64("band", "order_id").alias("key"))
+    return pairs.select(L, R).unionByName(_sharing(keyed, threshold, members_per_task)).distinct()
+
+
+def _together(sets: DataFrame) -> DataFrame:
+    """(left, right, sizes, shared) of the products that share an order of ``sets`` (product_id, order_id, size)."""
+    side = lambda p, n: sets.select("order_id", F.col("product_id").alias(p), F.col("size").alias(n))
+    pairs = side(L, "size_left").join(side(R, "size_right"), "order_id").where(F.col(L) < F.col(R))
+    return pairs.groupBy(L, R, "size_left", "size_right").agg(F.count(F.lit(1)).alias("shared"))
+
+
+def _looked_up(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The same of ``pairs``, through the orders of each left product."""
+    left = sets.select(F.col("product_id").alias(L), "order_id", F.col("size").alias("size_left"))
+    right = sets.select(F.col("product_id").alias(R), "order_id", F.col("size").alias("size_right"))
+    met = pairs.join(left, L).join(right, [R, "order_id"])
+    return met.groupBy(L, R, "size_left", "size_right").agg(F.count(F.lit(1)).alias("shared"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, crowded: DataFrame, threshold: float) -> DataFrame:
+    """``pairs`` with their number of shared orders and Jaccard similarity, at or above the threshold.  ``sets``:
+    (product_id, order_id, size); ``crowded`` (_hot): hashes of orders to look up by pair."""
     jaccard = F.col("shared") / (F.col("size_left") + F.col("size_right") - F.col("shared"))
-    return shared.select(L, R, "shared", jaccard.alias("jaccard")).where(F.col("jaccard") >= F.lit(threshold))
+    hot, key = F.broadcast(crowded), F.xxhash64("order_id") == F.col("_hot")
+    shared = _together(sets.join(hot, key, "left_anti"))
+    if not crowded.isEmpty():
+        both = shared.unionByName(_looked_up(pairs, sets.join(hot, key, "left_semi")))
+        shared = both.groupBy(L, R, "size_left", "size_right").agg(F.sum("shared").alias("shared"))
+    found = shared.select(L, R, "shared", jaccard.alias("jaccard")).where(F.col("jaccard") >= F.lit(threshold))
+    return found.join(pairs, [L, R], "left_semi")
 
 
 def shared_order_links(facts: DataFrame, threshold: float = 0.5, recall: float = 0.999, band_rows: int = 1, seed: int = 1) -> tuple[DataFrame, DataFrame]:
@@ -99,12 +155,17 @@ def shared_order_links(facts: DataFrame, threshold: float = 0.5, recall: float =
     stage = Staging(facts.sparkSession, "minhash")
     sets = stage.write(order_sets(facts), "sets")
     of_class = stage.write(classes(sets), "classes")
-    own = stage.write(sets.join(of_class.where("product_id = class").select("product_id"), "product_id", "left_semi"), "class-sets")
+    own = sets.join(of_class.where("product_id = class").select("product_id", "size"), "product_id")
+    # a product's lines together, so that its signature leaves one task, not each of those that read some of them
+    own = stage.write(own.hint("rebalance", "product_id"), "class-sets")
+    crowded = stage.write(heavy_keys(own, "order_id", least=CROWD).select("_hot"), "crowded-orders")
     bands = bands_for(threshold, band_rows, recall)
     signed = signatures(own, bands * band_rows, seed)
-    pairs = stage.write(candidates(signed, band_rows, bands, threshold), "candidates")
-    sizes = of_class.where("product_id = class").select("product_id", "size")
-    return verified(pairs, own, sizes, threshold), of_class
+    if band_rows == 1:
+        pairs = candidates_by_order(least_orders(own, signed, bands, seed), crowded, threshold)
+    else:
+        pairs = candidates(signed, band_rows, bands, threshold)
+    return verified(stage.write(pairs, "candidates"), own, crowded, threshold), of_class
 
 
 def nearest_by_shared_orders(facts: DataFrame, k: int = 10, **options) -> DataFrame:

@@ -79,3 +79,16 @@ def test_salted_members_and_empty(spark):
     assert plain.count() > 0 and plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
     links, of_class = minhash.shared_order_links(lines_df(spark, rows).limit(0))
     assert links.count() == 0 and of_class.count() == 0
+
+
+@pytest.mark.parametrize("crowd", [0, 8, 1000])
+def test_bands_by_order_equal_bands_as_keys(spark, crowd):
+    """The same candidates from one row a product and order as from one row a product and band."""
+    rows = fixture(7)
+    sets = minhash.order_sets(lines_df(spark, rows))
+    signed = minhash.signatures(sets, 150, 1)
+    least = minhash.least_orders(sets, signed, 150, 1)
+    assert least.count() <= sets.count()
+    crowded = minhash.heavy_keys(sets, "order_id", least=crowd).select("_hot")
+    got, want = (sorted(map(tuple, d.collect())) for d in (minhash.candidates_by_order(least, crowded, 0.1), minhash.candidates(signed, 1, 150, 0.1)))
+    assert want and got == want
