@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketrec.plans.broadcast import broadcast_if_small
+from basketrec.plans.broadcast import broadcast_if_small, spread_by_size
 from basketrec.plans.skew import join_split
 
 FACT_COLUMNS = [
@@ -61,13 +61,14 @@ def order_lines(order_products: DataFrame, orders: DataFrame, eval_set: str | No
     adds or drops a line; operators that need no names start here.
 
     With ``lines_per_task``, orders of more lines are found by a count and dealt to
-    several tasks before the shuffle; without, that is left to adaptive execution."""
+    several tasks before the shuffle; without, that is left to adaptive execution, and tables of many
+    bytes are dealt to tasks of bounded size."""
     if eval_set is not None:
         orders = eval_split(orders, eval_set)
     if lines_per_task is not None:
         joined = join_split(order_products, orders, "order_id", lines_per_task)
         return joined.select(*order_products.columns, *[c for c in orders.columns if c != "order_id"])
-    return order_products.join(orders, "order_id")
+    return spread_by_size(order_products, "order_id").join(orders, "order_id")
 
 
 def order_facts(order_products: DataFrame, orders: DataFrame, catalog: DataFrame,

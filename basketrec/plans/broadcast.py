@@ -23,3 +23,16 @@ def estimated_bytes(df: DataFrame, rows: int | None = None) -> int:
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES, rows: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_bytes``; ``rows``: its number of rows, if known."""
     return F.broadcast(df) if estimated_bytes(df, rows) <= max_bytes else df
+
+
+#: Bytes of written tables that one task of a join takes; estimates from ``UNKNOWN`` on are no estimates.
+TASK_BYTES, UNKNOWN = 4 << 20, 1 << 50
+
+
+def spread_by_size(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to a task for every ``TASK_BYTES`` of its estimate, so that a task's share does
+    not grow with the table; adaptive execution would merge shuffled partitions to about one a core.
+    Tables that make no more tasks than cores, and those of unknown size, stay as they are."""
+    size = estimated_bytes(df)
+    n = -(-size // TASK_BYTES)
+    return df.repartition(n, *keys) if size < UNKNOWN and n > df.sparkSession.sparkContext.defaultParallelism else df

@@ -65,3 +65,23 @@ def test_samples(spark):
     assert a == b and 700 < len(a) < 1300
     facts = spark.createDataFrame([(1, 5), (2, 4), (3, 5)], "product_id long, department_id long")
     assert [r.product_id for r in etl.dept_sample(facts).orderBy("product_id").collect()] == [1, 3]
+
+
+def test_order_lines_are_dealt_by_size(spark, scratch, monkeypatch):
+    """Twice the lines make twice the tasks, each with as many lines; small and unwritten tables are left as they are."""
+    from basketrec.plans import broadcast
+
+    monkeypatch.setattr(broadcast, "TASK_BYTES", 2000)
+
+    def tasks(n):
+        path = scratch("lines")
+        rows = spark.range(n).selectExpr("id % 997 as order_id", "xxhash64(id) as product_id")
+        rows.coalesce(1).write.parquet(path)
+        dealt = broadcast.spread_by_size(spark.read.parquet(path), "order_id")
+        assert dealt.count() == n
+        return dealt.rdd.getNumPartitions()
+
+    assert tasks(100) == 1
+    few, many = tasks(4000), tasks(16000)
+    assert few > 8 and 3 * few <= many <= 5 * few
+    assert broadcast.spread_by_size(spark.createDataFrame([(1,)], "order_id long"), "order_id").rdd.getNumPartitions() <= 4
