@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from basketrec.functions.dense import importable
 
-#: Cells that a tile holds on average, and products of cells formed at once within a task.
-CELLS, PAIRS = 200_000, 2_000_000
+#: Cells that a tile holds on average, cells of a row in one block of columns, and products of cells formed
+#: at once within a task.
+CELLS, ROW_CELLS, PAIRS = 200_000, 1_000, 2_000_000
 
 
 def _block(column, blocks: int):
@@ -31,13 +32,16 @@ def _block(column, blocks: int):
 
 def tiled(long: DataFrame, row: str, col: str, value: str, row_blocks: int | None = None, col_blocks: int | None = None) -> DataFrame:
     """(row_block, col_block, rows, cols, values) of the cells (row, col, value); ids are longs, cells with a
-    null id are left out, values of repeated cells are summed.  By default there are as many blocks
-    of both kinds, for ``CELLS`` cells in a tile."""
+    null id are left out, values of repeated cells are summed.  By default tiles hold
+    ``CELLS`` cells.  Every block of columns meets every other in ``gram``, so there are as many only as the
+    longest row needs for ``ROW_CELLS`` cells in each, and no more than blocks of rows."""
     cells = long.where(F.col(row).isNotNull() & F.col(col).isNotNull())
     cells = cells.groupBy(F.col(row).cast("long").alias("r"), F.col(col).cast("long").alias("c")).agg(F.sum(F.col(value).cast("double")).alias("v"))
     if row_blocks is None or col_blocks is None:
-        side = max(1, math.isqrt(-(-cells.count() // CELLS)))
-        row_blocks, col_blocks = row_blocks or side, col_blocks or side
+        size = cells.groupBy("r").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
+        n = -(-(size["all"] or 0) // CELLS)
+        col_blocks = col_blocks or max(1, min(math.isqrt(n), -(-(size["most"] or 0) // ROW_CELLS)))
+        row_blocks = row_blocks or max(1, -(-n // col_blocks))
     placed = cells.select(_block("r", row_blocks).alias("row_block"), _block("c", col_blocks).alias("col_block"), F.struct("r", "c", "v").alias("cell"))
     tiles = placed.groupBy("row_block", "col_block").agg(F.array_sort(F.collect_list("cell")).alias("cells"))
     return tiles.select("row_block", "col_block", F.col("cells.r").alias("rows"), F.col("cells.c").alias("cols"), F.col("cells.v").alias("values"))

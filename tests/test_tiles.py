@@ -50,3 +50,17 @@ def test_a_huge_basket_spreads(spark):
     t = tiles.tiled(lines_df(spark, skewed()).selectExpr("order_id", "product_id", "1 as m"), "order_id", "product_id", "m", 2, 6)
     assert t.where("array_contains(rows, 9999L)").count() == 6
     assert np.max([len(r.rows) for r in t.collect()]) < 300
+
+
+def test_short_rows_need_one_block_of_columns(spark, monkeypatch):
+    """More orders of the same length make more blocks of rows, not of columns, so that no tile is copied;
+    a huge basket still spreads."""
+    monkeypatch.setattr(tiles, "CELLS", 40)
+    monkeypatch.setattr(tiles, "ROW_CELLS", 10)
+    short = spark.createDataFrame([(o, (o * 7 + j) % 50, 1) for o in range(200) for j in range(5)], "r long, c long, v int")
+    made = tiles.tiled(short, "r", "c", "v")
+    assert {r.col_block for r in made.collect()} == {0} and made.count() >= 20
+    long = short.union(spark.createDataFrame([(999, j, 1) for j in range(50)], "r long, c long, v int"))
+    made = tiles.tiled(long, "r", "c", "v")
+    assert made.where("array_contains(rows, 999L)").count() == 5
+    assert sorted(map(tuple, tiles.cells_of(made, "r", "c", "v").collect())) == sorted(map(tuple, long.selectExpr("r", "c", "double(v)").collect()))
