@@ -55,3 +55,15 @@ def test_low_rank_small_and_empty(spark):
     none = spectral.latent_factors(long_form(spark, a).limit(0))
     assert none.values == [] and none.factors.count() == 0
     assert spectral.eigen_residuals(long_form(spark, a).limit(0), none).count() == 0
+
+
+def test_large_blocks_are_not_broadcast(spark, baskets, monkeypatch, scratch):
+    """The first block is of signs, so its file is small whatever its size in memory."""
+    monkeypatch.setattr(spectral, "BROADCAST_BYTES", 0)
+    pairs, thin = scratch("pairs"), scratch("thin")
+    long_form(spark, baskets.T @ baskets).write.parquet(pairs)
+    spark.range(100).selectExpr("id", "array_repeat(1D, 16) as v").write.parquet(thin)
+    pairs, thin = spark.read.parquet(pairs), spark.read.parquet(thin)
+    made = spectral.times(pairs, thin, 16, "product_id_left", "product_id_right", "cooccurances", 100)
+    state = spectral.with_product(thin, made, 100, 16) if hasattr(spectral, "with_product") else thin.join(made, "id")
+    assert "Broadcast" not in state._jdf.queryExecution().executedPlan().toString()
