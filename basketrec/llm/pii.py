@@ -15,8 +15,8 @@ carry over to spans without it.
 
 Finding, features and trees are DataFrame functions: regular expressions give the
 matches and the gaps between them, lengths give positions, trees are CASE
-expressions.  Only the fitting, over at most MAX_SAMPLE proposals, is done on the
-driver.  Every expression is made of possessive parts that start at the edge of a
+expressions.  Spark counts all proposals in cells of equal bins of the features; only the fitting, over at
+most about MAX_CELLS such cells and their counts, is done on the driver.  Every expression is made of possessive parts that start at the edge of a
 run, so long runs cost linear time.
 
 Null texts are empty and have no spans.  Positions are code points, the end is
@@ -26,10 +26,11 @@ exclusive.  Repeated rows give the same spans; extra columns are not read.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketrec.llm.common import fair_share, materialise, smallest_draws_by
+from basketrec.llm.common import fair_share, materialise
 
 #: Kinds in order, their patterns (possessive, from the edge of a run).
 KINDS = ("email", "ip", "card", "phone")
@@ -48,9 +49,9 @@ FEATURES = ("digits", "groups", "longest", "parens", "dots", "dashes", "spaces",
 #: Digits of a proposed stretch of a number run, and its length with two separators before each digit.
 LEAST_DIGITS, MOST_DIGITS = 7, 19
 MOST_CHARS = 3 * MOST_DIGITS
-#: Bounds and settings of the fit.  Half of the sample are examples, in even shares by kind (at
-#: least 2,500 of each that has them), raised by what other kinds leave; half are no examples.
-MAX_SAMPLE = 20000
+#: Bounds and settings of the fit: the most cells in which all proposals are counted, and the greatest weight of all.  Half
+#: of it are examples, in even shares by kind, raised by what other kinds leave; half are no examples.
+MAX_CELLS, MAX_SAMPLE = 20000, 20000
 ROUNDS, RATE, PRECISION, LEAST = 25, 0.3, 0.99, 5
 SPAN = "struct<s:int,e:int,m:string>"
 
@@ -127,40 +128,39 @@ def findings(docs: DataFrame, *keep: str) -> DataFrame:
 
 # --- boosted trees ------------------------------------------------------------------------
 
-def _stump(x, g, h, rows):
-    """Best split of rows by gain: (gain, feature, threshold)."""
+def _stump(bins, cuts, g, h, w, rows):
+    """Best split of rows by gain: (gain, feature, threshold).  Bin i of a feature holds values above i of its cuts."""
     best = (1e-6, None, None)
-    for f in range(x.shape[1]):
-        v = x[rows, f]
-        for t in np.unique(np.quantile(v, np.linspace(0, 1, 17)[1:-1], method="lower")):
-            left = v <= t
-            if left.all() or not left.any():
-                continue
-            gl, hl, gs, hs = g[rows][left].sum(), h[rows][left].sum(), g[rows].sum(), h[rows].sum()
-            gain = gl ** 2 / (hl + 1) + (gs - gl) ** 2 / (hs - hl + 1) - gs ** 2 / (hs + 1)
-            if gain > best[0]:
-                best = (gain, f, int(t))
+    gs, hs, n = g[rows].sum(), h[rows].sum(), w[rows].sum()
+    for f, cut in enumerate(cuts):
+        if not len(cut):
+            continue
+        gl, hl, nl = (np.bincount(bins[rows, f], v[rows], len(cut) + 1).cumsum()[:-1] for v in (g, h, w))
+        gain = np.where((nl > 0) & (nl < n), gl ** 2 / (hl + 1) + (gs - gl) ** 2 / (hs - hl + 1) - gs ** 2 / (hs + 1), 0)
+        at = int(gain.argmax())
+        if gain[at] > best[0]:
+            best = (float(gain[at]), f, int(cut[at]))
     return best
 
 
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS) -> tuple[float, list]:
-    """Logistic boosting with trees of depth two, each a list of (conditions, value)
+def boost(bins: np.ndarray, cuts: list[np.ndarray], y: np.ndarray, w: np.ndarray, rounds: int = ROUNDS) -> tuple[float, list]:
+    """Logistic boosting over cells of ``w`` proposals with trees of depth two, each a list of (conditions, value)
     with conditions (feature, threshold, at most)."""
-    share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+    share = np.clip((y * w).sum() / w.sum(), 1e-3, 1 - 1e-3)
     start = float(np.log(share / (1 - share)))
     raw, trees = np.full(len(y), start), []
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-raw))
-        g, h = y - p, p * (1 - p)
+        g, h = w * (y - p), w * p * (1 - p)
         leaves = [((), np.ones(len(y), bool))]
         for _ in range(2):
             split = []
             for cond, rows in leaves:
-                _, f, t = _stump(x, g, h, rows)
+                _, f, t = _stump(bins, cuts, g, h, w, rows)
                 if f is None:
                     split.append((cond, rows))
                 else:
-                    low = x[:, f] <= t
+                    low = bins[:, f] <= np.searchsorted(cuts[f], t)
                     split += [((*cond, (f, t, True)), rows & low), ((*cond, (f, t, False)), rows & ~low)]
             leaves = split
         tree = []
@@ -172,14 +172,14 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS) -> tuple[float, li
     return start, trees
 
 
-def raw_scores(x: np.ndarray, model) -> np.ndarray:
+def raw_scores(bins: np.ndarray, cuts: list[np.ndarray], model) -> np.ndarray:
     start, trees = model
-    out = np.full(len(x), start)
+    out = np.full(len(bins), start)
     for tree in trees:
         for cond, value in tree:
-            rows = np.ones(len(x), bool)
+            rows = np.ones(len(bins), bool)
             for f, t, low in cond:
-                rows &= (x[:, f] <= t) == low
+                rows &= (bins[:, f] <= np.searchsorted(cuts[f], t)) == low
             out[rows] += value
     return out
 
@@ -192,30 +192,48 @@ def tree_sql(model, row: str) -> str:
     return " + ".join([f"{start!r}D", *map(case, trees)])
 
 
+def _cells(rows: DataFrame) -> tuple[pa.Table, list[np.ndarray]]:
+    """All of ``rows`` (features, of, y, held) counted in cells of equal bins, y and held; and the cuts of the bins: quantiles
+    of each feature in all rows and, fewer, by ``of``.  Fewer are taken until MAX_CELLS are enough; at last
+    the medians of all rows only."""
+    for parts, by in ((16, 16), (16, 4), (8, 4), (4, 2), (2, 1)):
+        quantiles = lambda n: [F.percentile_approx(f, [i / n for i in range(1, n)], 10000).alias(f) for f in FEATURES]
+        found = [rows.agg(*quantiles(parts)).first(), *(rows.groupBy("of").agg(*quantiles(by)).collect() if by > 1 else [])]
+        cuts = [np.unique([v for r in found for v in r[f] or []]).astype(int) for f in FEATURES]
+        bins = [F.expr(f"size(filter(cast(array({', '.join(map(str, cut))}) as array<int>), c -> c < {f}))").alias(f) for f, cut in zip(FEATURES, cuts)]
+        cells = rows.select(*bins, "of", "y", "held").groupBy(*FEATURES, "of", "y", "held").agg(F.count(F.lit(1)).alias("n"))
+        cells = materialise(cells, "pii-cells")
+        if cells.count() <= MAX_CELLS:
+            break
+    return cells.toArrow(), cuts
+
+
 def train(found: DataFrame, seed: int = 10) -> dict[int, tuple]:
-    """Per kind with enough examples: (threshold, model), from at most MAX_SAMPLE proposals,
-    drawn by a hash within each kind and within those of none.  Examples come before the
-    others and stay there at equal scores: those may be spans that the base rules miss."""
+    """Per kind with enough examples: (threshold, model), from all proposals, counted in cells of equal bins.  A quarter,
+    drawn by a hash, is held out for the thresholds.  Kinds, and the proposals of none, weigh in even shares beyond
+    MAX_SAMPLE.  Examples come before the others and stay there at equal scores: those may be spans that the base
+    rules miss."""
     hit = ", ".join(f"int(exists(base, b -> b.kind = {k} and b.e = x.e and b.s - x.s in (0, 1)))" for k in range(len(KINDS)))
     rows = found.select("base", F.explode("loose").alias("x")).select("x.*", F.expr(f"array({hit})").alias("y"))
-    rows = rows.withColumn("order", F.xxhash64(F.lit(seed), *FEATURES, "s")).withColumn("of", F.expr("array_position(y, 1)"))
-    counts = {r["of"]: r["count"] for r in rows.groupBy("of").count().collect()}
-    share = fair_share({c: n for c, n in counts.items() if c}, MAX_SAMPLE // 2, 0)
-    most = {c: share if c else MAX_SAMPLE // 2 for c in counts}
-    got = smallest_draws_by(rows.select(*FEATURES, "y", "order", "of"), "of", counts, "order", most).to_pandas()
-    got = got.assign(none=got["of"] == 0).sort_values(["none", "order"], kind="stable", ignore_index=True)
+    rows = rows.withColumn("held", F.pmod(F.xxhash64(F.lit(seed), *FEATURES, "s"), F.lit(4)) == 0).withColumn("of", F.expr("array_position(y, 1)"))
+    cells, cuts = _cells(rows)
+    got = cells.to_pandas()
+    got = got.assign(none=got["of"] == 0).sort_values(["none", *FEATURES, "held"], kind="stable", ignore_index=True)
     out: dict[int, tuple] = {}
     if not len(got):
         return out
-    x, held = got[list(FEATURES)].to_numpy(), (got["order"] % 4 == 0).to_numpy()
+    counts = got.groupby("of")["n"].sum().to_dict()
+    share = fair_share({c: n for c, n in counts.items() if c}, MAX_SAMPLE // 2, 0)
+    weight = {c: min(1.0, (share if c else MAX_SAMPLE // 2) / n) for c, n in counts.items()}
+    bins, held, w = got[list(FEATURES)].to_numpy(), got["held"].to_numpy(), (got["n"] * got["of"].map(weight)).to_numpy(float)
     for k in range(len(KINDS)):
         y = np.array([v[k] for v in got["y"]], float)
-        if min(y[~held].sum(), y[held].sum()) < LEAST:
+        if min((y * w)[~held].sum(), (y * w)[held].sum()) < LEAST:
             continue
-        model = boost(x[~held], y[~held])
-        score, right = raw_scores(x[held], model), y[held]
+        model = boost(bins[~held], cuts, y[~held], w[~held])
+        score = raw_scores(bins[held], cuts, model)
         order = np.argsort(-score, kind="stable")
-        precise = np.cumsum(right[order]) / np.arange(1, len(order) + 1)
+        precise = np.cumsum((y * w)[held][order]) / np.cumsum(w[held][order])
         fine = np.flatnonzero(precise >= PRECISION)
         if len(fine):
             out[k] = (max(float(score[order][fine[-1]]), 0.0), model)
