@@ -109,3 +109,29 @@ def test_baseline_per_line_seed(spark):
     for items in per_line.values():
         assert len(items) == 4 and len(set(items)) == 4 and set(items) <= top10
     assert len({tuple(sorted(v)) for v in per_line.values()}) > 1  # lines draw independently
+
+
+def _marks(spark, rows):
+    return spark.createDataFrame(rows, "user_id long, order_id long, product_id long, order_number int, add_to_cart_order int")
+
+
+def test_predictions_are_numbered_by_line_with_equal_places_and_repeated_names(spark):
+    """Positions equal a plain sort, also for lines of one place and products of two names; names and
+    positions are found on the lines, so nothing joins above the expansion of a line."""
+    rows = [(1, 10, p, 1, line) for p, line in ((5, 1), (6, 2), (7, 2), (8, None), (9, None), (5, 70), (6, 200))] + [(2, 20, 6, 1, 3)]
+    baskets = _marks(spark, rows)
+    products = spark.createDataFrame([(p, f"p{p}") for p in range(1, 10)] + [(6, "again"), (2, "two")], "product_id long, product_name string")
+    near = [(5, 1, 0.5, 1), (5, 2, 0.4, 2), (6, 2, 0.9, 1), (7, 1, 0.3, 1), (7, 3, 0.2, 2), (8, 4, 0.1, 1), (9, 2, 0.6, 1)]
+    nb = spark.createDataFrame(near, "product_id_left long, product_id_right long, cosine_similarity double, rank int")
+    got = models.predict_cosine(baskets, nb, products).select("user_id", "purchased_product", "predicted_product", "line", "rank", "pos")
+    want = set()
+    for user in (1, 2):
+        one = sorted(((line is not None, line or 0), rank, r, p, line) for u, _, p, _, line in rows if u == user for left, r, _, rank in near if left == p)
+        want |= {(user, p, r, line, rank, i + 1) for i, (_, rank, r, p, line) in enumerate(one)}
+    assert {tuple(r) for r in got.collect()} == want
+    names = {p: sum(x == p for x in [*range(1, 10), 6, 2]) for p in range(1, 10)}
+    assert got.count() == sum(names[w[1]] * names[w[2]] for w in want)
+    base = models.predict_baseline(baskets, baskets, products, k=3, seed=1)
+    assert {r["pos"] for r in base.where("user_id = 1").collect()} == set(range(1, 22))
+    plan = base._jdf.queryExecution().optimizedPlan().toString().split("Union")[-1].splitlines()
+    assert next(i for i, x in enumerate(plan) if "posexplode" in x) < next(i for i, x in enumerate(plan) if "Join" in x)

@@ -63,3 +63,13 @@ def test_broadcast_only_under_bound(spark):
     assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in j_big._jdf.queryExecution().analyzed().toString().lower()
     assert not big.is_cached
+
+
+def test_baskets_are_written_once(spark):
+    """All steps of a query that read the baskets read one written table."""
+    from basketrec.plans import registry
+    from basketrec.sources.testdata import load_basket_tables
+
+    t = load_basket_tables(spark, "/root/testdata/sf0.001")
+    assert all("-baskets-" in f for f in registry.baskets(t).inputFiles())
+    assert registry.baskets(t).inputFiles() == registry.baskets(t).inputFiles()
