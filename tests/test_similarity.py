@@ -118,3 +118,14 @@ def test_order_ids_shared_by_two_users(spark):
     assert plain == {(7, 7): 1, (7, 8): 1, (8, 7): 1, (8, 8): 2, (8, 9): 1, (9, 8): 1, (9, 9): 1}
     assert as_dict(sim.pair_dots(facts, basket="set", basket_key=key, pairs_per_task=0), "dot") == plain
     assert as_dict(sim.pair_dots(facts), "dot")[(7, 9)] == 2  # one basket, by order id alone
+
+
+def test_many_lines_make_many_tasks(spark, monkeypatch):
+    """The baskets are dealt to tasks by the number of lines, with the same cosines."""
+    facts = lines_df(spark, BASKETS_SMALL)
+    monkeypatch.setattr(sim, "LINES_PER_TASK", 1)
+    dealt = sim._dealt(sim.basket_lines(facts), 50_000_000, len(BASKETS_SMALL))
+    assert dealt.rdd.getNumPartitions() == len(BASKETS_SMALL)
+    want, _ = brute_cosine(BASKETS_SMALL)
+    got = {(r[0], r[1]): r[2] for r in sim.cosine_similarity(facts).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
