@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketrec.session import scratch_path
+from basketrec.session import checkpoint_dir, scratch_path
 
 #: White space of the word rule, and the word pattern.
 WHITE_SPACE = "\\x20\\x09-\\x0D"
@@ -38,6 +38,19 @@ def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the tables of ``materialise`` that ``tables`` read; nothing may read them afterwards."""
+    for df in tables:
+        spark = df.sparkSession
+        base = f"{checkpoint_dir(spark).rstrip('/')}/basketrec-"
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base).toUri().getPath()
+            if p.toUri().getPath().startswith(own):
+                fs.delete(p, True)
+
+
 def smallest_draws(rows: DataFrame, draw: str, n: int, *ties: str) -> pa.Table:
     """The ``n`` rows with the smallest values of column ``draw`` (uniform 64-bit hashes),
     ties by the other columns; all rows if there are no more.  Tasks hand on only rows

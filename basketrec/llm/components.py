@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketrec.llm.common import materialise
+from basketrec.llm.common import discard, materialise
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -45,7 +45,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         "cc-edges")
     seen = _fingerprint(cur)
     while seen[0]:
-        cur = materialise(_small_star(_large_star(cur)), "cc-round")
+        last, cur = cur, materialise(_small_star(_large_star(cur)), "cc-round")
+        discard(last)
         now = _fingerprint(cur)
         if now == seen:
             break

@@ -27,6 +27,9 @@ Null texts and texts without words have empty sets and link with nothing.
 Rows with null ids take part and get the smallest id of their group, null if it
 has none; rows with repeated ids are separate rows of one id; extra columns are not
 read; an empty table gives no rows.
+
+Tables of a step are deleted when the last step that reads them is done; the result reads
+two small ones.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketrec.llm.common import materialise
+from basketrec.llm.common import discard, materialise
 from basketrec.llm.components import connected_components
 
 WIDTH = 5
@@ -306,6 +309,7 @@ def _across(tiles: DataFrame, comp: DataFrame, nodes: DataFrame, num, den) -> Da
     most = placed.groupBy("sid", "tile").agg(F.sum("weight").alias("most"))
     known = most.join(nodes.select("sid", "reach", *BIT), "sid")
     left = materialise(placed.join(known, ["sid", "tile"]), "ngram-open")
+    discard(placed)
     rest = [*key, "sid", "n", "c", "weight", "reach", "most", *BIT]
     x, y = left.select(*rest).alias("x"), left.filter("low").select(*rest).alias("y")
     # x is the larger set (ties by id): of the same band, or of the band above
@@ -332,16 +336,19 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = D
     often = max(HOT_COUNT, HOT_SHARE / 4 * base.count())
     frequent = spark.sparkContext.broadcast(
         [r["h"] for r in hot.groupBy("h").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= often).select("h").collect()])
+    discard(hot)
     sketch = materialise(base.mapInArrow(_sketch(width, num, den, frequent), SKETCH_SCHEMA), "ngram-sketch")
     filled = sketch.filter("sid is not null")
     nodes = materialise(filled.groupBy("sid").agg(F.max("n").alias("n"), F.max("reach").alias("reach"), *[F.max(m).alias(m) for m in BIT],
                                                 F.max("sig").alias("sig")), "ngram-nodes")
 
+    rows = materialise(sketch.select("doc_id", "sid", "n"), "ngram-rows")
     postings = filled.select(F.explode("prefix").alias("h"), "sid", "n")
     in_tile = Window.partitionBy("h")
     tiles = postings.withColumn("lo", F.min("sid").over(in_tile)).withColumn("hi", F.max("sid").over(in_tile))
     tiles = tiles.withColumn("crowd", F.count("*").over(in_tile)).filter("lo <> hi").dropDuplicates(["h", "sid"])
     tiles = materialise(tiles.select("h", "sid", "n", "crowd"), "ngram-tiles")
+    discard(sketch)
     # the original of a group of near copies shares more than each copy does: it makes the best hub
     popular = tiles.groupBy("sid").agg((F.sum("crowd") / F.max("n")).alias("pop"))
     hubs = tiles.join(popular, "sid").groupBy("h").agg(F.max(F.struct("pop", "n", "sid")).alias("hub"))
@@ -353,28 +360,42 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = D
     def sets_of(pairs: DataFrame, name: str) -> DataFrame:
         """Sets of the nodes of ``pairs``, made from one text of each."""
         ends = [pairs.select(F.col(c).alias("sid")) for c in ("a", "b")]
-        source = (filled.select("sid", F.coalesce("doc_id", F.lit(NO_ID)).alias("key")).join(ends[0].union(ends[1]).distinct(), "sid", "left_semi")
+        source = (rows.filter("sid is not null").select("sid", F.coalesce("doc_id", F.lit(NO_ID)).alias("key")).join(ends[0].union(ends[1]).distinct(), "sid", "left_semi")
                   .groupBy("sid").agg(F.min("key").alias("key")))
         source = materialise(source.select("key").distinct(), f"{name}-source")
         texts = base.withColumn("key", F.coalesce("doc_id", F.lit(NO_ID))).join(source, "key", "left_semi").select("raw")
-        return materialise(texts.mapInArrow(_sets(width), "sid long, s binary").dropDuplicates(["sid"]), f"{name}-sets")
-
-    links = _links(stars, sets_of(stars, "ngram-star"), num, den, "ngram-star-links")
+        sets = materialise(texts.mapInArrow(_sets(width), "sid long, s binary").dropDuplicates(["sid"]), f"{name}-sets")
+        discard(source)
+        return sets
+
+    def components(links: DataFrame, name: str) -> DataFrame:
+        found = connected_components(links)
+        comp = materialise(found, name)
+        discard(found)
+        return comp
+
+    sets = sets_of(stars, "ngram-star")
+    links = _links(stars, sets, num, den, "ngram-star-links")
+    discard(stars, sets)
     # only verified links make components, so that pairs across them are sought once
-    comp = materialise(connected_components(links), "ngram-comp")
-    rest = _open_long(_across(tiles, comp, nodes, num, den), nodes, num, den, "ngram-rest")
+    comp = components(links, "ngram-comp")
+    across = _across(tiles, comp, nodes, num, den)
+    rest = _open_long(across, nodes, num, den, "ngram-rest")
+    discard(across, tiles, nodes, comp)
     sets = sets_of(rest, "ngram-rest")
     # one pair of each node first; of the others only those still across components
     one = materialise(rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "ngram-one")
     links = links.union(_links(one, sets, num, den, "ngram-one-links"))
-    comp = materialise(connected_components(links), "ngram-comp")
+    comp = components(links, "ngram-comp")
     at = lambda c: comp.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
     rest = rest.join(one, ["a", "b"], "left_anti").join(at("a"), "a", "left").join(at("b"), "b", "left")
     rest = rest.filter("coalesce(a_root, a) <> coalesce(b_root, b)").select("a", "b")
     links = links.union(_links(rest, sets, num, den, "ngram-rest-links"))
-    comp = materialise(connected_components(links), "ngram-all")
+    discard(rest, sets)
+    comp = components(links, "ngram-all")
+    discard(links)
 
-    own = (sketch.select("doc_id", "n", "sid").join(comp, sketch.sid == comp.node, "left")
+    own = (rows.select("doc_id", "n", "sid").join(comp, rows.sid == comp.node, "left")
            .select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("root", "sid").alias("group")))
     least = own.filter("group is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
     return own.join(least, "group", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))

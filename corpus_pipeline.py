@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketrec.llm import jaccard_join, mixing, pii, sentencepiece_codec, toxicity
-from basketrec.llm.common import importable, materialise, table
+from basketrec.llm.common import discard, importable, materialise, table
 from basketrec.llm.queries import piece_model
 
 #: Characters of one block of texts in the last stage, whose workers come after four other stages.
@@ -84,6 +84,9 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        found = stage(spark, docs, sf_dir)
+        docs = materialise(found, f"stage-{name}")
+        if i:  # what it was made of, the stage before included, is not read again; the first stage reads the input
+            discard(found)
     return STAGES[-1][1](spark, docs, sf_dir)
