@@ -50,6 +50,8 @@ LONGS = 8  # 64 bits each
 HOT_COUNT, HOT_SHARE = 6, 0.001
 #: First shingles that linked sets must share (all that must be shared, if that is less).
 SHARED = 4
+#: Tiles of a node, in a common order, that are known in all of its tiles.
+FIRST = 8
 NO_ID = -(1 << 63)
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -286,15 +288,20 @@ def _links(pairs: DataFrame, sets: DataFrame, num, den, name: str) -> DataFrame:
     return materialise(both.mapInArrow(_exact(num, den), "a long, b long"), name)
 
 
-def _across(tiles: DataFrame, comp: DataFrame, nodes: DataFrame, num, den) -> DataFrame:
+def _meetings(tiles: DataFrame, comp: DataFrame, nodes: DataFrame, num, den) -> DataFrame:
     """Pairs (a, b) of nodes, and their sizes, of different components that share a tile: a
     first shingle within a size band, or two bands next to each other.  Tiles hold the short
     bitmaps, so a pair that they rule out is never a row.
 
     All shingles that two sets share up to the end of the shorter reach of their first
     shingles are counted (k), and beyond it the set that ends there has no more than its
-    remaining ones: k and those must make the overlap that a link needs.  A node with fewer
-    open tiles of the pair's band cannot have such a k, so its pair is never a row either."""
+    remaining ones: k and those must make the overlap that a link needs.  So in any common
+    order of tiles the first one that they share leaves each node with open tiles for such a
+    k from there on; where it does not, the pair is no row.
+
+    Tiles hold the first FIRST tiles of their nodes, too.  If two nodes have one of them in
+    common, the first such tile is the first of all that they share, and only there
+    the pair is a row; near copies share hundreds of tiles.  Other pairs may be rows of several tiles."""
     own = tiles.join(comp, tiles.sid == comp.node, "left").withColumn("c", F.coalesce("root", "sid")).select("h", "sid", "n", "c")
     placed = own.withColumn("tile", F.explode(F.array(band(F.col("n")), band(F.col("n")) - 1))).withColumn("low", F.col("tile") == band(F.col("n")))
     # shingles whose tiles have the same members are one tile, with their number as its weight:
@@ -305,12 +312,14 @@ def _across(tiles: DataFrame, comp: DataFrame, nodes: DataFrame, num, den) -> Da
         placed = placed.withColumn(out, found.over(w))
     key = ["tile", "s1", "s2"]
     placed = placed.filter("lo <> hi and lower").groupBy(*key, "sid", "n", "c", "low").agg(F.count("*").alias("weight"))
+    in_order = Window.partitionBy("sid", "tile").orderBy("s1", "s2")
+    placed = placed.withColumn("at", F.row_number().over(in_order)).withColumn("before", F.sum("weight").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight"))
     placed = materialise(placed, "ngram-mixed")
-    most = placed.groupBy("sid", "tile").agg(F.sum("weight").alias("most"))
+    most = placed.groupBy("sid", "tile").agg(F.sum("weight").alias("most"), F.array_sort(F.collect_list(F.when(F.col("at") <= FIRST, F.col("s1")))).alias("first"))
     known = most.join(nodes.select("sid", "reach", *BIT), "sid")
     left = materialise(placed.join(known, ["sid", "tile"]), "ngram-open")
     discard(placed)
-    rest = [*key, "sid", "n", "c", "weight", "reach", "most", *BIT]
+    rest = [*key, "sid", "n", "c", "before", "reach", "most", "first", *BIT]
     x, y = left.select(*rest).alias("x"), left.filter("low").select(*rest).alias("y")
     # x is the larger set (ties by id): of the same band, or of the band above
     larger = F.expr(f"x.tile = y.tile and x.s1 = y.s1 and x.s2 = y.s2 and x.c <> y.c and {den} * y.n >= {num} * x.n and (x.n > y.n or (x.n = y.n and x.sid > y.sid))")
@@ -318,11 +327,15 @@ def _across(tiles: DataFrame, comp: DataFrame, nodes: DataFrame, num, den) -> Da
     beyond = lambda t: f"(({num} * {t}.n + {den - 1}) div {den} - least({SHARED}, ({num} * {t}.n + {den - 1}) div {den}))"
     # where the places are equal, which lost a bit, either set may end first
     remaining = f"case when x.reach < y.reach then {beyond('x')} when y.reach < x.reach then {beyond('y')} else greatest({beyond('x')}, {beyond('y')}) end"
-    least = F.expr(f"{needed} - {remaining}")
-    rows = x.join(y, larger & _reachable(num, den) & (F.least("x.most", "y.most") >= least))
-    return (rows.groupBy(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
-            .agg(F.sum("x.weight").alias("k"), F.min("x.n").alias("an"), F.min("y.n").alias("bn"), F.min(least).alias("least"))
-            .filter("k >= least").select("a", "b", "an", "bn"))
+    enough = F.expr(f"least(x.most - x.before, y.most - y.before) >= {needed} - {remaining}")
+    here = F.expr("coalesce(array_min(array_intersect(x.first, y.first)), x.s1) = x.s1")
+    return x.join(y, larger & _reachable(num, den) & enough & here).select(
+        F.col("x.sid").alias("a"), F.col("y.sid").alias("b"), F.col("x.n").alias("an"), F.col("y.n").alias("bn"))
+
+
+def _across(tiles: DataFrame, comp: DataFrame, nodes: DataFrame, num, den) -> DataFrame:
+    """The pairs of ``_meetings``, each once."""
+    return _meetings(tiles, comp, nodes, num, den).distinct()
 
 
 def ngram_join(docs: DataFrame, width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
