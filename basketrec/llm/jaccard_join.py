@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -165,6 +166,15 @@ def set_id(s: np.ndarray) -> int:
     return int(_mix(total ^ np.uint64(len(s))).view(np.int64)[0])
 
 
+def _parts(rb: pa.RecordBatch, column: int, at_once: int = 4_000_000):
+    """A batch in parts of rows with about ``at_once`` bytes of text, so that the sets of all of its
+    texts are never in memory together."""
+    ends = np.cumsum(pc.binary_length(rb.column(column)).to_numpy(zero_copy_only=False).astype(np.int64))
+    cut = np.flatnonzero(np.diff(ends // at_once)) + 1
+    for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), rb.num_rows]):
+        yield rb.slice(lo, hi - lo)
+
+
 BIT = [f"m{i}" for i in range(LONGS)]
 SKETCH_SCHEMA = "doc_id long, sid long, n int, prefix array<long>, reach long, " + ", ".join(f"{m} long" for m in BIT) + ", sig binary"
 
@@ -173,11 +183,11 @@ def _hot(width):
     """Shingles that are frequent within a batch, with their documents in it."""
     def run(batches):
         for rb in batches:
-            every = shingle_sets(rb.column(0).to_pylist(), width)
-            h = np.sort(np.concatenate(every or [np.zeros(0, np.uint64)]))
+            h = np.concatenate([s for part in _parts(rb, 0) for s in shingle_sets(part.column(0).to_pylist(), width)] or [np.zeros(0, np.uint64)])
+            h.sort()
             first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
             n = np.diff(np.concatenate([first, [len(h)]]))
-            hot = n >= max(HOT_COUNT, HOT_SHARE * len(every))
+            hot = n >= max(HOT_COUNT, HOT_SHARE * rb.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(h[first[hot]].view(np.int64)), pa.array(n[hot])], names=["h", "docs"])
 
     return run
@@ -191,25 +201,27 @@ def _place(shingle: np.uint64, late: bool) -> int:
 def _sketch(width, num, den, frequent):
     def run(batches):
         late_ones = np.sort(np.array(frequent.value, np.int64).view(np.uint64))
-        for rb in batches:
-            rows, seen = [], set()
-            for s in shingle_sets(rb.column(1).to_pylist(), width):
-                sid = set_id(s) if len(s) else None
-                if sid in seen:  # a copy: its first shingles are there already
-                    rows.append((sid, len(s), [], None, bitmap(s), None))
-                    continue
-                seen.add(sid)
-                late = late_ones[np.minimum(np.searchsorted(late_ones, s), len(late_ones) - 1)] == s if len(late_ones) else np.zeros(len(s), bool)
-                least = -(-num * len(s) // den)
-                take = len(s) - least + min(SHARED, least)
-                prefix = np.concatenate([s[~late], s[late]])[:take]
-                reach = _place(prefix[-1], take > len(s) - late.sum()) if take else None
-                rows.append((sid, len(s), prefix.view(np.int64), reach, bitmap(s), signature(s)))
-            sid, n, prefix, reach, bits, sig = zip(*rows) if rows else ((),) * 6
-            bits = np.array(bits, np.int64).reshape(-1, LONGS)
-            cols = [rb.column(0), pa.array(sid, pa.int64()), pa.array(n, pa.int32()), pa.array(prefix, pa.list_(pa.int64())), pa.array(reach, pa.int64())]
-            cols += [pa.array(bits[:, k]) for k in range(LONGS)] + [pa.array(sig, pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "sid", "n", "prefix", "reach", *BIT, "sig"])
+        for whole in batches:
+            seen = set()
+            for rb in _parts(whole, 1):
+                rows = []
+                for s in shingle_sets(rb.column(1).to_pylist(), width):
+                    sid = set_id(s) if len(s) else None
+                    if sid in seen:  # a copy: its first shingles are there already
+                        rows.append((sid, len(s), [], None, bitmap(s), None))
+                        continue
+                    seen.add(sid)
+                    late = late_ones[np.minimum(np.searchsorted(late_ones, s), len(late_ones) - 1)] == s if len(late_ones) else np.zeros(len(s), bool)
+                    least = -(-num * len(s) // den)
+                    take = len(s) - least + min(SHARED, least)
+                    prefix = np.concatenate([s[~late], s[late]])[:take]
+                    reach = _place(prefix[-1], take > len(s) - late.sum()) if take else None
+                    rows.append((sid, len(s), prefix.view(np.int64), reach, bitmap(s), signature(s)))
+                sid, n, prefix, reach, bits, sig = zip(*rows) if rows else ((),) * 6
+                bits = np.array(bits, np.int64).reshape(-1, LONGS)
+                cols = [rb.column(0), pa.array(sid, pa.int64()), pa.array(n, pa.int32()), pa.array(prefix, pa.list_(pa.int64())), pa.array(reach, pa.int64())]
+                cols += [pa.array(bits[:, k]) for k in range(LONGS)] + [pa.array(sig, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "sid", "n", "prefix", "reach", *BIT, "sig"])
 
     return run
 
@@ -221,7 +233,7 @@ def band(n: Column) -> Column:
 
 def _sets(width):
     def run(batches):
-        for rb in batches:
+        for rb in (part for whole in batches for part in _parts(whole, 0)):
             sets = shingle_sets(rb.column(0).to_pylist(), width)
             yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                                              names=["sid", "s"])

@@ -15,7 +15,7 @@ from basketrec.llm.common import discard, importable, materialise, table
 from basketrec.llm.queries import piece_model
 
 #: Characters of one block of texts in the last stage, whose workers come after four other stages.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 4_000_000
 
 #: The toxicity model is trained and not expressible in SQL.
 ORACLE_SQL = None
