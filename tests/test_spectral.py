@@ -67,3 +67,18 @@ def test_large_blocks_are_not_broadcast(spark, baskets, monkeypatch, scratch):
     made = spectral.times(pairs, thin, 16, "product_id_left", "product_id_right", "cooccurances", 100)
     state = spectral.with_product(thin, made, 100, 16) if hasattr(spectral, "with_product") else thin.join(made, "id")
     assert "Broadcast" not in state._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_are_dealt_once(spark, baskets, monkeypatch):
+    """Steps that join by a shuffle move the directions, not the pairs."""
+    monkeypatch.setattr(spectral, "BROADCAST_BYTES", 0)
+    real, plans = spectral.times, []
+
+    def kept(*args):
+        made = real(*args)
+        plans.append(made._jdf.queryExecution().executedPlan().toString())
+        return made
+
+    monkeypatch.setattr(spectral, "times", kept)
+    spectral.latent_factors(long_form(spark, (baskets.T @ baskets)[:20, :20]), rank=2, max_steps=2)
+    assert plans and all(p.count("hashpartitioning(product_id_right") == 1 for p in plans)
