@@ -73,3 +73,9 @@ def test_baskets_are_written_once(spark):
     t = load_basket_tables(spark, "/root/testdata/sf0.001")
     assert all("-baskets-" in f for f in registry.baskets(t).inputFiles())
     assert registry.baskets(t).inputFiles() == registry.baskets(t).inputFiles()
+
+
+def test_cooccurrence_shuffles_no_counts(spark, tables):
+    """Counts of products do not widen the pairs where only the pairs are counted."""
+    p = plan(sim.cooccurrence(R.prior_lines(tables)))
+    assert not re.search(r"\bn_[lr]#", p) and "partial_sum((m_l" in p
