@@ -79,3 +79,17 @@ def test_cooccurrence_shuffles_no_counts(spark, tables):
     """Counts of products do not widen the pairs where only the pairs are counted."""
     p = plan(sim.cooccurrence(R.prior_lines(tables)))
     assert not re.search(r"\bn_[lr]#", p) and "partial_sum((m_l" in p
+
+
+def test_broadcast_by_rows_of_packed_files(spark, scratch):
+    """Files that hold many rows in few bytes are no small table."""
+    from basketrec.plans.broadcast import broadcast_if_small, estimated_bytes
+
+    path = scratch("packed")
+    spark.range(50000).selectExpr("id % 2 as id", "'a long name of a product' as name").coalesce(1).write.parquet(path)
+    packed = spark.read.parquet(path)
+    most = 4 * estimated_bytes(packed)
+    assert most < 50000 * 24
+    p = plan(spark.range(10).join(broadcast_if_small(packed, max_bytes=most), "id"))
+    assert "SortMergeJoin" in p and "Broadcast" not in p
+    assert "BroadcastHashJoin" in plan(spark.range(10).join(broadcast_if_small(packed), "id"))
