@@ -106,7 +106,7 @@ LINES_PER_BLOCK = 64
 
 def _numbered_lines(lines: DataFrame, size: Column) -> DataFrame:
     """``lines`` (user_id, line, ..) with ``_before``, the predictions of the user's earlier lines, and
-    ``_twins``, the user's lines of the same place; ``size``: predictions of a line.
+    ``_twins``, the user's lines of the same place (all in one ``_block``); ``size``: predictions of a line.
 
     Lines are numbered, not their predictions, which are many times as many: a window holds
     ``LINES_PER_BLOCK`` lines, and what is gathered by user is one number a block."""
@@ -120,7 +120,7 @@ def _numbered_lines(lines: DataFrame, size: Column) -> DataFrame:
     blocks = sizes.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("_block", "n"))).alias("_b"))
     before = F.expr("transform(_b, (x, i) -> struct(x._block as _block, aggregate(slice(_b, 1, i), 0L, (a, y) -> a + y.n) as _before))")
     placed = numbered.join(blocks.select("user_id", F.inline(before)), ["user_id", "_block"])
-    return placed.withColumn("_before", F.col("_before") + F.col("_within")).drop("_block", "_size", "_within")
+    return placed.withColumn("_before", F.col("_before") + F.col("_within")).drop("_size", "_within")
 
 
 def _in_line_order(numbered: DataFrame, products: DataFrame) -> DataFrame:
@@ -131,11 +131,11 @@ def _in_line_order(numbered: DataFrame, products: DataFrame) -> DataFrame:
         kept = [c for c in rows.columns if c != "picks"]
         return rows.select(*kept, F.posexplode("picks").alias("_place", "_pick")).select(*kept, "_place", "_pick.*")
 
-    w = Window.partitionBy("user_id", "line").orderBy("rank", "predicted_product")
+    w = Window.partitionBy("user_id", "_block", "line").orderBy("rank", "predicted_product")
     lone = each(_purchased_names(numbered.where("_twins = 1"), products))
     lone = lone.withColumn("pos", (F.col("_before") + F.col("_place") + 1).cast("int"))
     twins = each(numbered.where("_twins > 1")).withColumn("pos", (F.col("_before") + F.row_number().over(w)).cast("int"))
-    return lone.unionByName(_purchased_names(twins, products)).drop("_before", "_twins", "_place")
+    return lone.unionByName(_purchased_names(twins, products)).drop("_before", "_twins", "_place", "_block")
 
 
 def _by_score(pred: DataFrame, score: str) -> DataFrame:
