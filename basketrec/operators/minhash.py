@@ -146,6 +146,15 @@ def verified(pairs: DataFrame, sets: DataFrame, crowded: DataFrame, threshold: f
     return found.join(pairs, [L, R], "left_semi")
 
 
+def _sharing_a_band(links: DataFrame, own: DataFrame, bands: int, seed: int) -> DataFrame:
+    """Those of ``links`` whose products share a band of one row; only products with a link are signed."""
+    linked = links.select(F.col(L).alias("product_id")).union(links.select(R)).distinct()
+    signed = signatures(own.join(linked, "product_id", "left_semi"), bands, seed)
+    left, right = signed.select(F.col("product_id").alias(L), F.col("mins").alias("a")), signed.select(F.col("product_id").alias(R), F.col("mins").alias("b"))
+    same = F.exists(F.zip_with("a", "b", lambda x, y: x == y), lambda x: x)
+    return links.join(left, L).join(right, R).where(same).select(*links.columns)
+
+
 def shared_order_links(facts: DataFrame, threshold: float = 0.5, recall: float = 0.999, band_rows: int = 1, seed: int = 1) -> tuple[DataFrame, DataFrame]:
     """(links, classes): pairs of class names (product_id_left < product_id_right, shared, jaccard) at or above
     ``threshold``, and (product_id, class, size) of every product.  Links between members of one class
@@ -160,6 +169,11 @@ def shared_order_links(facts: DataFrame, threshold: float = 0.5, recall: float =
     own = stage.write(own.hint("rebalance", "product_id"), "class-sets")
     crowded = stage.write(heavy_keys(own, "order_id", least=CROWD).select("_hot"), "crowded-orders")
     bands = bands_for(threshold, band_rows, recall)
+    if band_rows == 1 and crowded.isEmpty():
+        # all shared orders are counted by order, whatever the candidates: the few links are signed, not every line
+        jaccard = F.col("shared") / (F.col("size_left") + F.col("size_right") - F.col("shared"))
+        links = _together(own).select(L, R, "shared", jaccard.alias("jaccard")).where(F.col("jaccard") >= F.lit(threshold))
+        return _sharing_a_band(stage.write(links, "links"), own, bands, seed), of_class
     signed = signatures(own, bands * band_rows, seed)
     if band_rows == 1:
         pairs = candidates_by_order(least_orders(own, signed, bands, seed), crowded, threshold)

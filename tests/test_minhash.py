@@ -92,3 +92,14 @@ def test_bands_by_order_equal_bands_as_keys(spark, crowd):
     crowded = minhash.heavy_keys(sets, "order_id", least=crowd).select("_hot")
     got, want = (sorted(map(tuple, d.collect())) for d in (minhash.candidates_by_order(least, crowded, 0.1), minhash.candidates(signed, 1, 150, 0.1)))
     assert want and got == want
+
+
+def test_only_linked_products_are_signed(spark, monkeypatch):
+    """Without crowded orders links are counted first, and the lines of other products are not hashed for bands."""
+    rows = [(1, o, p) for o in range(10) for p in (1, 2)] + [(1, 100 + p, p) for p in range(3, 40)] + [(1, 200 + p, p) for p in range(3, 40)]
+    rows += [(1, 99, 1)]
+    real, seen = minhash.signatures, []
+    monkeypatch.setattr(minhash, "signatures", lambda sets, *a: seen.append(sets.select("product_id").distinct().count()) or real(sets, *a))
+    links, _ = minhash.shared_order_links(spark.createDataFrame(rows, "user_id long, order_id long, product_id long"), 0.5, 0.999999)
+    assert [(r[0], r[1], r.shared) for r in links.collect()] == [(1, 2, 10)]
+    assert seen == [2]
